@@ -3,6 +3,7 @@ column; columns go in batches to bound the size of one aggregate."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -41,8 +42,22 @@ def null_profile(df: DataFrame, columns: list[str], step: int = 200) -> DataFram
 
 
 def distinct_profile(df: DataFrame, columns: list[str], rsd: float = 0.015, step: int = 200) -> DataFrame:
-    """Approximate distinct counts by mergeable sketches; no shuffle of values."""
-    return per_column(df, columns, "n_distinct", lambda c: F.approx_count_distinct(c, rsd), step)
+    """Approximate distinct counts by mergeable sketches; no shuffle of values.
+
+    One binary sketch per column: ``approx_count_distinct`` at this error would
+    add hundreds of buffer columns each, which a wide table cannot plan.
+    """
+    size = min(21, max(4, math.ceil(math.log2((1.04 / rsd) ** 2))))
+
+    def measure(c: str) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(_hashed(c), size)), F.lit(0))
+
+    return per_column(df, columns, "n_distinct", measure, step)
+
+
+def _hashed(column: str) -> Column:
+    """52 hash bits of a value, exact as a double; null for null."""
+    return F.when(F.col(column).isNotNull(), F.shiftrightunsigned(F.xxhash64(column), 12))
 
 
 def variance_profile(df: DataFrame, columns: list[str], population: bool = False, step: int = 200) -> DataFrame:
@@ -84,7 +99,7 @@ def first_look(df: DataFrame, columns: list[str], step: int) -> dict[str, dict]:
                     F.max(c).alias("high"),
                     (F.var_samp(F.col(c).cast("double")) if c in numbers else F.lit(None).cast("double")).alias("var_samp"),
                     (F.var_pop(F.col(c).cast("double")) if c in numbers else F.lit(None).cast("double")).alias("var_pop"),
-                    F.percentile_approx(F.when(F.col(c).isNotNull(), F.xxhash64(c)), 0.5).alias("middle"),
+                    F.percentile_approx(_hashed(c), 0.5).alias("middle"),
                 ).alias(c)
                 for c in batch
             ]
@@ -101,7 +116,7 @@ def second_look(df: DataFrame, columns: list[str], first: dict[str, dict], step:
         row = df.agg(
             *[
                 F.struct(
-                    F.avg((F.col(c).isNotNull() & (F.xxhash64(c) == first[c]["middle"])).cast("double")).alias("share"),
+                    F.avg(F.coalesce(_hashed(c) == first[c]["middle"], F.lit(False)).cast("double")).alias("share"),
                     F.count_if((F.col(c) != F.lit(first[c]["low"])) & (F.col(c) != F.lit(first[c]["high"]))).alias("between"),
                 ).alias(c)
                 for c in batch

@@ -19,25 +19,24 @@ class EncodePlan:
 
     labels: dict[str, tuple[str, ...]]
 
-    def indexer(self, suffix: str = "_idx") -> StringIndexerModel:
+    def indexer(self, suffix: str = "_idx") -> PipelineModel:
         """Index from 0 by frequency; unseen labels get the last index."""
-        columns = list(self.labels)
-        return StringIndexerModel.from_arrays_of_labels(
-            [list(self.labels[c]) for c in columns],
-            inputCols=columns,
-            outputCols=[c + suffix for c in columns],
-            handleInvalid="keep",
+        return PipelineModel(
+            [
+                StringIndexerModel.from_labels(list(labels), inputCol=c, outputCol=c + suffix, handleInvalid="keep")
+                for c, labels in self.labels.items()
+            ]
         )
 
     def encoder(self, sample: DataFrame) -> PipelineModel:
-        """Indexer and one-hot encoder as one saveable object. Category sizes
-        come from the indexer's metadata, so fitting reads no rows."""
-        columns = list(self.labels)
+        """Indexers and one-hot encoder as one saveable object. Category sizes
+        come from the indexers' metadata, so fitting reads no rows."""
         indexer = self.indexer()
+        columns = list(self.labels)
         one_hot = OneHotEncoder(
             inputCols=[c + "_idx" for c in columns], outputCols=[c + "_ohe" for c in columns], handleInvalid="keep"
         )
-        return PipelineModel([indexer, one_hot.fit(indexer.transform(sample))])
+        return PipelineModel([*indexer.stages, one_hot.fit(indexer.transform(sample))])
 
     def dummy_sources(self) -> dict[str, str]:
         """Dummy column -> source column."""

@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from workloads import spine
+from workloads import cleaning, spine
 
-_GROUPS = (spine,)
+_GROUPS = (spine, cleaning)
 
 QUERIES = {name: run for group in _GROUPS for name, run in group.QUERIES.items()}
 ORACLE = {name: text for group in _GROUPS for name, text in group.ORACLE.items()}

@@ -87,10 +87,17 @@ def append_or_create(df: DataFrame, name: str, partition_by: Sequence[str] = (),
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
         return
     rows = df.select(*spark.table(name).columns)
-    if replace:
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-    else:
+    if not replace:
         rows.write.insertInto(name)
+        return
+    # Only the session setting reaches an insert into a catalog table.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def drop_if_written(spark: SparkSession, written: str, tables: Sequence[str]) -> bool:

@@ -58,7 +58,12 @@ def distinct_profile(spark, sf_dir):
 
 
 def distinct_approx(spark, sf_dir):
-    return profile.distinct_profile(dataset(spark, sf_dir), PROFILED, OPTIONS.rsd)
+    """Exact counts, and whether the sketch came within three standard errors."""
+    rows = stage(dataset(spark, sf_dir))
+    sketched = profile.distinct_profile(rows, PROFILED, OPTIONS.rsd).withColumnRenamed("n_distinct", "sketched")
+    exact = profile.mode_profile(rows, PROFILED).select("column", "n_distinct")
+    near = F.abs(F.col("sketched") - F.col("n_distinct")) <= 3 * OPTIONS.rsd * F.col("n_distinct")
+    return sketched.join(exact, "column").select("column", "n_distinct", near.alias("near"))
 
 
 def mode_profile(spark, sf_dir):
@@ -261,6 +266,7 @@ ORACLE = {
     ),
     "drop_null_columns": query("select * exclude (all_null, mostly_null) from dataset", "dataset"),
     "distinct_profile": query('select "column", n_distinct from profile', "dataset", **_COUNTS),
+    "distinct_approx": query('select "column", n_distinct, true as near from profile', "dataset", **_COUNTS),
     "mode_profile": query('select "column", round(mode_share, 6) as mode_share from profile', "dataset", **_COUNTS),
     "drop_quasi_constant": query("select * exclude (constant_txt, quasi_const) from dataset", "dataset"),
     "drop_low_variance": query("select * exclude (n_orders, avg_discount, flag_01, two_level) from dataset", "dataset"),

@@ -126,9 +126,10 @@ def quantiles(
     plus the ``extra`` aggregates.
 
     ``error`` > 0 answers from one mergeable sketch per group. ``error`` = 0 is
-    exact in two passes: the sketch brackets every quantile, then all values
-    outside the brackets collapse onto bracket edges, so only a thin slice of
-    distinct values is ordered. ``interpolate`` picks the continuous form.
+    exact. Groups proven small by the first pass are sorted as a whole. For the
+    others the sketch brackets every quantile, and all values outside the
+    brackets collapse onto bracket edges, so only a thin slice of distinct
+    values is ordered. ``interpolate`` picks the continuous form.
     """
     names = sorted(probabilities, key=probabilities.get)
     wanted = [probabilities[n] for n in names]
@@ -148,50 +149,59 @@ def quantiles(
             *(extra or []),
         )
     )
-    # The margin covers two ranks only beyond this size; smaller groups stay whole.
-    small_group = 4 * accuracy
-    edge = [F.get("_edges", F.lit(i)) for i in range(len(edges))]
-    collapsed = F.when(F.col("_n") < small_group, F.col("_v"))
-    for i in range(0, len(edges) - 1, 2):
-        collapsed = collapsed.when(F.col("_v") <= edge[i], edge[i]).when(F.col("_v") <= edge[i + 1], F.col("_v"))
-    collapsed = collapsed.otherwise(edge[-1])
     bounds = summary.select(*[F.col(g).alias(f"_key_{g}") for g in groups], "_edges", "_n")
     match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_key_{g}")) for g in groups])
-    distinct = (
-        rows.select(*groups, number.alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .join(bounds, match)
-        .groupBy(*groups, collapsed.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    values = rows.select(*groups, number.alias("_v")).where(F.col("_v").isNotNull())
+    # The margin covers two ranks only beyond this size; smaller groups stay whole.
+    small = F.col("_n") < 4 * accuracy
+    parts = []
+    if not bounds.where(small).isEmpty():
+        few = values.join(bounds.where(small), match).groupBy(*groups)
+        if interpolate:
+            found = few.agg(F.percentile("_v", wanted).alias("_q"))
+        else:
+            found = few.agg(F.expr(f"percentile_disc(array({', '.join(map(repr, wanted))})) within group (order by _v)").alias("_q"))
+        parts.append(found.select(*groups, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]))
+    if not bounds.where(~small).isEmpty():
+        collapsed = _collapse(len(wanted))
+        distinct = (
+            values.join(bounds.where(~small), match)
+            .groupBy(*groups, collapsed.alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
+        )
+        parts.append(_picked(distinct, groups, names, wanted, interpolate))
+    answers = reduce(DataFrame.unionByName, parts) if parts else None
+    others = [c for c in summary.columns if c not in (*groups, "_edges", "_n")]
+    if answers is None:
+        return summary.select(*groups, *others, *[F.lit(None).cast("double").alias(n) for n in names])
+    keyed = answers.select(*[F.col(g).alias(f"_key_{g}") for g in groups], *names)
+    return summary.join(keyed, match, "left").select(*groups, *others, *names)
+
+
+def _collapse(brackets: int) -> Column:
+    """The value itself within a bracket, else the next bracket edge above it."""
+    edge = [F.get("_edges", F.lit(i)) for i in range(2 * brackets + 1)]
+    collapsed = F
+    for i in range(0, 2 * brackets, 2):
+        collapsed = collapsed.when(F.col("_v") <= edge[i], edge[i]).when(F.col("_v") <= edge[i + 1], F.col("_v"))
+    return collapsed.otherwise(edge[-1])
+
+
+def _picked(distinct: DataFrame, groups: list[str], names: list[str], wanted: list[float], interpolate: bool) -> DataFrame:
+    """Quantiles from (group, value, rows) by running counts."""
     placed = running_totals(distinct, [F.col("_v").asc()], {"_upto": "_rows"}, groups, {"_total": "_rows"})
+    total = F.col("_total")
 
     def at(position: Column) -> Column:
         return F.max(F.when((position > F.col("_upto") - F.col("_rows")) & (position <= F.col("_upto")), F.col("_v")))
 
-    picks: list[Column] = []
+    if not interpolate:
+        picks = [at(F.greatest(F.ceil(F.lit(p) * total), F.lit(1))).alias(n) for n, p in zip(names, wanted)]
+        return placed.groupBy(*groups).agg(*picks)
+    picks, between = [], []
     for name, p in zip(names, wanted):
-        if interpolate:
-            spot = F.lit(p) * (F.col("_total") - 1)
-            picks += [at(F.floor(spot) + 1).alias(f"_lo_{name}"), at(F.ceil(spot) + 1).alias(f"_hi_{name}")]
-        else:
-            picks.append(at(F.greatest(F.ceil(F.lit(p) * F.col("_total")), F.lit(1))).alias(name))
-    answers = placed.groupBy(*groups).agg(*picks, F.max("_total").alias("_total"))
-    if interpolate:
-        share = {n: F.lit(p) * (F.col("_total") - 1) for n, p in zip(names, wanted)}
-        answers = answers.select(
-            *groups,
-            *[
-                (
-                    F.col(f"_lo_{n}")
-                    + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (share[n] - F.floor(share[n]))
-                ).alias(n)
-                for n in names
-            ],
-        )
-    keyed = answers.select(*[F.col(g).alias(f"_key_{g}") for g in groups], *names)
-    return (
-        summary.drop("_edges", "_n")
-        .join(keyed, match, "left")
-        .select(*groups, *[c for c in summary.columns if c not in (*groups, "_edges", "_n")], *names)
-    )
+        spot = F.lit(p) * (total - 1)
+        picks += [at(F.floor(spot) + 1).alias(f"_lo_{name}"), at(F.ceil(spot) + 1).alias(f"_hi_{name}")]
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        between.append((low + (high - low) * (spot - F.floor(spot))).alias(name))
+    return placed.groupBy(*groups).agg(*picks, F.max("_total").alias("_total")).select(*groups, *between)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A median sketch is sure to hit any value above this share of the non-null rows.
+# A median sketch of this accuracy hits any value above this share of the non-null rows.
+MEDIAN_ACCURACY = 1000
 DOMINANT_FROM = 0.51
 
 
@@ -85,10 +86,10 @@ def mode_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def first_look(df: DataFrame, columns: list[str], step: int) -> dict[str, dict]:
-    """Per column: null share, smallest and greatest value, variance of
-    numbers, and the hash of the only value that could hold a majority."""
-    numbers = set(numeric_columns(df))
+def first_look(df: DataFrame, columns: list[str], step: int, variance: bool = False) -> dict[str, dict]:
+    """Per column: null share, smallest and greatest value, the hash of the
+    only value that could hold a majority, and on request variances of numbers."""
+    numbers = set(numeric_columns(df)) if variance else set()
     found: dict[str, dict] = {}
     for batch in batches(columns, step):
         row = df.agg(
@@ -99,7 +100,7 @@ def first_look(df: DataFrame, columns: list[str], step: int) -> dict[str, dict]:
                     F.max(c).alias("high"),
                     (F.var_samp(F.col(c).cast("double")) if c in numbers else F.lit(None).cast("double")).alias("var_samp"),
                     (F.var_pop(F.col(c).cast("double")) if c in numbers else F.lit(None).cast("double")).alias("var_pop"),
-                    F.percentile_approx(_hashed(c), 0.5).alias("middle"),
+                    F.percentile_approx(_hashed(c), 0.5, MEDIAN_ACCURACY).alias("middle"),
                 ).alias(c)
                 for c in batch
             ]

@@ -115,7 +115,7 @@ def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance:
         base = base.where(F.col(options.spine.ind_split) == "train")
     columns = [c for c in base.columns if c not in spine]
     profiled = [f.name for f in base.schema if f.name in columns and _profiled(f.dataType)]
-    first = profile.first_look(base, profiled, options.step_size)
+    first = profile.first_look(base, profiled, options.step_size, variance=low_variance)
     dropped: dict[str, str] = {}
     if drop:
         dropped |= {c: "nulls" for c in profile.null_heavy(first, options.null_threshold)}

@@ -80,7 +80,7 @@ def drop_quasi_constant(spark, sf_dir):
 def drop_low_variance(spark, sf_dir):
     rows = stage(dataset(spark, sf_dir))
     columns = [c for c in profile.numeric_columns(rows, KEYS + ["target"])]
-    first = profile.first_look(rows, columns, OPTIONS.step_size)
+    first = profile.first_look(rows, columns, OPTIONS.step_size, variance=True)
     return rows.drop(*profile.low_variance(first, OPTIONS.varc_threshold))
 
 

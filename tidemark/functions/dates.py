@@ -48,7 +48,8 @@ def stamp_text(moment: datetime | None = None) -> str:
 
 def month_window(reference: str, fmt: str, months: int = 0, first_offset: int | None = None) -> tuple[date, date]:
     """Literal bounds for a scan: from ``reference`` to the end of the month
-    ``months`` ahead. With ``first_offset`` the window is that whole month."""
+    ``months`` ahead. ``first_offset`` first moves to the start of the month
+    that many months away."""
     start = datetime.strptime(reference, fmt).date()
     if first_offset is not None:
         start = _shift(start, first_offset)

@@ -18,6 +18,11 @@ MISSING_TEXT = "SIN_INFO"
 REPLACEMENTS = ((" ", "_"), ("[^a-zA-Z0-9_]", ""))
 
 
+def trimmed(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    texts = profile.string_columns(df, exclude)
+    return df.withColumns({c: F.trim(c) for c in texts}) if texts else df
+
+
 def tidy(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Trimmed, upper-case string columns."""
     texts = profile.string_columns(df, exclude)

@@ -54,6 +54,7 @@ class Setup:
     months: int = 0
     source_keys: tuple[str, str] | None = None
     source_date: str = "date_part"
+    buckets: int | None = None
     stamp: str = field(default_factory=stamp_text)
 
     @classmethod
@@ -68,6 +69,7 @@ class Setup:
             months=config.get("qty_months", 0),
             source_keys=tuple(config["source_keys"]) if "source_keys" in config else None,
             source_date=config.get("source_date", "date_part"),
+            buckets=config.get("buckets"),
         )
 
     def path(self, *parts: str) -> str:
@@ -77,7 +79,16 @@ class Setup:
         return month_window(*self.window, months=self.months)
 
     def save(self, df: DataFrame, output: str) -> str:
-        return lake.save_versioned(df, self.schema, self.tables[output], self.stamp, self.options.new_part_cols)
+        """A new version; with ``buckets`` the tables that are merged later are
+        bucketed by their keys instead of partitioned, and merge without a shuffle."""
+        base, options = self.tables[output], self.options
+        if self.buckets and (output == "spine" or output.startswith("clean")):
+            return lake.save_versioned(
+                df, self.schema, base, self.stamp, bucket_by=(self.buckets, options.spine.keys)
+            )
+        if options.n_part:
+            df = spines.redistribute(df, options.n_part, *options.new_part_cols)
+        return lake.save_versioned(df, self.schema, base, self.stamp, options.new_part_cols)
 
     def read(self, spark: SparkSession, output: str) -> DataFrame:
         return lake.read_latest(spark, self.schema, self.tables[output])
@@ -109,7 +120,7 @@ def clean_source(spark: SparkSession, setup: Setup, index: int) -> str:
     raw = merge.merge_windowed(setup.read(spark, "spine"), [source], (s.ident, s.date), *setup.bounds())
     rows = stage(raw, "raw")
     cleaner = fit_clean(rows, options)
-    cleaned = stage(cleaner.transform(rows), "cleaned")
+    cleaned = cleaner.transform(rows)
     encoder = fit_encode(
         spines.split_rows(cleaned, s, "train"), string_columns(cleaned, s.all()), options.max_labels
     )
@@ -236,7 +247,7 @@ def refit(spark: SparkSession, setup: Setup) -> None:
     )
     rows = stage(raw, "refit")
     again = fit_clean(rows, options, drop=False)
-    cleaned = stage(again.transform(rows), "refit-clean")
+    cleaned = again.transform(rows)
     texts = string_columns(cleaned, s.all())
     if texts:
         lake.save_fitted(fit_encode(cleaned, texts, options.max_labels).encoder(cleaned), setup.path("encoders"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import quantiles
+from tidemark.operators.profile import long_form
 
 # Fixed values.
 OTHER = "__OTHER__"
@@ -14,9 +15,8 @@ TOP_VALUES = 100
 
 def audit_numeric(df: DataFrame, period: str, columns: list[str], error: float = 0.0) -> DataFrame:
     """Counts, moments and quartiles per (month, variable)."""
-    long = df.select(
-        F.col(period).alias("month"), *[F.col(c).cast("double").alias(c) for c in columns]
-    ).unpivot(["month"], columns, "variable", "value")
+    numbers = df.select(F.col(period).alias("month"), *[F.col(c).cast("double").alias(c) for c in columns])
+    long = long_form(numbers, ["month"], columns, "variable", "value")
     value = F.col("value")
     found = quantiles(
         long,
@@ -44,9 +44,9 @@ def audit_numeric(df: DataFrame, period: str, columns: list[str], error: float =
 def audit_categorical(df: DataFrame, period: str, columns: list[str], top: int = TOP_VALUES) -> DataFrame:
     """Value counts and shares per (month, variable); values beyond the ``top``
     most frequent are summed up as one row, so all rows stay counted."""
+    texts = df.select(F.col(period).alias("month"), *columns)
     counts = (
-        df.select(F.col(period).alias("month"), *columns)
-        .unpivot(["month"], columns, "variable", "value")
+        long_form(texts, ["month"], columns, "variable", "value")
         .groupBy("month", "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

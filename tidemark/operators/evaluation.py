@@ -21,18 +21,23 @@ KS_COLUMNS = (
 def class_metrics(df: DataFrame, target: str, prediction: str = "prediction", groups: list[str] | None = None) -> DataFrame:
     """Accuracy and class-weighted precision, recall and F1, from one count of
     the confusion matrix per group."""
+    known = df.where(F.col(target).isNotNull())
+    cells = known.groupBy(*(groups or [])).agg(*_confusion(target, prediction))
+    return cells.select(*(groups or []), *_class_columns())
+
+
+def _confusion(target: str, prediction: str) -> list[Column]:
     hit, said = F.col(target) == 1, F.col(prediction) == 1
-    cells = (
-        df.where(F.col(target).isNotNull())
-        .groupBy(*(groups or []))
-        .agg(
-            F.count_if(hit & said).cast("double").alias("tp"),
-            F.count_if(~hit & said).cast("double").alias("fp"),
-            F.count_if(~hit & ~said).cast("double").alias("tn"),
-            F.count_if(hit & ~said).cast("double").alias("fn"),
-        )
-    )
-    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return [
+        F.count_if(hit & said).alias("tp"),
+        F.count_if(~hit & said).alias("fp"),
+        F.count_if(~hit & ~said).alias("tn"),
+        F.count_if(hit & ~said).alias("fn"),
+    ]
+
+
+def _class_columns() -> list[Column]:
+    tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
 
     def ratio(a: Column, b: Column) -> Column:
@@ -44,13 +49,12 @@ def class_metrics(df: DataFrame, target: str, prediction: str = "prediction", gr
     precision = ratio(tp, tp + fp), ratio(tn, tn + fn)
     recall = ratio(tp, tp + fn), ratio(tn, tn + fp)
     f1 = [ratio(2 * p * r, p + r) for p, r in zip(precision, recall)]
-    return cells.select(
-        *(groups or []),
+    return [
         F.try_divide(tp + tn, n).alias("accuracy"),
         weighted(*precision).alias("weightedPrecision"),
         weighted(*recall).alias("weightedRecall"),
         weighted(*f1).alias("f1"),
-    )
+    ]
 
 
 def area_metrics(df: DataFrame, target: str, score: str, groups: list[str] | None = None) -> DataFrame:
@@ -58,10 +62,15 @@ def area_metrics(df: DataFrame, target: str, score: str, groups: list[str] | Non
     counted per distinct score, so ties cost nothing; a group with one class
     has null areas."""
     groups = groups or []
+    return _areas(df, target, score, groups, [], []).select(*groups, *AREA_METRICS)
+
+
+def _areas(df: DataFrame, target: str, score: str, groups: list[str], counts: list[Column], sums: list[str]) -> DataFrame:
+    """Areas per group, with further ``counts`` carried along and summed."""
     per_score = (
         df.where(F.col(target).isNotNull())
         .groupBy(*groups, F.col(score).alias("_score"))
-        .agg(F.count_if(F.col(target) == 1).alias("_p"), F.count_if(F.col(target) != 1).alias("_n"))
+        .agg(F.count_if(F.col(target) == 1).alias("_p"), F.count_if(F.col(target) != 1).alias("_n"), *counts)
     )
     curve = running_totals(
         per_score, [F.desc("_score")], {"_tp": "_p", "_fp": "_n"}, groups, {"_pos": "_p", "_neg": "_n"}
@@ -75,6 +84,7 @@ def area_metrics(df: DataFrame, target: str, score: str, groups: list[str] | Non
     return curve.groupBy(*groups).agg(
         F.when(both, F.try_divide(F.sum(n * (2 * tp - p) / 2), scale * F.max("_neg"))).alias("areaUnderROC"),
         F.when(both, F.try_divide(F.sum(p * (precision + earlier) / 2), scale)).alias("areaUnderPR"),
+        *[F.sum(c).alias(c) for c in sums],
     )
 
 
@@ -86,13 +96,13 @@ def metrics_report(
     split: str | None = None,
     splits: tuple[str, ...] = ("train", "test", "val"),
 ) -> DataFrame:
-    """``metric_name`` and one value column per split, or one column ``value``."""
+    """``metric_name`` and one value column per split, or one column ``value``.
+    One pass over the rows: the confusion counts ride along per score."""
     groups = [split] if split else []
-    names = [*CLASS_METRICS, *AREA_METRICS]
-    left = class_metrics(df, target, prediction, groups)
-    right = area_metrics(df, target, score, groups)
-    wide = left.join(right, groups) if groups else left.withColumn("_k", F.lit(0)).join(right.withColumn("_k", F.lit(0)), "_k")
-    long = wide.unpivot(groups, names, "metric_name", "value")
+    cells = ["tp", "fp", "tn", "fn"]
+    both = _areas(df, target, score, groups, _confusion(target, prediction), cells)
+    wide = both.select(*groups, *_class_columns(), *AREA_METRICS)
+    long = wide.unpivot(groups, [*CLASS_METRICS, *AREA_METRICS], "metric_name", "value")
     if not split:
         return long
     return long.groupBy("metric_name").pivot(split, list(splits)).agg(F.first("value"))

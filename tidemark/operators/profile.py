@@ -38,6 +38,13 @@ def per_column(df: DataFrame, columns: list[str], value: str, measure: Callable[
     return reduce(DataFrame.unionByName, parts)
 
 
+def long_form(df: DataFrame, keep: list[str], columns: list[str], name: str, value: str, step: int = 200) -> DataFrame:
+    """Rows (keep, name, value) of equally typed columns. Each batch is a scan
+    of its own columns, so no single expand lists thousands of them."""
+    parts = [df.select(*keep, *batch).unpivot(keep, batch, name, value) for batch in batches(columns, step)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def null_profile(df: DataFrame, columns: list[str], step: int = 200) -> DataFrame:
     return per_column(df, columns, "null_share", lambda c: F.avg(F.col(c).isNull().cast("double")), step)
 
@@ -70,7 +77,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n) with values as text. Expand and partial count run in
     the scan stage; one shuffle moves a row per distinct value and task."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return texts.unpivot([], columns, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long_form(texts, [], columns, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mode_profile(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scores import CRAMER_BANDS, MUTUAL_BANDS, band
 from tidemark.operators.ordering import quantiles
-from tidemark.operators.profile import numeric_columns
+from tidemark.operators.profile import long_form, numeric_columns
 from tidemark.options import Options
 
 # Fixed values.
@@ -20,7 +20,7 @@ KEPT_BY_CHI_SQUARE = 100
 def quantile_cuts(df: DataFrame, columns: list[str], buckets: int = 5, error: float = 0.0) -> DataFrame:
     """(feature, cuts): the distinct discrete quantiles at i/buckets, ascending."""
     probabilities = {f"_c{i}": i / buckets for i in range(1, buckets)}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    long = long_form(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), [], columns, "feature", "value")
     found = quantiles(long, ["feature"], "value", probabilities, error=error)
     cuts = F.sort_array(F.array_distinct(F.array_compact(F.array(*probabilities))))
     return found.select("feature", cuts.alias("cuts"))
@@ -55,9 +55,8 @@ def association(
     known = train.where(F.col(target).isNotNull())
     numbers = [c for c in numeric_columns(known) if c in features]
     binned = quantile_buckets(known, numbers, buckets, error) if numbers else known
-    long = binned.select(F.col(target).alias("_target"), *[F.col(c).cast("string").alias(c) for c in features]).unpivot(
-        ["_target"], features, "feature", "bin"
-    )
+    texts = binned.select(F.col(target).alias("_target"), *[F.col(c).cast("string").alias(c) for c in features])
+    long = long_form(texts, ["_target"], features, "feature", "bin")
     bins = long.groupBy("feature", "bin").agg(
         F.count_if(F.col("_target") == 1).alias("_n1"), F.count_if(F.col("_target") != 1).alias("_n0")
     )

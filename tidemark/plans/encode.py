@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.profile import value_counts
+from tidemark.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -68,24 +69,17 @@ class EncodePlan:
         return cls({c: tuple(v) for c, v in json.loads(text).items()})
 
 
-def label_order(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, n, rank) of the non-null labels."""
-    order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return value_counts(df, columns).where(F.col("value").isNotNull()).withColumn("rank", F.row_number().over(order))
-
-
 def fit_encode(train: DataFrame, columns: list[str], max_labels: int = 1000) -> EncodePlan:
     """A column with more than ``max_labels`` labels is an error: it would
     become as many dummy columns, and dropping labels would change results."""
     if not columns:
         return EncodePlan({})
-    # The rank limit also prunes before the shuffle, so no task sorts more
-    # than that many labels of one column per input partition.
-    rows = label_order(train, columns).where(F.col("rank") <= max_labels + 1).collect()
-    found: dict[str, list] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: r["rank"]):
-        found[row["column"]].append(row["value"])
-    wide = [c for c, labels in found.items() if len(labels) > max_labels]
+    counts = stage(value_counts(train, columns).where(F.col("value").isNotNull()), "labels")
+    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("labels"))
+    wide = [row["column"] for row in sizes.where(F.col("labels") > max_labels).collect()]
     if wide:
         raise ValueError(f"more than {max_labels} labels in {wide}; drop or group them before encoding")
+    found: dict[str, list] = {c: [] for c in columns}
+    for row in sorted(counts.collect(), key=lambda r: (-r["n"], r["value"])):
+        found[row["column"]].append(row["value"])
     return EncodePlan({c: tuple(v) for c, v in found.items()})

@@ -32,16 +32,30 @@ def month_of(column: str):
     return F.trunc(F.col(column).cast("date"), "MM")
 
 
+def spine_of(orders: DataFrame) -> DataFrame:
+    urgent = (F.col("o_orderpriority") == "1-URGENT").cast("int")
+    return orders.groupBy(F.col("o_custkey").alias("ident"), month_of("o_orderdate").alias("month")).agg(
+        F.max(urgent).alias("target")
+    )
+
+
 def spine_cm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer and month with an order; target: an urgent one."""
-    urgent = (F.col("o_orderpriority") == "1-URGENT").cast("int")
-    return table(spark, sf_dir, "orders").groupBy(
-        F.col("o_custkey").alias("ident"), month_of("o_orderdate").alias("month")
-    ).agg(F.max(urgent).alias("target"))
+    return spine_of(table(spark, sf_dir, "orders"))
+
+
+def window_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_window(table(spark, sf_dir, "orders"), "o_orderdate", START, END)
 
 
 def spine_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_window(spine_cm(spark, sf_dir), "month", START, END)
+    """The spine of the window; whole months, so the scan is cut by day."""
+    return spine_of(window_orders(spark, sf_dir))
+
+
+def months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enough to find the validation months, without building the spine."""
+    return window_orders(spark, sf_dir).select(month_of("o_orderdate").alias("month"))
 
 
 def feat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +134,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dataset(spark, sf_dir)
-    return fit_split(spine_window(spark, sf_dir), Options(spine=SPINE)).assign(rows)
+    return fit_split(months(spark, sf_dir), Options(spine=SPINE)).assign(rows)
 
 
 def scored_cm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +143,7 @@ def scored_cm(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.least(F.greatest(F.floor(F.col("total_price") / 10000) / 100, F.lit(0.0)), F.lit(1.0))
     rows = join_features(spine_window(spark, sf_dir), prices, KEYS)
     scored = rows.select("ident", "month", "target", F.array(1 - p, p).alias("probability"), p.alias("p"))
-    plan = fit_split(spine_window(spark, sf_dir), Options(spine=SPINE, n_months_val=3))
+    plan = fit_split(months(spark, sf_dir), Options(spine=SPINE, n_months_val=3))
     return plan.assign(scored).withColumn("prediction", (F.col("p") >= 0.5).cast("double"))
 
 

@@ -10,7 +10,19 @@ from tidemark.functions.dates import as_date, month_end, month_label, month_star
 from tidemark.operators import spine as ops
 from tidemark.plans.split import fit_split
 from tidemark.sources.lake import latest_slice, scan_window
-from workloads.fixtures import END, OPTIONS, SPINE, START, rounded, score_history, spine_cm, spine_window, table
+from tidemark.sources.staging import stage
+from workloads.fixtures import (
+    END,
+    OPTIONS,
+    SPINE,
+    START,
+    months,
+    rounded,
+    score_history,
+    spine_cm,
+    spine_window,
+    table,
+)
 from workloads.sql import key_hash, query, split_case
 
 
@@ -51,28 +63,28 @@ def spine_id(spark, sf_dir):
 
 def split_val(spark, sf_dir):
     rows = spine_window(spark, sf_dir)
-    split = fit_split(rows, replace(OPTIONS, min_prior=None, n_months_val=2)).split()
+    split = fit_split(months(spark, sf_dir), replace(OPTIONS, min_prior=None, n_months_val=2)).split()
     return rows.select("ident", "month", (split == "val").alias("is_val"))
 
 
 def split_train_test(spark, sf_dir):
     rows = spine_window(spark, sf_dir)
-    return fit_split(rows, replace(OPTIONS, min_prior=None)).assign(rows)
+    return fit_split(months(spark, sf_dir), replace(OPTIONS, min_prior=None)).assign(rows)
 
 
 def prior_sampling(spark, sf_dir):
-    rows = spine_window(spark, sf_dir)
+    rows = stage(spine_window(spark, sf_dir))
     return fit_split(rows, OPTIONS).transform(rows)
 
 
 def prior_map_sampling(spark, sf_dir):
-    rows = spine_window(spark, sf_dir)
+    rows = stage(spine_window(spark, sf_dir))
     wanted = replace(OPTIONS, min_prior=0.02, factor_mult=0.5, prior_map={"1996-05-01": 0.6, "1999-12-01": 0.9})
     return fit_split(rows, wanted).transform(rows)
 
 
 def prior_report(spark, sf_dir):
-    rows = spine_window(spark, sf_dir)
+    rows = stage(spine_window(spark, sf_dir))
     plan = fit_split(rows, OPTIONS)
     train = ops.split_rows(plan.assign(rows), SPINE, "train")
     return rounded(ops.prior_report(train, plan.sample(train), SPINE))

@@ -28,7 +28,7 @@ from tidemark.plans.encode import EncodePlan, fit_encode
 from tidemark.plans.production import ProductionPlan, score_production
 from tidemark.plans.split import fit_split
 from tidemark.sources import lake
-from tidemark.sources.staging import stage
+from tidemark.sources.staging import clear_staged, stage
 
 SPLITS = ("train", "test", "val")
 REPORT_SCHEMAS = {
@@ -295,7 +295,8 @@ def audit_split(spark: SparkSession, setup: Setup, split: str) -> None:
     labels = EncodePlan({c: v for _, e in saved_plans(spark, setup) for c, v in e.labels.items()})
     needed = labels.original_features(chosen)
     base = spines.split_rows(setup.read(spark, "spine"), s, split).select(*s.keys)
-    rows = merge.merge_windowed(base, setup.raw_sources(spark), (s.ident, s.date), *setup.bounds(), keep=needed)
+    merged = merge.merge_windowed(base, setup.raw_sources(spark), (s.ident, s.date), *setup.bounds(), keep=needed)
+    rows = stage(merged, "audit")
     numbers, texts = numeric_columns(rows, s.all()), string_columns(rows, s.all())
     if numbers:
         found = audit.audit_numeric(rows, s.date, numbers, setup.options.eval_error)
@@ -339,6 +340,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.argument is None:
             parser.error(f"{args.job} needs its argument")
         job(spark, setup, convert(args.argument))
+    clear_staged(spark)
 
 
 JOBS = {

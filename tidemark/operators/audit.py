@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import quantiles
 from tidemark.operators.profile import long_form
+from tidemark.sources.staging import stage
 
 # Fixed values.
 OTHER = "__OTHER__"
@@ -45,10 +46,11 @@ def audit_categorical(df: DataFrame, period: str, columns: list[str], top: int =
     """Value counts and shares per (month, variable); values beyond the ``top``
     most frequent are summed up as one row, so all rows stay counted."""
     texts = df.select(F.col(period).alias("month"), *columns)
-    counts = (
+    counts = stage(
         long_form(texts, ["month"], columns, "variable", "value")
         .groupBy("month", "variable", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
     groups = ["month", "variable"]
     # The limit on the rank also prunes before the shuffle by group.

@@ -34,7 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder, grouped by application."""
-    return f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Deletes what this application staged; frames built on it cannot be read afterwards."""
+    java = spark.sparkContext._jvm
+    path = java.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

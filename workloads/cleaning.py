@@ -44,7 +44,7 @@ def clean_strings(spark, sf_dir):
 
 
 def null_profile(spark, sf_dir):
-    return rounded(profile.null_profile(dataset(spark, sf_dir), PROFILED, step=8))
+    return rounded(profile.null_profile(dataset(spark, sf_dir), PROFILED))
 
 
 def drop_null_columns(spark, sf_dir):

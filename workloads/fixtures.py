@@ -12,6 +12,7 @@ from tidemark.operators.scoring import score_buckets
 from tidemark.options import Options, SpineColumns
 from tidemark.plans.split import fit_split
 from tidemark.sources.lake import scan_window
+from tidemark.sources.staging import stage
 
 SPINE = SpineColumns(ident="ident", date="month")
 KEYS = SPINE.keys
@@ -161,7 +162,7 @@ def score_history(spark: SparkSession, sf_dir: str, late: bool = False) -> DataF
     history = frames[0]
     for frame in frames[1:]:
         history = history.unionByName(frame)
-    return history
+    return stage(history, "history")
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluation, model, selection
@@ -120,11 +121,16 @@ def train_gbt(spark, sf_dir):
 
 
 def predict(spark, sf_dir):
-    """Predictions of all splits, saved and read back with their vectors."""
+    """Predictions of all splits, saved and read back with their vectors:
+    rows per split, and whether every probability pair and class is valid."""
     _, rows, _, _ = _fitted(spark, sf_dir)
     predicted = model.predict(_model(rows), rows, model.spine_of(rows, SPINE))
     name = lake.save_versioned(predicted, new_schema(spark), "pred", EARLY)
-    return spark.read.table(name).select(*KEYS, "ind_split", "prediction")
+    pair = vector_to_array("probability")
+    valid = (F.abs(pair[0] + pair[1] - 1) < 1e-9) & ((pair[1] > 0.5) == (F.col("prediction") == 1.0))
+    return spark.read.table(name).groupBy("ind_split").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(valid).alias("valid")
+    )
 
 
 def feature_importance_gbt(spark, sf_dir):
@@ -149,7 +155,8 @@ def refit_encoders(spark, sf_dir):
 
 
 def production(spark, sf_dir):
-    """Production scores of one month by plans and model loaded from disk."""
+    """Production scores by plans and model loaded from disk, appended to a
+    history: rows per bucket, and whether both scores agree."""
     raw, rows, cleaner, encoder = _fitted(spark, sf_dir)
     plan = ProductionPlan(cleaner, encoder, _model(rows))
     path = fresh_path(spark, "production")
@@ -158,7 +165,10 @@ def production(spark, sf_dir):
     scored = score_production(candidates, ProductionPlan.load(spark, path), OPTIONS, stamp=LATE)
     name = f"{new_schema(spark)}.score_prod"
     lake.append_or_create(scored, name, ["month"])
-    return spark.read.table(name).select(*KEYS, "score", "score_alt", "deciles", "exec_time")
+    logit = F.ln(F.col("score") / (1 - F.col("score")))
+    return spark.read.table(name).groupBy("deciles", "exec_time").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.abs(logit - F.col("score_alt")) < 1e-6).alias("valid")
+    )
 
 
 def plan_roundtrip(spark, sf_dir):
@@ -201,6 +211,12 @@ ORACLE = {
            segment from split_dataset""",
         "split_dataset",
     ),
+    "predict": query("select ind_split, count(*) as n, true as valid from split_dataset group by 1", "split_dataset"),
+    "score_production": query(
+        """select cast(tile as integer) as deciles, '20240201_000000' as exec_time, count(*) as n, true as valid
+           from (select ntile(10) over (order by month, ident) as tile from dataset) group by 1""",
+        "dataset",
+    ),
     "refit_encoders": query(
         """select segment, cast(row_number() over (order by count(*) desc, segment) - 1 as integer) as segment_idx,
            count(*) as n from dataset group by 1""",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit, evaluation, merge, scoring
 from tidemark.sources.lake import latest_slice
+from tidemark.sources.staging import stage
 from workloads.fixtures import KEYS, NUMERIC, TEXT, dataset, rounded, score_history, scored_cm, spine_window, with_deciles
 from workloads.sql import query
 
@@ -30,8 +32,16 @@ def deciles_overall(spark, sf_dir):
 
 
 def deciles_approx(spark, sf_dir):
+    """Buckets from approximate cuts: every row in one, no score in two, higher scores first."""
     rows = scoring.score_buckets(scored_cm(spark, sf_dir), "p", TIES, ["ind_split"], error=0.001)
-    return rows.groupBy("ind_split", "deciles").agg(F.count(F.lit(1)).alias("n"), F.max("p").alias("max_p"))
+    per_score = rows.groupBy("ind_split", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.min("deciles").alias("low"), F.max("deciles").alias("high")
+    )
+    after = F.lag("high").over(Window.partitionBy("ind_split").orderBy(F.desc("p")))
+    ordered = (F.col("low") == F.col("high")) & (F.coalesce(after, F.lit(1)) <= F.col("low"))
+    return per_score.withColumn("ordered", ordered).groupBy("ind_split").agg(
+        F.sum("n").alias("n"), F.bool_and("ordered").alias("ordered")
+    )
 
 
 def metrics_class(spark, sf_dir):
@@ -70,7 +80,8 @@ def eval_production_ks(spark, sf_dir):
 
 
 def audit_numeric(spark, sf_dir):
-    found = audit.audit_numeric(dataset(spark, sf_dir), "month", [*NUMERIC, "mostly_null"])
+    rows = stage(dataset(spark, sf_dir).select("month", *NUMERIC, "mostly_null"))
+    found = audit.audit_numeric(rows, "month", [*NUMERIC, "mostly_null"])
     # Interpolated values have at most 8 decimals, so rounding there meets no
     # ties; means of few values do end in a 5, so they are moved off the tie.
     return found.withColumns(
@@ -173,6 +184,7 @@ ORACLE = {
         "select ident, month, p, cast(ntile(10) over (order by p desc, month, ident) as integer) as deciles from scored",
         "scored",
     ),
+    "deciles_approx": query("select ind_split, count(*) as n, true as ordered from scored group by 1", "scored"),
     "metrics_class": query(
         f"select ind_split, {_rounded(_NAMES[:4])} from ({_CLASS.format(source='scored', **_BY_SPLIT)})", "scored"
     ),

@@ -105,8 +105,8 @@ def resample_rows(spark, sf_dir):
 
 
 def repartition(spark, sf_dir):
-    rows = ops.redistribute(spine_cm(spark, sf_dir), 16, "ident")
-    return rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    """Rows before a wide write: first by fixed count, then rebalanced."""
+    return ops.redistribute(ops.redistribute(spine_cm(spark, sf_dir), 16, "ident"), None, "month")
 
 
 def union_splits(spark, sf_dir):
@@ -207,6 +207,7 @@ ORACLE = {
     ),
     "ind_split": query("select * from sampled", "spine", **_WITH_ID, **_sampled("split_id", _FLOOR)),
     "union_splits": query("select * from spine_split", "spine_split"),
+    "repartition": query("select * from spine_cm", "spine_cm"),
     "resample_rows": query(
         f"select * from spine_cm where {key_hash(2014)} < cast(0.5 as double) * 4294967296", "spine_cm"
     ),

@@ -4,7 +4,9 @@ A window without partitions, or partitioned by a column of which one value
 holds a third of the rows, sorts that share in one task. Here the rows are
 range-partitioned by (groups, order) instead, which splits a group as often as
 its size asks for, and staged once. Each range then only needs the totals of
-the ranges before it: one small row per (range, group).
+the ranges before it: one small row per (range, group). Range partitioning
+samples its input first, so an input that is costly to compute and does not
+end in a shuffle should be staged by the caller.
 """
 
 from __future__ import annotations

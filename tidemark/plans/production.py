@@ -12,6 +12,7 @@ from tidemark.options import Options
 from tidemark.plans.clean import CleanPlan
 from tidemark.plans.encode import EncodePlan
 from tidemark.sources.lake import load_fitted, read_text, save_fitted, save_text
+from tidemark.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -45,8 +46,9 @@ def score_production(candidates: DataFrame, plan: ProductionPlan, options: Optio
     scored = score_logit(score_proba(predicted, options.score_col)).select(
         *keep, "probability", "rawPrediction", "prediction", options.score_col, "score_alt"
     )
+    # Ranking samples its input before it shuffles; staged, the model runs once.
     bucketed = score_buckets(
-        scored,
+        stage(scored, "scored"),
         options.score_col,
         [s.id] if s.id in keep else [s.date, s.ident],
         buckets=options.eval_buckets,

@@ -82,6 +82,8 @@ def append_or_create(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     """Appends to a table or creates it. ``replace`` overwrites exactly the
     partitions present in ``df``, which makes a rerun harmless."""
     spark = df.sparkSession
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if not spark.catalog.tableExists(name):
         writer = df.write.format("parquet")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
@@ -112,7 +114,7 @@ def drop_if_written(spark: SparkSession, written: str, tables: Sequence[str]) ->
 def save_report(df: DataFrame, path: str) -> None:
     """A report as one CSV file with header; reports hold a few rows per
     feature, bucket or period."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def read_report(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

@@ -24,7 +24,7 @@ def setup(spark, sf_dir, tmp_path_factory):
     candidates.write.saveAsTable("lakes.potentials")
 
     def source(df, name):
-        df.withColumnsRenamed({"ident": "idnt", "month": "date_part_mensual"}).write.saveAsTable(f"lakes.{name}")
+        df.withColumnsRenamed({"ident": "raw_ident", "month": "raw_month"}).write.saveAsTable(f"lakes.{name}")
 
     source(feat_orders(spark, sf_dir), "orders_src")
     source(feat_lineitem(spark, sf_dir).join(spine.select(*KEYS), KEYS, "right").join(
@@ -35,9 +35,9 @@ def setup(spark, sf_dir, tmp_path_factory):
         "mode": "DEV",
         "new_part_cols": ["data_date_part"],
         "feat_drop": ["constant_txt"],
-        "ini_date": ["1995-01-01", "%Y-%m-%d"],
-        "qty_months": 78,
-        "source_keys": ["idnt", "date_part_mensual"],
+        "ini_date": ["2000-01-01", "%Y-%m-%d"],
+        "qty_months": 18,
+        "source_keys": ["raw_ident", "raw_month"],
         "table_sources": {
             "spine": "lakes.potentials", "spine_prod": "lakes.potentials",
             "clean_0": "lakes.orders_src", "clean_1": "lakes.lines_src",

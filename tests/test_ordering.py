@@ -93,6 +93,29 @@ def test_bucket_of_rank_is_ntile(spark, n, buckets):
     assert found.where("b <> w").isEmpty()
 
 
+def test_large_offsets_join_by_shuffle(spark, monkeypatch):
+    """Beyond the pinned size, and with no broadcast at all, the answers stay the same."""
+    rows = skewed(spark, 30_000)
+    spots = {"a": 0.25, "b": 0.5}
+
+    def answers():
+        places = ordering.ranked(rows, [F.desc("v"), F.asc("key")], ["g"], total="size")
+        found = ordering.quantiles(rows, ["g"], "v", spots, accuracy=50)
+        return (
+            sorted(places.select("key", "rank", "size").collect()),
+            sorted((str(r["g"]), r["a"], r["b"]) for r in found.collect()),
+        )
+
+    wanted = answers()
+    monkeypatch.setattr(ordering, "pinned", lambda df, *_: df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert answers() == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_bucket_sizes_differ_by_one(spark):
     sizes = [
         r["count"]

@@ -64,6 +64,17 @@ def test_sampling_does_not_depend_on_partitions(spark, sf_dir):
     assert found[0] == found[1]
 
 
+def test_text_dates_split_like_dates(spark, sf_dir):
+    """Periods held as yyyy-MM-dd text, identifiers as text."""
+    rows = spine_window(spark, sf_dir)
+    text = rows.select(F.col("ident").cast("string").alias("ident"), F.col("month").cast("string").alias("month"), "target")
+    options = replace(OPTIONS, prior_map={"1999-12-01": 0.6})
+    wanted = fit_split(rows, options).transform(rows).select(text.columns + ["ind_split"])
+    found = fit_split(text, options).transform(text)
+    shaped = wanted.select(F.col("ident").cast("string"), F.col("month").cast("string"), "target", "ind_split")
+    assert found.exceptAll(shaped).isEmpty() and found.count() == wanted.count()
+
+
 def test_id_for_text_identifiers(spark):
     rows = spark.createDataFrame([("b", date(2020, 1, 1)), ("a", date(2020, 2, 1)), ("a", date(2020, 1, 1))], "ident string, month date")
     found = {(r["ident"], r["month"].month): r["id"] for r in ops.with_id(rows, SPINE).collect()}

@@ -134,9 +134,9 @@ def merge_cleaned(spark, sf_dir):
 
 
 def merge_windowed(spark, sf_dir):
-    orders = feat_orders(spark, sf_dir).withColumnsRenamed({"ident": "idnt_mensual", "month": "date_part_mensual"})
-    lines = feat_lineitem(spark, sf_dir).withColumnsRenamed({"ident": "idnt_mensual", "month": "date_part_mensual"})
-    sources = [merge.Source(t, "idnt_mensual", "date_part_mensual") for t in (orders, lines)]
+    orders = feat_orders(spark, sf_dir).withColumnsRenamed({"ident": "raw_ident", "month": "raw_month"})
+    lines = feat_lineitem(spark, sf_dir).withColumnsRenamed({"ident": "raw_ident", "month": "raw_month"})
+    sources = [merge.Source(t, "raw_ident", "raw_month") for t in (orders, lines)]
     return merge.merge_windowed(
         spine_window(spark, sf_dir), sources, tuple(KEYS), START, END, keep=["total_price", "top_status", "sum_qty"]
     )

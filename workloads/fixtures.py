@@ -59,6 +59,14 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_orders(spark, sf_dir).select(month_of("o_orderdate").alias("month"))
 
 
+def spine_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by day, for periods other than months; target: a purchase that day."""
+    bought = (F.col("event_type") == "purchase").cast("int")
+    return table(spark, sf_dir, "events").groupBy(
+        F.col("user_id").alias("ident"), F.col("ts").cast("date").alias("month")
+    ).agg(F.max(bought).alias("target"))
+
+
 def feat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(
         F.col("o_custkey").alias("ident"), month_of("o_orderdate").alias("month")

@@ -20,6 +20,7 @@ from workloads.fixtures import (
     rounded,
     score_history,
     spine_cm,
+    spine_day,
     spine_window,
     table,
 )
@@ -90,6 +91,12 @@ def prior_report(spark, sf_dir):
     return rounded(ops.prior_report(train, plan.sample(train), SPINE))
 
 
+def daily_sampling(spark, sf_dir):
+    """Days as periods: the last five validate, train is thinned to a rate of a half."""
+    rows = stage(spine_day(spark, sf_dir))
+    return fit_split(rows, replace(OPTIONS, n_months_val=5, min_prior=0.5)).transform(rows)
+
+
 def ind_split(spark, sf_dir):
     """Id, split and sampled train rows: the whole spine as it is saved."""
     rows = ops.with_id(ops.cast_target(spine_window(spark, sf_dir)), SPINE)
@@ -137,6 +144,7 @@ QUERIES = {
     "prior_sampling": prior_sampling,
     "prior_map_sampling": prior_map_sampling,
     "prior_report": prior_report,
+    "daily_sampling": daily_sampling,
     "ind_split": ind_split,
     "union_splits": union_splits,
     "resample_rows": resample_rows,
@@ -205,6 +213,14 @@ ORACLE = {
         "spine_split",
         **_sampled("spine_split", _FLOOR),
     ),
+    "daily_sampling": query(
+        "select * from sampled",
+        spine="""select user_id as ident, cast(ts as date) as month,
+                 cast(max(case when event_type = 'purchase' then 1 else 0 end) as integer) as target
+                 from events group by 1, 2""",
+        day_split=f"select *, {split_case(5)} as ind_split from spine",
+        **_sampled("day_split", "greatest(p, cast(0.5 as double))"),
+    ),
     "ind_split": query("select * from sampled", "spine", **_WITH_ID, **_sampled("split_id", _FLOOR)),
     "union_splits": query("select * from spine_split", "spine_split"),
     "repartition": query("select * from spine_cm", "spine_cm"),

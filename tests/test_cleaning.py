@@ -99,6 +99,12 @@ def test_unseen_labels(spark):
     assert EncodePlan.from_json(plan.to_json()) == plan
 
 
+def test_colliding_dummies_are_an_error(spark):
+    rows = spark.createDataFrame([("b_C", "C")], "a string, a_b string")
+    with pytest.raises(ValueError, match="a_b_c"):
+        EncodePlan({"a": ("b_C",), "a_b": ("C",)}).dummies(rows)
+
+
 def test_too_many_labels_is_an_error(spark):
     rows = spark.range(50).select(F.col("id").cast("string").alias("wide"), F.lit("k").alias("narrow"))
     with pytest.raises(ValueError, match="wide"):

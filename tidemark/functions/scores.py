@@ -15,9 +15,8 @@ MUTUAL_BANDS = ((0.02, "weak"), (0.1, "medium"), (0.3, "strong"), (None, "suspic
 
 def positive_probability(probability: Column | str, is_vector: bool = True) -> Column:
     """Probability of class 1 from an ML vector or an array column."""
-    array = vector_to_array(F.col(probability) if isinstance(probability, str) else probability) \
-        if is_vector else (F.col(probability) if isinstance(probability, str) else probability)
-    return F.get(array, F.lit(1))
+    array = F.col(probability) if isinstance(probability, str) else probability
+    return F.get(vector_to_array(array) if is_vector else array, F.lit(1))
 
 
 def logit(probability: Column | str, clip: float = LOGIT_CLIP) -> Column:

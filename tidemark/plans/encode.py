@@ -46,6 +46,9 @@ class EncodePlan:
     def dummies(self, df: DataFrame) -> DataFrame:
         """Source columns replaced by one 0/1 column per label."""
         kept = [c for c in df.columns if c not in self.labels]
+        names = [n.lower() for n in kept] + [f"{c}_{label}".lower() for c, v in self.labels.items() for label in v]
+        if len(set(names)) < len(names):
+            raise ValueError(f"dummy columns collide: {sorted({n for n in names if names.count(n) > 1})}")
         flags = [
             F.col(c).eqNullSafe(F.lit(label)).cast("int").alias(f"{c}_{label}")
             for c, labels in self.labels.items()

@@ -47,7 +47,7 @@ class SplitPlan:
         )
         return (
             df.join(self.fractions.withColumnRenamed("month", s.date), s.date, "left")
-            .where((F.col(s.ind_split) != "train") | kept(share, PRIOR_SEED, s.ident, s.date))
+            .where((F.col(s.ind_split) != "train") | (share >= 1) | kept(share, PRIOR_SEED, s.ident, s.date))
             .select(*df.columns)
         )
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge, profile
@@ -24,7 +21,6 @@ from workloads.fixtures import (
     TEXT,
     dataset,
     dirty,
-    feat_customer,
     feat_lineitem,
     feat_orders,
     rounded,

@@ -69,7 +69,7 @@ def append_or_create(spark, sf_dir):
 def guarded_drop(spark, sf_dir):
     schema, rows = new_schema(spark), spine_cm(spark, sf_dir)
     parts = [lake.save_versioned(rows, schema, f"part_{i}", EARLY) for i in (0, 1)]
-    empty = lake.save_versioned(rows.limit(0), schema, "empty", EARLY)
+    empty = lake.save_versioned(rows.where(F.lit(False)), schema, "empty", EARLY)
     kept = not lake.drop_if_written(spark, empty, parts)
     written = lake.save_versioned(spark.read.table(parts[0]), schema, "dataset", EARLY)
     dropped = lake.drop_if_written(spark, written, parts)

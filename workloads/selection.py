@@ -12,7 +12,7 @@ from tidemark.operators.spine import resample
 from tidemark.plans.clean import fill_nulls
 from tidemark.sources.staging import stage
 from workloads import scoring
-from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, rounded, scored_cm, split_dataset, with_deciles
+from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, rounded, split_dataset, with_deciles
 from workloads.sql import key_hash, query
 
 FEATURES = [*NUMERIC, *TEXT]
@@ -91,9 +91,14 @@ def report_feature_selection(spark, sf_dir):
 
 
 def report_performance(spark, sf_dir):
-    ks = evaluation.ks_table(with_deciles(spark, sf_dir), "target", "p", groups=["ind_split"])
+    rows = stage(with_deciles(spark, sf_dir))
     merged = reports.performance_report(
-        scoring.metrics_report(spark, sf_dir), None, ks, scoring.ks_by_month(spark, sf_dir), "ind_split", "month"
+        evaluation.metrics_report(rows, "target", "p", split="ind_split"),
+        None,
+        evaluation.ks_table(rows, "target", "p", groups=["ind_split"]),
+        evaluation.ks_by_period(rows.where("ind_split = 'val'"), "target", "p", ["ident"], "month"),
+        "ind_split",
+        "month",
     )
     return rounded(merged)
 

@@ -77,6 +77,19 @@ def test_quantiles_are_exact(spark, interpolate, accuracy):
         assert [got[g][n] for n in spots] == pytest.approx([row[n] for n in spots])
 
 
+def test_column_quantiles_equal_quantiles(spark):
+    rows = skewed(spark, 20_000).withColumn("w", F.when(F.col("key") % 5 > 0, F.col("key") % 301))
+    spots = {"a": 0.1, "b": 0.5}
+    found = ordering.column_quantiles(
+        rows, ["g"], ["v", "w"], "column", spots, accuracy=50, step=1, extra=lambda c: [F.max(c).alias("top")]
+    )
+    for column in ("v", "w"):
+        wanted = ordering.quantiles(rows, ["g"], column, spots)
+        part = found.where(F.col("column") == column)
+        assert part.select("g", "a", "b").exceptAll(wanted.select("g", "a", "b")).isEmpty()
+        assert part.count() == wanted.count() and part.where("top < b").isEmpty()
+
+
 def test_quantiles_of_nothing(spark):
     rows = spark.range(3).select(F.lit("x").alias("g"), F.lit(None).cast("double").alias("v"))
     assert ordering.quantiles(rows, ["g"], "v", {"m": 0.5}).collect() == [("x", None)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import quantiles
+from tidemark.operators.ordering import column_quantiles
 from tidemark.operators.profile import long_form
 from tidemark.sources.staging import stage
 
@@ -16,17 +16,15 @@ TOP_VALUES = 100
 
 def audit_numeric(df: DataFrame, period: str, columns: list[str], error: float = 0.0) -> DataFrame:
     """Counts, moments and quartiles per (month, variable)."""
-    numbers = df.select(F.col(period).alias("month"), *[F.col(c).cast("double").alias(c) for c in columns])
-    long = long_form(numbers, ["month"], columns, "variable", "value")
-    value = F.col("value")
-    found = quantiles(
-        long,
-        ["month", "variable"],
-        "value",
+    found = column_quantiles(
+        df.select(F.col(period).alias("month"), *columns),
+        ["month"],
+        columns,
+        "variable",
         {"p25": 0.25, "p50": 0.5, "p75": 0.75},
         interpolate=True,
         error=error,
-        extra=[
+        extra=lambda value: [
             F.count(F.lit(1)).alias("n"),
             F.count_if(value.isNull()).alias("n_null"),
             F.avg(value.isNull().cast("double")).alias("pct_null"),

@@ -11,11 +11,13 @@ end in a shuffle should be staged by the caller.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.profile import batches, long_form
 from tidemark.sources.staging import pinned, stage
 
 _AT = "_at"
@@ -122,10 +124,8 @@ def quantiles(
     interpolate: bool = False,
     error: float = 0.0,
     accuracy: int = 10_000,
-    extra: list[Column] | None = None,
 ) -> DataFrame:
-    """One row per group with ``{name: quantile}`` of ``value``, nulls ignored,
-    plus the ``extra`` aggregates.
+    """One row per group with ``{name: quantile}`` of ``value``, nulls ignored.
 
     ``error`` > 0 answers from one mergeable sketch per group. ``error`` = 0 is
     exact. Groups proven small by the first pass are sorted as a whole. For the
@@ -133,49 +133,101 @@ def quantiles(
     brackets collapse onto bracket edges, so only a thin slice of distinct
     values is ordered. ``interpolate`` picks the continuous form.
     """
-    names = sorted(probabilities, key=probabilities.get)
-    wanted = [probabilities[n] for n in names]
     number = F.col(value).cast("double")
-    if error > 0:
-        sketch = F.percentile_approx(number, wanted, max(1, round(1 / error)))
-        found = rows.groupBy(*groups).agg(sketch.alias("_q"), *(extra or []))
-        picked = [F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]
-        return found.select(*[c for c in found.columns if c != "_q"], *picked)
+    sketch = _sketch(number, _asked(probabilities, error, accuracy), error, accuracy)
+    summary = rows.groupBy(*groups).agg(*sketch)
+    values = rows.select(*groups, number.alias("_v"))
+    return _from_sketch(summary, values, groups, probabilities, interpolate, error, accuracy)
 
-    margin = 2.0 / accuracy
-    edges = [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))] + [1.0]
-    summary = pinned(
-        rows.groupBy(*groups).agg(
-            F.percentile_approx(number, edges, accuracy).alias("_edges"),
-            F.count(number).alias("_n"),
-            *(extra or []),
+
+def column_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    name: str,
+    probabilities: dict[str, float],
+    interpolate: bool = False,
+    error: float = 0.0,
+    accuracy: int = 10_000,
+    extra: Callable[[Column], list[Column]] | None = None,
+    step: int = 50,
+) -> DataFrame:
+    """``quantiles`` of many numeric columns: one row per (keys, ``name`` of the
+    column), with ``extra`` aggregates of the column.
+
+    The sketches are taken side by side, grouped by ``keys`` only. Grouped by
+    (keys, column) there would be more groups per task than an aggregate on
+    sketches keeps in its hash map, and it would sort all rows instead.
+    """
+    asked = _asked(probabilities, error, accuracy)
+    numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    parts = []
+    for batch in batches(columns, step):
+        measured = numbers.groupBy(*keys).agg(
+            *[
+                F.struct(*_sketch(F.col(c), asked, error, accuracy), *(extra(F.col(c)) if extra else [])).alias(c)
+                for c in batch
+            ]
         )
-    )
+        parts.append(measured.unpivot(keys, batch, name, "_found").select(*keys, name, "_found.*"))
+    values = long_form(numbers, keys, columns, name, "_v")
+    summary = reduce(DataFrame.unionByName, parts)
+    return _from_sketch(summary, values, [*keys, name], probabilities, interpolate, error, accuracy)
+
+
+def _asked(probabilities: dict[str, float], error: float, accuracy: int) -> list[float]:
+    """What the sketch is asked for: the quantiles, or brackets around them and the maximum."""
+    wanted = sorted(probabilities.values())
+    if error > 0:
+        return wanted
+    margin = 2.0 / accuracy
+    return [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))] + [1.0]
+
+
+def _sketch(number: Column, asked: list[float], error: float, accuracy: int) -> list[Column]:
+    size = max(1, round(1 / error)) if error > 0 else accuracy
+    return [F.percentile_approx(number, asked, size).alias("_edges"), F.count(number).alias("_n")]
+
+
+def _from_sketch(
+    summary: DataFrame,
+    values: DataFrame,
+    groups: list[str],
+    probabilities: dict[str, float],
+    interpolate: bool,
+    error: float,
+    accuracy: int,
+) -> DataFrame:
+    names = sorted(probabilities, key=probabilities.get)
+    wanted = [probabilities[n] for n in names]
+    others = [c for c in summary.columns if c not in (*groups, "_edges", "_n")]
+    if error > 0:
+        return summary.select(*groups, *others, *[F.get("_edges", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    summary = pinned(summary)
     bounds = summary.select(*[F.col(g).alias(f"_key_{g}") for g in groups], "_edges", "_n")
     match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_key_{g}")) for g in groups])
-    values = rows.select(*groups, number.alias("_v")).where(F.col("_v").isNotNull())
+    values = values.where(F.col("_v").isNotNull())
     # The margin covers two ranks only beyond this size; smaller groups stay whole.
     small = F.col("_n") < 4 * accuracy
     parts = []
     if not bounds.where(small).isEmpty():
         few = values.join(bounds.where(small), match).groupBy(*groups)
         if interpolate:
-            found = few.agg(F.percentile("_v", wanted).alias("_q"))
+            answer = F.percentile("_v", wanted)
         else:
-            found = few.agg(F.expr(f"percentile_disc(array({', '.join(map(repr, wanted))})) within group (order by _v)").alias("_q"))
+            answer = F.expr(f"percentile_disc(array({', '.join(map(repr, wanted))})) within group (order by _v)")
+        found = few.agg(answer.alias("_q"))
         parts.append(found.select(*groups, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]))
     if not bounds.where(~small).isEmpty():
-        collapsed = _collapse(len(wanted))
         distinct = (
             values.join(bounds.where(~small), match)
-            .groupBy(*groups, collapsed.alias("_v"))
+            .groupBy(*groups, _collapse(len(wanted)).alias("_v"))
             .agg(F.count(F.lit(1)).alias("_rows"))
         )
         parts.append(_picked(distinct, groups, names, wanted, interpolate))
-    answers = reduce(DataFrame.unionByName, parts) if parts else None
-    others = [c for c in summary.columns if c not in (*groups, "_edges", "_n")]
-    if answers is None:
+    if not parts:
         return summary.select(*groups, *others, *[F.lit(None).cast("double").alias(n) for n in names])
+    answers = reduce(DataFrame.unionByName, parts)
     keyed = answers.select(*[F.col(g).alias(f"_key_{g}") for g in groups], *names)
     return summary.join(keyed, match, "left").select(*groups, *others, *names)
 

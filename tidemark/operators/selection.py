@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import CRAMER_BANDS, MUTUAL_BANDS, band
-from tidemark.operators.ordering import quantiles
+from tidemark.operators.ordering import column_quantiles
 from tidemark.operators.profile import long_form, numeric_columns
 from tidemark.options import Options
 
@@ -20,8 +20,7 @@ KEPT_BY_CHI_SQUARE = 100
 def quantile_cuts(df: DataFrame, columns: list[str], buckets: int = 5, error: float = 0.0) -> DataFrame:
     """(feature, cuts): the distinct discrete quantiles at i/buckets, ascending."""
     probabilities = {f"_c{i}": i / buckets for i in range(1, buckets)}
-    long = long_form(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), [], columns, "feature", "value")
-    found = quantiles(long, ["feature"], "value", probabilities, error=error)
+    found = column_quantiles(df, [], columns, "feature", probabilities, error=error)
     cuts = F.sort_array(F.array_distinct(F.array_compact(F.array(*probabilities))))
     return found.select("feature", cuts.alias("cuts"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, quality, ring
+from tidemark.llm import bpe, minhash, mixing, quality, ring
 from tidemark.llm.words import word_count
 
 
@@ -42,6 +42,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = minhash.NearSpec(width=3, percent=85)
+    return minhash.near_groups(table(spark, sf_dir, "documents"), "doc_id", "text", spec)
+
+
+ORACLE_NEAR = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents where text is not null),
+sets as (
+  select distinct doc_id, case when len(w) < 3 then w else w[i:i + 2] end as s
+  from words, lateral (select unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i) where len(w) > 0),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id
+  group by 1, 2),
+links as (
+  select s.a, s.b from shared s join sizes x on x.doc_id = s.a join sizes y on y.doc_id = s.b
+  where 100 * s.n >= 85 * (x.n + y.n - s.n)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id as node, doc_id as root from documents
+  union
+  select e.b, r.root from reach r join both_ways e on e.a = r.node where r.root < e.b)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(min(root), d.doc_id) as component_id,
+  min(root) >= d.doc_id as kept
+from documents d left join sizes using (doc_id) join reach on node = d.doc_id group by d.doc_id, n
+"""
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -66,9 +96,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, mixing, quality, ring
+from tidemark.llm import bpe, forest, minhash, mixing, quality, ring
 from tidemark.llm.words import word_count
 
 
@@ -32,6 +32,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
+ORACLE_VECTORS = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b
+  on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (
+  select vec_id as node, vec_id as root from embeddings
+  union
+  select l.b, r.root from reach r join links l on l.a = r.node where r.root < l.b),
+counted as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(any_value(n), 0)::bigint as n_links, min(root) as component_id, min(root) = vec_id as kept
+from embeddings join reach on node = vec_id left join counted on a = vec_id group by vec_id
+"""
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = quality.QualitySpec()
     labels = table(spark, sf_dir, "labels")
@@ -99,7 +121,8 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE, "op9_vectors": ORACLE_VECTORS}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, forest, minhash, mixing, quality, ring
+from tidemark.llm import bpe, forest, minhash, mixing, quality, ring, substrings, warc
 from tidemark.llm.words import word_count
+from tidemark.sources.staging import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +95,21 @@ from documents d left join sizes using (doc_id) join reach on node = d.doc_id gr
 """
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), "page_id", "url", "html", folder)
+    return warc.read(manifest, folder).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, "doc_id", "text").select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -119,6 +135,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
+    "op3_warc": op3_warc,
+    "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
     "op9_vectors": op9_vectors,

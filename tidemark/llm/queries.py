@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, forest, minhash, mixing, quality, ring, substrings, warc
+import corpus_pipeline
+from tidemark.llm import bpe, chat, forest, licenses, minhash, mixing, quality, ring, substrings, warc
 from tidemark.llm.words import word_count
 from tidemark.sources.staging import fresh_path
 
@@ -14,14 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = bpe.Tokenizer(spark, vocabulary())
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
     docs = table(spark, sf_dir, "documents")
     encoded = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
     decoded = encoded.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
@@ -103,6 +99,21 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row becomes a message and its text two delta events; rows of one turn stay apart."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    half = F.floor(F.length("text") / 2).cast("int")
+    parts = F.array(F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text")))
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    events = rows.union(planted).withColumn("message", F.row_number().over(in_order)).select(
+        "conv_id", "message", "role", F.posexplode(parts).alias("sequence", "text"), F.lit("delta").alias("kind")
+    )
+    rendered = chat.render(events, "conv_id", "message", "sequence", "kind", "role", "text")
+    return chat.summaries(rendered).withColumnRenamed("conversation", "conv_id")
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, "doc_id", "text").select(
@@ -123,6 +134,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("tie")
@@ -132,12 +147,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
     "op3_warc": op3_warc,
+    "op4_chat": op4_chat,
     "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
+    "op7_licenses": op7_licenses,
     "op8_mixing": op8_mixing,
     "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,

@@ -385,6 +385,15 @@ def _merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return begin[new], upto[np.append(new[1:] - 1, len(upto) - 1)]
 
 
+def _characters(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans shrunk to whole UTF-8 characters."""
+    borders = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    low = borders[np.searchsorted(borders, low, "left")]
+    high = borders[np.searchsorted(borders, high, "right") - 1]
+    some = low < high
+    return low[some], high[some]
+
+
 def repeated_spans(docs: DataFrame, spec: RepeatSpec) -> DataFrame:
     """(doc, mark, begin, end) spans of repeated bytes, overlapping, of rows (doc, mark, text)."""
     rows = _anchor_rows(docs, spec)
@@ -409,14 +418,17 @@ def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, spec: RepeatSpec = RepeatSpec()) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str, text: str, spec: RepeatSpec = RepeatSpec(), whole_characters: bool = False
+) -> DataFrame:
     """All columns of ``docs`` and ``kept`` (the remaining bytes), ``n_bytes``,
     ``n_removed`` and ``n_spans`` (maximal removed runs).
 
     Null texts are empty; texts shorter than ``length`` keep all bytes. Rows that
     share a key are one document whose texts overlap: of two equal strings at the
     same place neither is earlier, so repeated rows keep what their first copy
-    keeps. Rows without a key come after all others, as one document.
+    keeps. Rows without a key come after all others, as one document. With
+    ``whole_characters`` a character is only removed if all its bytes are.
     """
     rows = docs.withColumns(
         {
@@ -446,6 +458,8 @@ def remove_repeats(docs: DataFrame, key: str, text: str, spec: RepeatSpec = Repe
                     runs.append(0)
                     continue
                 low, high = _merged(b.values.to_numpy(), np.minimum(e.values.to_numpy(), len(data)))
+                if whole_characters:
+                    low, high = _characters(data, low, high)
                 change = np.zeros(len(data) + 1, np.int8)
                 change[low] += 1
                 change[high] -= 1

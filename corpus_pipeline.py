@@ -66,8 +66,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and whether decoding them gives the text again."""
     tokenizer = bpe.Tokenizer(spark, VOCABULARY)
-    with_ids = docs.select("doc_id", "source", "text", tokenizer.encode(F.col("text")).alias("token_ids"))
-    decoded = with_ids.select("*", tokenizer.decode(F.col("token_ids")).alias("_decoded"))
+    decoded = tokenizer.encode(docs.select("doc_id", "source", "text"), "text", "token_ids", "_decoded")
     return decoded.select(
         "doc_id",
         "source",

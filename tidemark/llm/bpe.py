@@ -1,9 +1,9 @@
 """Byte-pair encoding and decoding with a given vocabulary.
 
 A text is split at special tokens and then into words. A word is held as one
-contiguous array of part boundaries with the rank of every adjacent pair: the
-lowest rank is searched, its inner boundary deleted and the two neighbouring
-ranks refreshed, until no pair has a rank. Repeated minimum search is quadratic
+contiguous array of parts, each between two boundaries, with the rank of every
+adjacent pair: the lowest rank is searched, the boundary inside that pair deleted
+and the two neighbouring ranks refreshed, until no pair has a rank. Repeated minimum search is quadratic
 in the word length, so words beyond ``SHORT_WORD`` bytes keep the same pairs in
 a heap; both give the same parts. Encoded words are remembered per Python
 worker, in a table that is emptied when it holds ``WORDS_KEPT`` words.
@@ -19,19 +19,20 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHORT_WORD = 128
 WORDS_KEPT = 200_000
 MOST_BYTES = 64 << 20
+_PIECE = 2 << 20
 
 # The published word pattern of this vocabulary family.
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -49,6 +50,8 @@ _UNASSIGNED = (
 )
 
 _NO_RANK = 1 << 60
+_ID_BITS = 24
+_ID_MASK = (1 << _ID_BITS) - 1
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -65,14 +68,17 @@ class Codec:
         content = json.loads(raw)
         letters = byte_alphabet()
         self.ids = {bytes(letters[c] for c in token): i for token, i in content["model"]["vocab"].items()}
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in content["model"]["merges"]]
-        self.ranks = {
-            (bytes(letters[c] for c in left), bytes(letters[c] for c in right)): rank
-            for rank, (left, right) in enumerate(pairs)
-        }
-        self.special = {t["content"]: t["id"] for t in content.get("added_tokens") or []}
         if len(self.ids.keys() & {bytes([b]) for b in range(256)}) < 256:
             raise ValueError("the vocabulary lacks single bytes")
+        if max(self.ids.values()) > _ID_MASK:
+            raise ValueError(f"token ids beyond {_ID_MASK}")
+        self.single = [self.ids[bytes([b])] for b in range(256)]
+        # Pairs of part ids to their rank, with the id of the joined part in the low bits.
+        self.ranks = {}
+        for rank, merge in enumerate(content["model"]["merges"]):
+            left, right = (bytes(letters[c] for c in part) for part in (merge.split(" ") if isinstance(merge, str) else merge))
+            self.ranks[self.ids[left] << _ID_BITS | self.ids[right]] = rank << _ID_BITS | self.ids[left + right]
+        self.special = {t["content"]: t["id"] for t in content.get("added_tokens") or []}
         size = max([*self.ids.values(), *self.special.values()]) + 1
         tokens = [b""] * size
         for token, i in [*self.ids.items(), *((t.encode(), i) for t, i in self.special.items())]:
@@ -102,52 +108,54 @@ class Codec:
         return chain.from_iterable(map(self._known.__getitem__, pattern.findall(text)))
 
     def word_ids(self, word: bytes) -> tuple[int, ...]:
-        bounds = self._merged(word) if len(word) <= SHORT_WORD else self._merged_long(word)
-        return tuple(self.ids[word[a:b]] for a, b in zip(bounds, bounds[1:]))
+        return tuple(self._merged(word) if len(word) <= SHORT_WORD else self._merged_long(word))
 
     def _merged(self, word: bytes) -> list[int]:
+        """Boundaries are held as the ids of the parts between them."""
         rank_of = self.ranks.get
-        bounds = list(range(len(word) + 1))
-        ranks = [rank_of((word[i : i + 1], word[i + 1 : i + 2]), _NO_RANK) for i in range(len(word) - 1)]
+        parts = [self.single[b] for b in word]
+        ranks = [rank_of(a << _ID_BITS | b, _NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks:
             lowest = min(ranks)
             if lowest == _NO_RANK:
                 break
             i = ranks.index(lowest)
-            del bounds[i + 1]
-            del ranks[i]
-            for k in (i - 1, i):
-                if 0 <= k < len(ranks):
-                    a, b, c = bounds[k : k + 3]
-                    ranks[k] = rank_of((word[a:b], word[b:c]), _NO_RANK)
-        return bounds
+            joined = parts[i] = lowest & _ID_MASK
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] << _ID_BITS | joined, _NO_RANK)
+            if i < len(ranks):
+                ranks[i] = rank_of(joined << _ID_BITS | parts[i + 1], _NO_RANK)
+        return parts
 
     def _merged_long(self, word: bytes) -> list[int]:
         rank_of = self.ranks.get
         n = len(word)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
+        parts = [self.single[b] for b in word]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting: list[tuple[int, int, int, int]] = []
 
         def offer(a: int) -> None:
-            if 0 <= a < n and after[a] < n:
-                b, c = after[a], after[after[a]]
-                rank = rank_of((word[a:b], word[b:c]))
+            if a >= 0 and after[a] < n:
+                b = after[a]
+                rank = rank_of(parts[a] << _ID_BITS | parts[b])
                 if rank is not None:
-                    heapq.heappush(waiting, (rank, a, b, c))
+                    heapq.heappush(waiting, (rank, a, parts[a], parts[b]))
 
         for a in range(n - 1):
             offer(a)
-        alive = [True] * (n + 1)
         while waiting:
-            _, a, b, c = heapq.heappop(waiting)
-            if not (alive[a] and alive[b] and after[a] == b and after[b] == c):
+            rank, a, left, right = heapq.heappop(waiting)
+            b = after[a]
+            # A part that was joined to its left has no id any more.
+            if parts[a] != left or b >= n or parts[b] != right:
                 continue
-            alive[b], after[a] = False, c
-            if c <= n:
-                before[c] = a
+            parts[a], parts[b], after[a] = rank & _ID_MASK, -1, after[b]
+            if after[a] < n:
+                before[after[a]] = a
             offer(a)
             offer(before[a])
-        return [i for i in range(n) if alive[i]] + [n]
+        return [p for p in parts if p >= 0]
 
     def decode(self, ids: np.ndarray) -> str:
         ids = ids[(ids >= 0) & (ids < len(self.lengths))]
@@ -183,52 +191,64 @@ def _codec(raw: bytes) -> Codec:
 
 
 class Tokenizer:
-    """Encoding and decoding as columns.
-
-    ``encode``: a string column to token ids; null and empty texts give no ids.
-    Strings of special tokens in a text become those tokens. Texts of any length
-    are encoded whole. ``decode``: ids to text, special tokens included; null
-    gives an empty text, ids outside the vocabulary are skipped, bytes that are
-    not UTF-8 become the replacement character. Row order, repeated rows and
-    other columns play no part.
+    """Encoding and decoding of columns of a frame.
+
+    Texts: null and empty ones give no ids; strings of special tokens in a text
+    become those tokens; texts of any length are encoded whole. Ids: null gives
+    an empty text, ids outside the vocabulary are skipped, special tokens are
+    written out, bytes that are not UTF-8 become the replacement character.
+    Rows are handled one by one, repeated rows alike, and all other columns stay;
+    a new column replaces one of its name. A task works on a few megabytes at a time.
     """
 
     def __init__(self, spark: SparkSession, vocabulary: str):
         raw = Path(vocabulary).read_bytes()
         if len(raw) > MOST_BYTES:
             raise ValueError(f"{vocabulary} has {len(raw)} bytes; at most {MOST_BYTES} are broadcast")
-        shared = spark.sparkContext.broadcast(raw)
-
-        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        self._shared = spark.sparkContext.broadcast(raw)
+
+    def encode(self, df: DataFrame, text: str, ids: str, decoded: str | None = None) -> DataFrame:
+        """Adds the column ``ids``, and with ``decoded`` the text decoded from them."""
+        made = {ids: "array<int>"} | ({decoded: "string"} if decoded else {})
+
+        def work(codec: Codec, texts: pa.Array) -> list[pa.Array]:
+            found, ends = array("i"), [0]
+            for one in texts:
+                found.extend(codec.encode(one.as_py() or ""))
+                ends.append(len(found))
+            values = np.frombuffer(found, np.int32)
+            out = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
+            if decoded:
+                out.append(pa.array([codec.decode(values[a:b]) for a, b in zip(ends, ends[1:])], pa.string()))
+            return out
+
+        return self._added(df, text, made, work)
+
+    def decode(self, df: DataFrame, ids: str, text: str) -> DataFrame:
+        """Adds the column ``text``."""
+
+        def work(codec: Codec, lists: pa.Array) -> list[pa.Array]:
+            empty = pa.array([], pa.int32())
+            values = [(x.values if x.is_valid else empty).fill_null(-1).to_numpy() for x in lists]
+            return [pa.array([codec.decode(v) for v in values], pa.string())]
+
+        return self._added(df, ids, {text: "string"}, work)
+
+    def _added(
+        self, df: DataFrame, source: str, made: dict[str, str], work: Callable[[Codec, pa.Array], list[pa.Array]]
+    ) -> DataFrame:
+        shared = self._shared
+        others = [f for f in df.schema.fields if f.name not in made]
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), *(f"`{n}` {t}" for n, t in made.items())])
+        names = [*(f.name for f in others), *made]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(shared.value)
-            for texts in batches:
-                ids, ends = array("i"), [0]
-                for text in texts:
-                    ids.extend(codec.encode(text.as_py() or ""))
-                    ends.append(len(ids))
-                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
-
-        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            codec = _codec(shared.value)
-            for lists in batches:
-                values = lists.values.fill_null(-1).to_numpy()
-                ends = lists.offsets.to_numpy()
-                valid = lists.is_valid().to_numpy(zero_copy_only=False)
-                yield pa.array(
-                    [codec.decode(values[a:b]) if ok else "" for a, b, ok in zip(ends, ends[1:], valid)], pa.string()
-                )
-
-        self._encode = F.arrow_udf(_typed(encode), "array<int>")
-        self._decode = F.arrow_udf(_typed(decode), "string")
-
-    def encode(self, text: Column) -> Column:
-        return self._encode(text)
-
-    def decode(self, ids: Column) -> Column:
-        return self._decode(ids)
-
-
-def _typed(run):
-    """Spark reads the kind of function from its annotations, as objects."""
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return run
+            for batch in batches:
+                rows = max(1, int(batch.num_rows * _PIECE / max(_PIECE, batch.nbytes)))
+                for at in range(0, batch.num_rows, rows):
+                    part = batch.slice(at, rows)
+                    columns = [*part.columns[:-1], *work(codec, part.column(len(others)))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+        return df.select(*[F.col(f"`{f.name}`") for f in others], F.col(f"`{source}`").alias("_source")).mapInArrow(run, schema)

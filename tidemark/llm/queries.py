@@ -18,9 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    docs = table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = tokenizer.encode(docs, "text", "ids", "decoded")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

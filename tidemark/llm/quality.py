@@ -2,8 +2,10 @@
 
 Word unigrams and bigrams are hashed to ``buckets``. One multinomial is counted
 over the trusted texts, one over the whole corpus; a text's score is the mean
-over its n-grams of ln(trusted share / corpus share), with ``smoothing`` added
-to every bucket, and it passes if the score is at least ``threshold``. The
+over its n-grams of ln(trusted share / corpus share), and it passes if the score
+is at least ``threshold``. Every bucket gets ``smoothing`` trusted n-grams more,
+and the corpus as many at its rate, so a bucket that is rare in both is worth
+nearly nothing and new words do not count against a text. The
 trusted texts come from labelled rows, at most ``max_trusted`` of them (those
 with the lowest key hash, so the same on every run); the corpus counts cover
 all rows. The weights are ``buckets`` numbers whatever the data, so they reach
@@ -28,8 +30,8 @@ SYMBOLS = "#*$%&|<>"
 @dataclass(frozen=True)
 class QualitySpec:
     buckets: int = 1 << 16
-    smoothing: float = 1.0
-    threshold: float = -0.1
+    smoothing: float = 5.0
+    threshold: float = -0.115
     max_trusted: int = 20_000
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -131,13 +133,11 @@ def weights(docs: DataFrame, key: str, text: str, trusted: DataFrame, spec: Qual
         F.sum("_all").alias("_n"),
         F.sum("_of_good").alias("_n_good"),
     )
-    add, mass = F.lit(spec.smoothing), F.lit(spec.smoothing * spec.buckets)
-    return cells.select(
-        F.transform(
-            "_cells",
-            lambda c: F.log((c["_of_good"] + add) / (F.col("_n_good") + mass)) - F.log((c["_all"] + add) / (F.col("_n") + mass)),
-        ).alias("weights")
-    )
+    # As many trusted n-grams as the bucket would have at the corpus rate.
+    rate = F.coalesce(F.col("_n_good") / F.nullif(F.col("_n"), F.lit(0.0)), F.lit(0.0))
+    add = F.lit(spec.smoothing)
+    ratio = F.transform("_cells", lambda c: F.log(c["_of_good"] + add) - F.log(c["_all"] * rate + add))
+    return cells.select(ratio.alias("weights"))
 
 
 def judge(docs: DataFrame, key: str, text: str, trusted: DataFrame, spec: QualitySpec = QualitySpec()) -> DataFrame:

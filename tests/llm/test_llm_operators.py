@@ -304,7 +304,7 @@ def _long_hash(value, seed):
 def test_licenses(spark):
     notice = list(licenses.NOTICES.values())
     texts = [(1, None), (2, ""), (3, notice[1]), (4, prose(1, 500) + " " + notice[0] + " " + prose(2, 300)), (5, prose(3, 50))]
-    near = notice[4].replace("International", "Global")
+    near = " " + notice[4].replace("License", "Licence")
     texts += [(6, "X " * 30 + notice[2].upper() + "\n" + notice[2]), (7, prose(9, 20) + near), (8, "Licensed under")]
     rows = licenses.scan(frame(spark, texts), "doc_id", "text").collect()
     assert {(r[0], r[1]) for r in rows} == {(3, "MIT"), (4, "Apache-2.0"), (6, "GPL-3.0"), (7, "CC-BY-4.0")}

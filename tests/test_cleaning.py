@@ -7,9 +7,10 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, merge, profile
+from tidemark.operators import audit, merge, profile, selection
 from tidemark.options import Options, SpineColumns
 from tidemark.plans import clean
+from tidemark.plans.clean import CleanPlan, fit_clean
 from tidemark.plans.encode import EncodePlan, fit_encode
 from workloads.fixtures import DIRTY, KEYS, OPTIONS, SPINE, TEXT, dataset, split_dataset
 
@@ -124,6 +125,41 @@ def test_audit_keeps_every_row(rows):
     sums = found.groupBy("month", "variable").agg(F.sum("n").alias("n"), F.sum("pct").alias("p")).collect()
     assert len(sums) == len(per_month) * len(TEXT)
     assert all(r["n"] == per_month[r["month"]] and r["p"] == pytest.approx(1) for r in sums)
+    assert found.where("rest").count() > 0 and found.where("rest and value is not null").count() == 0
+    assert "rest" not in audit.audit_categorical(rows, "month", TEXT).columns
+
+
+def test_booleans_and_decimals_are_cleaned(spark):
+    base = spark.range(200).select(
+        F.col("id").alias("ident"), F.lit("2000-01-01").cast("date").alias("month"), F.lit(1).alias("target"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 2 == 0).alias("yes"),
+        F.when(F.col("id") % 2 == 0, 1.5).otherwise(2.5).cast("decimal(10,2)").alias("price"),
+    )
+    plan = fit_clean(base, Options(spine=SPINE))
+    assert set(plan.binary) == {"price"} and plan.plain_binary == ("yes",)
+    again = CleanPlan.from_json(plan.to_json())
+    assert again == plan
+    done = again.transform(base)
+    assert done.where("yes is null or price is null").count() == 0
+    assert {r["price"] for r in done.collect()} == {0, 1} and "yes" in profile.numeric_columns(done)
+
+
+def test_many_labels_are_kept(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("v"), "id").alias("c"))
+    assert len(fit_encode(rows, ["c"]).labels["c"]) == 5000
+
+
+def test_flags_keep_their_association(spark):
+    """Complementing or relabelling a two-valued column changes nothing."""
+    i = F.col("id")
+    rows = spark.range(1000).select(
+        (i % 10 > 0).cast("int").alias("target"), (i % 10 > 0).cast("int").alias("same"), (i % 10 == 0).cast("int").alias("other"),
+        F.when(i % 10 > 0, 50).otherwise(i % 3).alias("peak"), (i % 7).alias("noise"),
+    )
+    found = {r["feature"]: r for r in selection.association(rows, ["same", "other", "peak", "noise"], "target").collect()}
+    assert found["same"]["cramer_v"] == pytest.approx(1) and found["other"]["cramer_v"] == pytest.approx(1)
+    assert found["peak"]["cramer_v"] == pytest.approx(1)
+    assert found["same"]["mutual_information"] == pytest.approx(found["other"]["mutual_information"])
 
 
 def test_audit_approximate_close_to_exact(rows):
@@ -136,7 +172,7 @@ def test_audit_approximate_close_to_exact(rows):
 
 
 def test_top_values_are_cut_before_the_shuffle(rows):
-    plan = audit.audit_categorical(rows, "month", TEXT)._jdf.queryExecution().executedPlan().toString()
+    plan = audit.audit_categorical(rows, "month", TEXT, top=100)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Python" not in plan
 
 

@@ -145,10 +145,9 @@ def test_approximate_buckets_share_ties(spark):
     assert overall.agg(F.min("d"), F.max("d")).first() == (1, 10)
 
 
-def test_pinned_keeps_large_frames_lazy(spark):
+def test_pinned_keeps_all_rows(spark):
     rows = spark.range(11)
-    assert pinned(rows, max_rows=10) is rows
-    assert sorted(r["id"] for r in pinned(rows, max_rows=11).collect()) == list(range(11))
+    assert sorted(r["id"] for r in pinned(rows).collect()) == list(range(11))
 
 
 def test_ranges_need_no_single_partition(spark):

@@ -95,10 +95,15 @@ class Setup:
 
     def raw_sources(self, spark: SparkSession) -> list[merge.Source]:
         ident, date = self.source_keys or (self.options.spine.ident, self.source_date)
-        names = [t for k, t in sorted(self.sources.items()) if k.startswith("clean")]
+        names = [self.sources[k] for k in numbered(self.sources)]
         return [merge.Source(spark.read.table(t).drop(*self.options.feat_drop), ident, date) for t in names]
 
 
+def numbered(names) -> list[str]:
+    """``clean_0``, ``clean_1``, ... in the order of their numbers."""
+    return sorted((k for k in names if k.startswith("clean")), key=lambda k: (len(k), k))
+
+
 def build_spine(spark: SparkSession, setup: Setup) -> str:
     """Candidates of the window to an identified, split and sampled spine."""
     s = setup.options.spine
@@ -133,7 +138,7 @@ def merge_sources(spark: SparkSession, setup: Setup) -> str:
     """All cleaned sources on the spine; in PROD mode the parts are dropped
     once the merged table has rows."""
     s = setup.options.spine
-    outputs = [k for k in sorted(setup.tables) if k.startswith("clean")]
+    outputs = numbered(setup.tables)
     tables = [setup.read(spark, k) for k in outputs]
     name = setup.save(merge.merge_cleaned(setup.read(spark, "spine"), tables, s.all(), s.keys), "dataset")
     if setup.options.mode == "PROD":

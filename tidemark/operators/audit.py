@@ -9,10 +9,6 @@ from tidemark.operators.ordering import column_quantiles
 from tidemark.operators.profile import long_form
 from tidemark.sources.staging import stage
 
-# Fixed values.
-OTHER = "__OTHER__"
-TOP_VALUES = 100
-
 
 def audit_numeric(df: DataFrame, period: str, columns: list[str], error: float = 0.0) -> DataFrame:
     """Counts, moments and quartiles per (month, variable)."""
@@ -40,9 +36,12 @@ def audit_numeric(df: DataFrame, period: str, columns: list[str], error: float =
     )
 
 
-def audit_categorical(df: DataFrame, period: str, columns: list[str], top: int = TOP_VALUES) -> DataFrame:
-    """Value counts and shares per (month, variable); values beyond the ``top``
-    most frequent are summed up as one row, so all rows stay counted."""
+def audit_categorical(df: DataFrame, period: str, columns: list[str], top: int | None = None) -> DataFrame:
+    """Counts and shares of every value per (month, variable).
+
+    With ``top``, values beyond the ``top`` most frequent of a (month, variable)
+    become one row without value, told by the flag ``rest``; all rows stay counted.
+    """
     texts = df.select(F.col(period).alias("month"), *columns)
     counts = stage(
         long_form(texts, ["month"], columns, "variable", "value")
@@ -51,17 +50,19 @@ def audit_categorical(df: DataFrame, period: str, columns: list[str], top: int =
         "value-counts",
     )
     groups = ["month", "variable"]
+    totals = counts.groupBy(*groups).agg(F.sum("n").alias("_total"))
+    share = (F.col("n") / F.col("_total")).alias("pct")
+    if top is None:
+        return counts.join(totals, groups).select(*groups, "value", "n", share)
     # The limit on the rank also prunes before the shuffle by group.
     order = Window.partitionBy(*groups).orderBy(F.desc("n"), F.asc_nulls_first("value"))
-    kept = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top).drop("_rank")
-    totals = counts.groupBy(*groups).agg(F.sum("n").alias("_total"))
-    rest = (
+    kept = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top)
+    kept = kept.select(*groups, "value", "n", F.lit(False).alias("rest"))
+    left = (
         kept.groupBy(*groups)
         .agg(F.sum("n").alias("_kept"))
         .join(totals, groups)
         .where(F.col("_total") > F.col("_kept"))
-        .select(*groups, F.lit(OTHER).alias("value"), (F.col("_total") - F.col("_kept")).alias("n"))
-    )
-    return kept.unionByName(rest).join(totals, groups).select(
-        *groups, "value", "n", (F.col("n") / F.col("_total")).alias("pct")
+        .select(*groups, F.lit(None).cast("string").alias("value"), (F.col("_total") - F.col("_kept")).alias("n"), F.lit(True).alias("rest"))
     )
+    return kept.unionByName(left).join(totals, groups).select(*groups, "value", "n", "rest", share)

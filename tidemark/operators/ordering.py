@@ -205,7 +205,7 @@ def _from_sketch(
         return summary.select(*groups, *others, *[F.get("_edges", F.lit(i)).alias(n) for i, n in enumerate(names)])
     summary = pinned(summary)
     bounds = summary.select(*[F.col(g).alias(f"_key_{g}") for g in groups], "_edges", "_n")
-    match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_key_{g}")) for g in groups])
+    match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_key_{g}")) for g in groups], F.lit(True))
     values = values.where(F.col("_v").isNotNull())
     # The margin covers two ranks only beyond this size; smaller groups stay whole.
     small = F.col("_n") < 4 * accuracy

@@ -55,7 +55,9 @@ def distinct_profile(df: DataFrame, columns: list[str], rsd: float = 0.015, step
     One binary sketch per column: ``approx_count_distinct`` at this error would
     add hundreds of buffer columns each, which a wide table cannot plan.
     """
-    size = min(21, max(4, math.ceil(math.log2((1.04 / rsd) ** 2))))
+    size = max(4, math.ceil(math.log2((1.04 / rsd) ** 2)))
+    if size > 21:
+        raise ValueError(f"rsd {rsd} is finer than a sketch can be")
 
     def measure(c: str) -> Column:
         return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(_hashed(c), size)), F.lit(0))

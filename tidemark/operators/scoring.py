@@ -31,12 +31,15 @@ def score_buckets(
     """Buckets of equal size within each group, 1 for the highest scores.
 
     ``error`` = 0 ranks exactly (ties by ``ties``); otherwise buckets follow
-    approximate score quantiles and equal scores share a bucket.
+    approximate score quantiles and equal scores share a bucket. Rows without a
+    score have no bucket and do not count for the others.
     """
+    known = F.col(score).isNotNull()
     if error == 0:
         order = [F.desc(score), *[F.asc(c) for c in ties]]
-        placed = ranked(df, order, groups, rank="_rank", total="_total")
-        return placed.withColumn(name, bucket_of_rank("_rank", "_total", buckets)).drop("_rank", "_total")
+        placed = ranked(df.withColumn("_known", known), order, [*(groups or []), "_known"], rank="_rank", total="_total")
+        bucket = F.when(known, bucket_of_rank("_rank", "_total", buckets))
+        return placed.withColumn(name, bucket).drop("_rank", "_total", "_known")
     cut = {f"_cut{i}": i / buckets for i in range(1, buckets)}
     if not groups:
         return score_buckets(df.withColumn("_all", F.lit(0)), score, ties, ["_all"], buckets, error, name).drop("_all")
@@ -46,7 +49,7 @@ def score_buckets(
     for g in groups:
         match = match & F.col(g).eqNullSafe(F.col(f"_key_{g}"))
     above = F.size(F.filter("_cuts", lambda c: c >= F.col(score)))
-    return df.join(limits, match).withColumn(name, above + 1).drop("_cuts", *[f"_key_{g}" for g in groups])
+    return df.join(limits, match).withColumn(name, F.when(known, above + 1)).drop("_cuts", *[f"_key_{g}" for g in groups])
 
 
 def with_run_stamp(df: DataFrame, name: str = "exec_time", stamp: str | None = None) -> DataFrame:

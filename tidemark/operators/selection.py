@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scores import CRAMER_BANDS, MUTUAL_BANDS, band
 from tidemark.operators.ordering import column_quantiles
-from tidemark.operators.profile import long_form, numeric_columns
+from tidemark.operators.profile import batches, long_form, numeric_columns
 from tidemark.options import Options
 
 # Fixed values.
@@ -18,11 +18,30 @@ KEPT_BY_CHI_SQUARE = 100
 
 
 def quantile_cuts(df: DataFrame, columns: list[str], buckets: int = 5, error: float = 0.0) -> DataFrame:
-    """(feature, cuts): the distinct discrete quantiles at i/buckets, ascending."""
+    """(feature, cuts): the distinct discrete quantiles at i/buckets, ascending.
+
+    Nothing lies above a cut at the maximum, so the greatest smaller value takes
+    its place: a value that most rows share still gets a bucket of its own.
+    """
     probabilities = {f"_c{i}": i / buckets for i in range(1, buckets)}
-    found = column_quantiles(df, [], columns, "feature", probabilities, error=error)
+    found = column_quantiles(
+        df, [], columns, "feature", probabilities, error=error, extra=lambda value: [F.max(value).alias("_max")]
+    )
     cuts = F.sort_array(F.array_distinct(F.array_compact(F.array(*probabilities))))
-    return found.select("feature", cuts.alias("cuts"))
+    # One row per feature.
+    known = {r["feature"]: (r["cuts"], r["_max"]) for r in found.select("feature", "_max", cuts.alias("cuts")).collect()}
+    topped = [c for c, (own, most) in known.items() if own and own[-1] == most]
+    below: dict[str, float | None] = {}
+    for batch in batches(topped, 200):
+        number = {c: F.col(c).cast("double") for c in batch}
+        row = df.agg(*[F.max(F.when(number[c] < F.lit(known[c][1]), number[c])).alias(c) for c in batch]).first()
+        below |= row.asDict()
+    rows = []
+    for feature, (own, _) in known.items():
+        if feature in below:
+            own = sorted({*own[:-1], *([] if below[feature] is None else [below[feature]])})
+        rows.append((feature, own))
+    return df.sparkSession.createDataFrame(rows, "feature string, cuts array<double>")
 
 
 def bucketed(column: str, cuts: list[float]) -> Column:

@@ -43,7 +43,7 @@ class Options:
     rsd: float = 0.015
     population: bool = False
     fit_on: str = "all"
-    max_labels: int = 1000
+    max_labels: int | None = None
     # selection
     feat_mode: str = "infogain"
     criterion: str = "percentile"

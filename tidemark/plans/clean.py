@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,14 @@ def trimmed(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) -> DataFra
 
 
 def tidy(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Trimmed, upper-case string columns."""
-    texts = profile.string_columns(df, exclude)
-    return df.withColumns({c: F.upper(F.trim(c)) for c in texts}) if texts else df
+    """Trimmed, upper-case string columns; booleans become 0 and 1."""
+    tidied = {c: F.upper(F.trim(c)) for c in profile.string_columns(df, exclude)}
+    tidied |= {f.name: F.col(f.name).cast("int") for f in df.schema if _boolean(f.dataType) and f.name not in exclude}
+    return df.withColumns(tidied) if tidied else df
+
+
+def _boolean(kind: T.DataType) -> bool:
+    return isinstance(kind, T.BooleanType)
 
 
 def safe_text(column: Column) -> Column:
@@ -92,7 +98,7 @@ class CleanPlan:
                 "spine": self.spine,
                 "columns": self.columns,
                 "dropped": self.dropped,
-                "binary": self.binary,
+                "binary": {c: [_to_text(low), _to_text(high)] for c, (low, high) in self.binary.items()},
                 "plain_binary": self.plain_binary,
                 "bin_input": self.bin_input,
             }
@@ -105,12 +111,21 @@ class CleanPlan:
             tuple(saved["spine"]),
             tuple(saved["columns"]),
             saved["dropped"],
-            {c: tuple(v) for c, v in saved["binary"].items()},
+            {c: (_from_text(low), _from_text(high)) for c, (low, high) in saved["binary"].items()},
             tuple(saved["plain_binary"]),
             tuple(saved["bin_input"]),
         )
 
 
+def _to_text(value) -> list[str]:
+    return [type(value).__name__, str(value)]
+
+
+def _from_text(saved: list[str]):
+    kind, text = saved
+    return {"str": str, "int": int, "float": float, "Decimal": Decimal}[kind](text)
+
+
 def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance: bool = False) -> CleanPlan:
     """Two column-pruned passes over ``df``. With ``drop=False`` no column is
     dropped by its statistics (the refit before production)."""
@@ -148,4 +163,4 @@ def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance:
 
 
 def _profiled(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.NumericType, T.StringType, T.BooleanType))
+    return isinstance(kind, (T.NumericType, T.StringType))

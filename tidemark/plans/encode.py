@@ -72,14 +72,14 @@ class EncodePlan:
         return cls({c: tuple(v) for c, v in json.loads(text).items()})
 
 
-def fit_encode(train: DataFrame, columns: list[str], max_labels: int = 1000) -> EncodePlan:
-    """A column with more than ``max_labels`` labels is an error: it would
-    become as many dummy columns, and dropping labels would change results."""
+def fit_encode(train: DataFrame, columns: list[str], max_labels: int | None = None) -> EncodePlan:
+    """Every label of ``columns`` is kept. With ``max_labels``, a column with more
+    labels is an error, for tables that cannot have as many columns."""
     if not columns:
         return EncodePlan({})
     counts = stage(value_counts(train, columns).where(F.col("value").isNotNull()), "labels")
     sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("labels"))
-    wide = [row["column"] for row in sizes.where(F.col("labels") > max_labels).collect()]
+    wide = [] if max_labels is None else [r["column"] for r in sizes.where(F.col("labels") > max_labels).collect()]
     if wide:
         raise ValueError(f"more than {max_labels} labels in {wide}; drop or group them before encoding")
     found: dict[str, list] = {c: [] for c in columns}

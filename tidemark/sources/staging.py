@@ -2,8 +2,8 @@
 
 ``stage`` cuts lineage by a Parquet write into the shared folder the session
 names in ``spark.checkpoint.dir``; it survives the loss of any executor, and
-later reads are column-pruned. ``pinned`` turns a small aggregate into a local
-relation whose exact size the optimizer knows, so it may broadcast it.
+later reads are column-pruned. ``pinned`` stages an aggregate, whose exact size
+the planner then knows, whatever that size is.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_PINNED_ROWS = 100_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. A temporary one is made only for a
@@ -54,10 +52,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pinned(df: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
-    """``df`` as a local relation when it has at most ``max_rows`` rows, else
-    ``df`` unchanged, so a join with it stays a shuffle join."""
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def pinned(df: DataFrame) -> DataFrame:
+    """A small aggregate computed once. The planner reads its size off the
+    files and broadcasts it only below the session's threshold."""
+    return stage(df, "pinned")

@@ -28,7 +28,7 @@ from workloads.fixtures import (
     spine_window,
     split_dataset,
 )
-from workloads.sql import query
+from workloads.sql import FIRST, LAST, query
 
 PROFILED = [*NUMERIC, *TEXT, *DIRTY]
 FLAGS = ["flag_yn", "flag_01", "two_level"]
@@ -307,8 +307,9 @@ ORACLE = {
         "spine", "feat_orders", "feat_lineitem",
     ),
     "merge_windowed": query(
-        """select ident, month, target, total_price, top_status, sum_qty from spine
-           left join feat_orders using (ident, month) left join feat_lineitem using (ident, month)""",
+        f"""select ident, month, target, total_price, top_status, sum_qty from spine
+           left join (select * from feat_orders where month between date '{FIRST}' and date '{LAST}') using (ident, month)
+           left join (select * from feat_lineitem where month between date '{FIRST}' and date '{LAST}') using (ident, month)""",
         "spine", "feat_orders", "feat_lineitem",
     ),
     "join_inner_outcome": query("select * from history join spine using (ident, month)", "history"),

@@ -11,12 +11,11 @@ from tidemark.operators.merge import join_features
 from tidemark.operators.scoring import score_buckets
 from tidemark.options import Options, SpineColumns
 from tidemark.plans.split import fit_split
-from tidemark.sources.lake import scan_window
 from tidemark.sources.staging import stage
 
 SPINE = SpineColumns(ident="ident", date="month")
 KEYS = SPINE.keys
-# The last month of the tables is nearly empty, so the window closes before it.
+# For the queries whose feature is a window.
 START, END = month_window("1995-01-01", "%Y-%m-%d", months=78)
 OPTIONS = Options(spine=SPINE, min_prior=0.35)
 
@@ -45,18 +44,14 @@ def spine_cm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine_of(table(spark, sf_dir, "orders"))
 
 
-def window_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_window(table(spark, sf_dir, "orders"), "o_orderdate", START, END)
-
-
 def spine_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The spine of the window; whole months, so the scan is cut by day."""
-    return spine_of(window_orders(spark, sf_dir))
+    """The spine of all months."""
+    return spine_cm(spark, sf_dir)
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enough to find the validation months, without building the spine."""
-    return window_orders(spark, sf_dir).select(month_of("o_orderdate").alias("month"))
+    return table(spark, sf_dir, "orders").select(month_of("o_orderdate").alias("month"))
 
 
 def spine_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,9 +156,10 @@ def with_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_history(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
-    """Scores of two runs; with ``late`` a third, of an older month."""
+    """Scores of two runs; with ``late`` a third, of an older month. A run has
+    the months that were over when it ran."""
     rows = scored_cm(spark, sf_dir).select("ident", "month", "p", "prediction")
-    runs = [("20010801_000000", F.lit(True)), ("20010901_000000", F.col("month") == "2001-07-01")]
+    runs = [("20010801_000000", F.col("month") <= "2001-07-01"), ("20010901_000000", F.col("month") == "2001-07-01")]
     if late:
         runs.append(("20011001_000000", F.col("month") == "2001-06-01"))
     frames = [rows.where(condition).withColumn("exec_time", F.lit(stamp)) for stamp, condition in runs]

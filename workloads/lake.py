@@ -22,8 +22,6 @@ from workloads.selection import ORACLE as SELECTION_ORACLE
 from workloads.sql import query
 
 EARLY, LATE = "20240101_000000", "20240201_000000"
-# A few trees keep the registered model queries short; training uses the full size.
-SMALL_MODEL = {"maxIter": 5}
 FEATURES = [*NUMERIC, *TEXT]
 
 
@@ -110,7 +108,7 @@ def _fitted(spark, sf_dir):
 
 def _model(rows):
     features = [c for c in rows.columns if c not in SPINE.all()]
-    return model.train_gbt(rows.where("ind_split = 'train'"), features, "target", **SMALL_MODEL)
+    return model.train_gbt(rows.where("ind_split = 'train'"), features, "target")
 
 
 def train_gbt(spark, sf_dir):

@@ -91,7 +91,7 @@ def audit_numeric(spark, sf_dir):
 
 
 def audit_categorical(spark, sf_dir):
-    return rounded(audit.audit_categorical(dataset(spark, sf_dir), "month", TEXT, top=3))
+    return rounded(audit.audit_categorical(dataset(spark, sf_dir), "month", TEXT))
 
 
 QUERIES = {
@@ -232,12 +232,8 @@ ORACLE = {
         long=_LONG_NUMERIC,
     ),
     "audit_categorical": query(
-        """select month, variable, case when r <= 3 then value else '__OTHER__' end as value, cast(sum(n) as bigint) as n,
-             round(sum(n) / max(total), 6) as pct
-           from (select *, sum(n) over (partition by month, variable) as total,
-                   row_number() over (partition by month, variable order by n desc, value nulls first) as r
-                 from (select month, variable, value, count(*) as n from long group by 1, 2, 3))
-           group by month, variable, r > 3, case when r <= 3 then value else '__OTHER__' end""",
+        """select month, variable, value, n, round(n / sum(n) over (partition by month, variable), 6) as pct
+           from (select month, variable, value, count(*) as n from long group by 1, 2, 3)""",
         "dataset",
         long=_LONG_TEXT,
     ),

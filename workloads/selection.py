@@ -129,10 +129,17 @@ QUERIES = {
 }
 
 
+def _cuts(c: str) -> str:
+    """Distinct quintiles; at the maximum, the greatest smaller value instead."""
+    below = f"(select max({c}) from tr where {c} < (select max({c}) from tr))"
+    found = f"(select unnest(quantile_disc({c}, [0.2, 0.4, 0.6, 0.8])) as q from tr), (select max({c}) as t from tr)"
+    return f"select distinct cut from (select case when q < t then q else {below} end as cut from {found}) where cut is not null"
+
+
 def _steps(c: str) -> str:
     """Number of distinct cuts below the value."""
-    cuts = f"(select list_distinct(quantile_disc({c}, [0.2, 0.4, 0.6, 0.8])) from tr)"
-    return f"case when {c} is not null then len(list_filter({cuts}, lambda q: q < {c})) end"
+    cuts = f"(select list(cut) from ({_cuts(c)}))"
+    return f"case when {c} is not null then coalesce(len(list_filter({cuts}, lambda q: q < {c})), 0) end"
 
 
 def _bins(source: str) -> dict[str, str]:
@@ -183,7 +190,7 @@ ORACLE = {
         " union all ".join(
             f"""select '{c}' as feature, cast(generate_subscripts(cuts, 1) - 1 as integer) as i,
                 cast(unnest(cuts) as double) as cut
-                from (select list_sort(list_distinct(quantile_disc({c}, [0.2, 0.4, 0.6, 0.8]))) as cuts from tr)"""
+                from (select list_sort(list(cut)) as cuts from ({_cuts(c)}))"""
             for c in NUMERIC
         ),
         "split_dataset",

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-START, END = "1995-01-01", "2001-07-31"
+# The window of the queries whose feature is one.
+FIRST, LAST = "1995-01-01", "2001-07-31"
 
 _VIEWS = {
     "spine_cm": """
         select o_custkey as ident, cast(date_trunc('month', o_orderdate) as date) as month,
                cast(max(case when o_orderpriority = '1-URGENT' then 1 else 0 end) as integer) as target
         from orders group by 1, 2""",
-    "spine": f"""
-        select * from spine_cm where month between date '{START}' and date '{END}'""",
+    "spine": """
+        select * from spine_cm""",
     "feat_orders": """
         select o_custkey as ident, cast(date_trunc('month', o_orderdate) as date) as month,
                count(*) as n_orders, round(sum(o_totalprice), 2) as total_price,
@@ -52,7 +53,7 @@ _VIEWS = {
         select *, cast(ntile(10) over (partition by ind_split order by p desc, month, ident) as integer) as deciles
         from scored""",
     "history": """
-        select ident, month, p, prediction, '20010801_000000' as exec_time from scored
+        select ident, month, p, prediction, '20010801_000000' as exec_time from scored where month <= date '2001-07-01'
         union all select ident, month, p, prediction, '20010901_000000' from scored where month = date '2001-07-01'""",
     "late_history": """
         select * from history

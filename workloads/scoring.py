@@ -147,7 +147,7 @@ def _ks(source: str, groups: str = "", bucket: str = "deciles") -> str:
               "cum_pct_pos", "cum_pct_neg", "lift", "ks")
     return f"""
     select {keys} decile, n, positives, negatives, {_rounded(shares)}
-    from (select *, event_rate / (sum(positives) over g / sum(n) over g) as lift, abs(cum_pct_pos - cum_pct_neg) as ks
+    from (select *, event_rate / nullif(sum(positives) over g / sum(n) over g, 0) as lift, abs(cum_pct_pos - cum_pct_neg) as ks
           from (select *, positives / n as event_rate, sum(positives) over c / sum(n) over c as cum_event_rate,
                        positives / nullif(sum(positives) over g, 0) as pct_pos,
                        negatives / nullif(sum(negatives) over g, 0) as pct_neg,

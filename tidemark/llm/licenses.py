@@ -58,6 +58,7 @@ class _Class:
     width: int
     bands: int
     known: np.ndarray
+    leading: np.ndarray
     owners: list[list[int]]
 
 
@@ -98,7 +99,9 @@ def _prepared(templates: list[str], spec: ScanSpec) -> tuple[list[np.ndarray], l
             for band, key in enumerate(_banded(sets[i], bands, spec.seed).min(axis=0)):
                 found.setdefault(int(key) ^ band, []).append(i)
         known = np.array(sorted(found), np.uint64)
-        classes.append(_Class(width, bands, known, [found[int(k)] for k in known]))
+        leading = np.zeros(1 << 16, bool)
+        leading[known >> np.uint64(48)] = True
+        classes.append(_Class(width, bands, known, leading, [found[int(k)] for k in known]))
     return sets, classes
 
 
@@ -111,9 +114,12 @@ def _candidates(members: np.ndarray, kind: _Class, spec: ScanSpec) -> Iterator[t
         begins = np.arange(0, min(len(piece), 1024 * step), step)
         cuts = np.stack([begins, np.minimum(begins + span, len(piece))], axis=1).ravel()
         keys = np.minimum.reduceat(ordered, cuts, axis=0)[::2] ^ np.arange(kind.bands, dtype=np.uint64)
-        near = np.minimum(np.searchsorted(kind.known, keys), len(kind.known) - 1)
-        windows, bands = np.nonzero(kind.known[near] == keys)
-        hits = {(int(begins[w]) + at, i) for w, band in zip(windows, bands) for i in kind.owners[near[w, band]]}
+        # Few keys share their leading bits with a known one; only those are searched.
+        windows, bands = np.nonzero(kind.leading[keys >> np.uint64(48)])
+        found = keys[windows, bands]
+        near = np.minimum(np.searchsorted(kind.known, found), len(kind.known) - 1)
+        equal = np.flatnonzero(kind.known[near] == found)
+        hits = {(int(begins[windows[k]]) + at, i) for k in equal for i in kind.owners[near[k]]}
         yield from sorted(hits)
 
 

@@ -8,6 +8,7 @@ texts at once and hashes words to 64 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@lru_cache(maxsize=64)
 def random_words(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit values."""
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

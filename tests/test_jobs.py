@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tidemark import jobs
+from tidemark import Options, jobs
+from tidemark.operators import merge
+from tidemark.plans.encode import EncodePlan
+from tidemark.plans.production import ProductionPlan
+from tidemark.plans.split import fit_split
 from tidemark.sources import lake
 from workloads.fixtures import KEYS, dirty, feat_lineitem, feat_orders, spine_cm
 
@@ -63,8 +69,11 @@ def test_jobs_in_order(spark, setup):
         assert cleaned.count() == spine.count()
     data = spark.read.table(jobs.merge_sources(spark, setup))
     assert data.count() == spine.count() and "total_price" in data.columns and "segment_HOUSEHOLD" in data.columns
-    for method in ("cramer", "mtinfo", "chisqrd", "infogain"):
-        jobs.select_features(spark, setup, method)
+    at_once = jobs.select_associations(spark, setup)
+    alone = jobs.select_features(spark, setup, "cramer")
+    rows = {r["feature"]: r["cramer_v"] for r in at_once["cramer"].collect()}
+    assert {r["feature"]: r["cramer_v"] for r in alone.collect()} == pytest.approx(rows)
+    jobs.select_features(spark, setup, "infogain")
     jobs.train(spark, setup, maxIter=2)
     chosen = lake.read_features(spark, setup.path("feat_sel", "chosen"))
     assert 0 < len(chosen) <= 12
@@ -89,6 +98,54 @@ def test_jobs_in_order(spark, setup):
     jobs.evaluate(spark, setup, "lakes.outcomes")
     metrics = lake.read_report(spark, setup.path("prod", "metrics"), "metric_name string, value double")
     assert metrics.count() == 6
+    before = lake.load_fitted(PipelineModel, setup.own("model")).uid
+    other = replace(
+        setup, alias="b", tables=setup.tables | {"pred": "p_pred_b"},
+        options=replace(setup.options, feat_mode="mtinfo", top=60))
+    jobs.train(spark, other, maxIter=1)
+    assert lake.load_fitted(PipelineModel, other.own("model")).uid != before
+    assert lake.load_fitted(PipelineModel, setup.own("model")).uid == before
+    jobs.refit(spark, other)
+    plan = ProductionPlan.load(spark, other.own("production"))
+    wanted = plan.model.stages[0].getInputCols()
+    known = plan.encode.dummy_sources()
+    lost = next(c for c in wanted if c in known)
+    fewer = {c: tuple(v for v in labels if f"{c}_{v}" != lost) for c, labels in plan.encode.labels.items()}
+    raw = merge.merge_windowed(
+        setup.read(spark, "spine").select("cliident", "data_date_part"), setup.raw_sources(spark),
+        ("cliident", "data_date_part"), *setup.bounds(), keep=plan.clean.columns,
+    )
+    made = replace(plan, encode=EncodePlan(fewer)).features(raw)
+    assert set(wanted) <= set(made.columns) and made.where(F.col(f"`{lost}`") != 0).isEmpty()
+
+
+def test_sources_by_name_and_repeated_keys(spark, setup):
+    many = replace(setup, sources=setup.sources | {f"clean_{i}": setup.sources["clean_0"] for i in range(2, 11)})
+    many.sources["clean_10"] = setup.sources["clean_1"]
+    assert "returnflag" in many.raw_source(spark, "clean_10").table.columns
+    assert "returnflag" not in many.raw_source(spark, "clean_2").table.columns
+    assert "returnflag" in many.raw_sources(spark)[10].table.columns
+    source = setup.raw_source(spark, "clean_0")
+    twice = replace(source, table=source.table.union(source.table))
+    people = source.table.select(F.col("raw_ident").alias("cliident"), F.col("raw_month").alias("data_date_part"))
+    with pytest.raises(ValueError, match="repeats"):
+        merge.merge_windowed(people, [twice], ("cliident", "data_date_part"), *setup.bounds())
+
+
+def test_columns_unknown_to_the_table_are_refused(spark, sf_dir):
+    rows = spine_cm(spark, sf_dir)
+    lake.append_or_create(rows, "lakes.history_b")
+    with pytest.raises(ValueError, match="lacks"):
+        lake.append_or_create(rows.withColumn("more", F.lit(1)), "lakes.history_b")
+
+
+def test_priors_out_of_reach_are_refused(spark):
+    with pytest.raises(ValueError, match="priors"):
+        Options(min_prior=0.995)
+    days = spark.createDataFrame([(i, "2020-01-01", int(i < 80)) for i in range(100)], "cliident long, d string, target int")
+    rows = days.select("cliident", F.col("d").cast("date").alias("data_date_part"), "target")
+    with pytest.raises(Exception, match="factor_mult"):
+        fit_split(rows, Options(factor_mult=2.0, n_months_val=0, train_size=1.0))
 
 
 def test_bucketed_tables_join_without_shuffle(spark, sf_dir):

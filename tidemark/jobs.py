@@ -55,6 +55,7 @@ class Setup:
     source_keys: tuple[str, str] | None = None
     source_date: str = "date_part"
     buckets: int | None = None
+    alias: str = ""
     stamp: str = field(default_factory=stamp_text)
 
     @classmethod
@@ -70,11 +71,16 @@ class Setup:
             source_keys=tuple(config["source_keys"]) if "source_keys" in config else None,
             source_date=config.get("source_date", "date_part"),
             buckets=config.get("buckets"),
+            alias=config.get("alias") or "",
         )
 
     def path(self, *parts: str) -> str:
         return "/".join((self.folder, *parts))
 
+    def own(self, *parts: str) -> str:
+        """The path of an output that every alias (parameter set) has for itself."""
+        return self.path(*parts) + (f"_{self.alias}" if self.alias else "")
+
     def bounds(self):
         return month_window(*self.window, months=self.months)
 
@@ -93,10 +99,12 @@ class Setup:
     def read(self, spark: SparkSession, output: str) -> DataFrame:
         return lake.read_latest(spark, self.schema, self.tables[output])
 
-    def raw_sources(self, spark: SparkSession) -> list[merge.Source]:
+    def raw_source(self, spark: SparkSession, name: str) -> merge.Source:
         ident, date = self.source_keys or (self.options.spine.ident, self.source_date)
-        names = [self.sources[k] for k in numbered(self.sources)]
-        return [merge.Source(spark.read.table(t).drop(*self.options.feat_drop), ident, date) for t in names]
+        return merge.Source(spark.read.table(self.sources[name]).drop(*self.options.feat_drop), ident, date)
+
+    def raw_sources(self, spark: SparkSession) -> list[merge.Source]:
+        return [self.raw_source(spark, name) for name in numbered(self.sources)]
 
 
 def numbered(names) -> list[str]:
@@ -121,10 +129,10 @@ def build_spine(spark: SparkSession, setup: Setup) -> str:
 def clean_source(spark: SparkSession, setup: Setup, index: int) -> str:
     """One raw source on the spine: cleaned, encoded, saved with its plans."""
     options, s = setup.options, setup.options.spine
-    source = setup.raw_sources(spark)[index]
+    source = setup.raw_source(spark, f"clean_{index}")
     raw = merge.merge_windowed(setup.read(spark, "spine"), [source], (s.ident, s.date), *setup.bounds())
     rows = stage(raw, "raw")
-    cleaner = fit_clean(rows, options)
+    cleaner = fit_clean(rows, options, low_variance=options.low_variance)
     cleaned = cleaner.transform(rows)
     encoder = fit_encode(
         spines.split_rows(cleaned, s, "train"), string_columns(cleaned, s.all()), options.max_labels
@@ -149,24 +157,42 @@ def merge_sources(spark: SparkSession, setup: Setup) -> str:
 
 def select_features(spark: SparkSession, setup: Setup, method: str) -> DataFrame:
     """One feature report on the train rows, saved as CSV."""
+    if method != "infogain":
+        return select_associations(spark, setup, (method,))[method]
     s = setup.options.spine
     train = spines.split_rows(setup.read(spark, "dataset"), s, "train")
-    features = numeric_columns(train, s.all())
-    if method == "infogain":
-        report = selection.forest_importance(train, features, s.target)
-    else:
-        if method != "mtinfo":
-            features = [c for c in features if c not in binary_features(spark, setup)]
-        stats = selection.association(train, features, s.target)
-        report = {
-            "chisqrd": selection.chi_square,
-            "cramer": selection.cramers_v,
-            "mtinfo": selection.mutual_information,
-        }[method](stats)
+    report = selection.forest_importance(train, numeric_columns(train, s.all()), s.target)
     lake.save_report(report, setup.path("feat_sel", method))
     return report
 
 
+def select_associations(
+    spark: SparkSession, setup: Setup, methods: tuple[str, ...] = ("chisqrd", "cramer", "mtinfo")
+) -> dict[str, DataFrame]:
+    """The reports that rest on contingency counts, from one staged count.
+
+    Binary features take part in mutual information only.
+    """
+    options, s = setup.options, setup.options.spine
+    train = spines.split_rows(setup.read(spark, "dataset"), s, "train")
+    features, binary = numeric_columns(train, s.all()), binary_features(spark, setup)
+    if "mtinfo" not in methods:
+        features = [c for c in features if c not in binary]
+    counted = selection.association(train, features, s.target, options.bin_buckets, options.bin_error)
+    stats = stage(counted, "association")
+    wider = stats.where(~F.col("feature").isin(sorted(binary))) if binary else stats
+    found = {}
+    for method in methods:
+        if method == "mtinfo":
+            found[method] = selection.mutual_information(stats)
+        elif method == "cramer":
+            found[method] = selection.cramers_v(wider)
+        else:
+            found[method] = selection.chi_square(wider, options.num_top_features)
+        lake.save_report(found[method], setup.path("feat_sel", method))
+    return found
+
+
 def binary_features(spark: SparkSession, setup: Setup) -> set[str]:
     """0/1 features, known from the saved plans without another scan."""
     found: set[str] = set()
@@ -176,13 +202,13 @@ def binary_features(spark: SparkSession, setup: Setup) -> set[str]:
 
 
 def saved_plans(spark: SparkSession, setup: Setup) -> list[tuple[CleanPlan, EncodePlan]]:
-    count = sum(k.startswith("clean") for k in setup.tables)
+    indices = [k.removeprefix("clean_") for k in numbered(setup.tables)]
     return [
         (
             CleanPlan.from_json(lake.read_text(spark, setup.path("plans", f"clean_{i}"))),
             EncodePlan.from_json(lake.read_text(spark, setup.path("plans", f"encode_{i}"))),
         )
-        for i in range(count)
+        for i in indices
     ]
 
 
@@ -192,10 +218,10 @@ def train(spark: SparkSession, setup: Setup, **size) -> str:
     method = options.feat_mode
     report = lake.read_report(spark, setup.path("feat_sel", method), REPORT_SCHEMAS[method])
     features = selection.choose_features(report, options)
-    lake.save_features(spark, features, setup.path("feat_sel", "chosen"))
+    lake.save_features(spark, features, setup.own("feat_sel", "chosen"))
     rows = setup.read(spark, "dataset").select(*s.all(), *features)
     fitted = model.train_gbt(spines.split_rows(rows, s, "train"), features, s.target, **size)
-    lake.save_fitted(fitted, setup.path("model"))
+    lake.save_fitted(fitted, setup.own("model"))
     return setup.save(model.predict(fitted, rows, s.all()), "pred")
 
 
@@ -215,28 +241,28 @@ def assess(spark: SparkSession, setup: Setup) -> None:
     """Importances, metrics and KS tables as CSV reports."""
     options, s = setup.options, setup.options.spine
     rows = setup.read(spark, "score")
-    fitted = lake.load_fitted(PipelineModel, setup.path("model"))
-    lake.save_report(model.gbt_importance(fitted, rows), setup.path("feat_import"))
+    fitted = lake.load_fitted(PipelineModel, setup.own("model"))
+    lake.save_report(model.gbt_importance(fitted, rows), setup.own("feat_import"))
     report = evaluation.metrics_report(rows, s.target, options.score_col, split=s.ind_split, splits=SPLITS)
-    lake.save_report(report, setup.path("metrics"))
+    lake.save_report(report, setup.own("metrics"))
     by_split = evaluation.ks_table(rows, s.target, options.score_col, options.buckets_name, [s.ind_split])
-    lake.save_report(by_split.where(F.col(s.ind_split) != "val"), setup.path("ks"))
+    lake.save_report(by_split.where(F.col(s.ind_split) != "val"), setup.own("ks"))
     by_month = evaluation.ks_by_period(
         spines.split_rows(rows, s, "val"), s.target, options.score_col, [s.id], s.date,
         options.eval_buckets, options.eval_error,
     )
-    lake.save_report(by_month, setup.path("ks_val"))
+    lake.save_report(by_month, setup.own("ks_val"))
 
 
 def refit(spark: SparkSession, setup: Setup) -> None:
-    """Cleaning and encoding refitted on the sources behind the chosen features
-    over the whole window, saved for production together with the model.
+    """Labels refitted on the sources behind the chosen features over the whole
+    window, saved as fitted ML objects and, with the model, as production's plan.
 
-    Columns the model knows keep their training labels, or the model could not
-    be applied; the refitted labels are saved as fitted ML objects besides.
+    Two-valued columns keep the pair they were trained on, or their 0 and 1 could
+    change sides. Model columns whose label no longer occurs are 0 in production.
     """
     options, s = setup.options, setup.options.spine
-    chosen = lake.read_features(spark, setup.path("feat_sel", "chosen"))
+    chosen = lake.read_features(spark, setup.own("feat_sel", "chosen"))
     plans = saved_plans(spark, setup)
     cleaner = CleanPlan(
         tuple(s.all()),
@@ -245,26 +271,25 @@ def refit(spark: SparkSession, setup: Setup) -> None:
         plain_binary=tuple(c for p, _ in plans for c in p.plain_binary),
         bin_input=options.bin_input,
     )
-    encoder = EncodePlan({c: v for _, e in plans for c, v in e.labels.items()})
-    needed = encoder.original_features(chosen)
+    trained = EncodePlan({c: v for _, e in plans for c, v in e.labels.items()})
+    needed = trained.original_features(chosen)
     raw = merge.merge_windowed(
         setup.read(spark, "spine"), setup.raw_sources(spark), (s.ident, s.date), *setup.bounds(), keep=needed
     )
-    rows = stage(raw, "refit")
-    again = fit_clean(rows, options, drop=False)
-    cleaned = again.transform(rows)
-    texts = string_columns(cleaned, s.all())
-    if texts:
-        lake.save_fitted(fit_encode(cleaned, texts, options.max_labels).encoder(cleaned), setup.path("encoders"))
-    fitted = lake.load_fitted(PipelineModel, setup.path("model"))
-    ProductionPlan(cleaner.only(needed), encoder.only(needed), fitted).save(spark, setup.path("production"))
+    cleaner = cleaner.only(needed)
+    cleaned = cleaner.transform(raw)
+    encoder = fit_encode(cleaned, string_columns(cleaned, s.all()), options.max_labels)
+    if encoder.labels:
+        lake.save_fitted(encoder.encoder(cleaned), setup.own("encoders"))
+    fitted = lake.load_fitted(PipelineModel, setup.own("model"))
+    ProductionPlan(cleaner, encoder, fitted).save(spark, setup.own("production"))
 
 
 def produce(spark: SparkSession, setup: Setup, today: str) -> str:
     """Scores the month three back and appends it to the score history."""
     options, s = setup.options, setup.options.spine
     start, end = month_window(today, "%Y-%m-%d", first_offset=-3)
-    plan = ProductionPlan.load(spark, setup.path("production"))
+    plan = ProductionPlan.load(spark, setup.own("production"))
     people = lake.scan_window(spark.read.table(setup.sources["spine_prod"]), setup.source_date, start, end)
     if s.date not in people.columns:
         people = people.withColumn(s.date, F.col(setup.source_date).cast("date"))
@@ -287,16 +312,16 @@ def evaluate(spark: SparkSession, setup: Setup, outcomes: str) -> None:
         s.keys,
     )
     metrics = evaluation.metrics_report(known, s.target, options.score_col)
-    lake.save_report(metrics, setup.path("prod", "metrics"))
+    lake.save_report(metrics, setup.own("prod", "metrics"))
     lake.save_report(
-        evaluation.ks_table(known, s.target, options.score_col, options.buckets_name), setup.path("prod", "ks")
+        evaluation.ks_table(known, s.target, options.score_col, options.buckets_name), setup.own("prod", "ks")
     )
 
 
 def audit_split(spark: SparkSession, setup: Setup, split: str) -> None:
     """Numeric and categorical drift audits of the raw sources behind the chosen features."""
     s = setup.options.spine
-    chosen = lake.read_features(spark, setup.path("feat_sel", "chosen"))
+    chosen = lake.read_features(spark, setup.own("feat_sel", "chosen"))
     labels = EncodePlan({c: v for _, e in saved_plans(spark, setup) for c, v in e.labels.items()})
     needed = labels.original_features(chosen)
     base = spines.split_rows(setup.read(spark, "spine"), s, split).select(*s.keys)
@@ -305,9 +330,10 @@ def audit_split(spark: SparkSession, setup: Setup, split: str) -> None:
     numbers, texts = numeric_columns(rows, s.all()), string_columns(rows, s.all())
     if numbers:
         found = audit.audit_numeric(rows, s.date, numbers, setup.options.eval_error)
-        lake.save_report(found, setup.path("audit", f"num_{split}"))
+        lake.save_large_report(found, setup.own("audit", f"num_{split}"))
     if texts:
-        lake.save_report(audit.audit_categorical(trimmed(rows, s.all()), s.date, texts), setup.path("audit", f"cat_{split}"))
+        found = audit.audit_categorical(trimmed(rows, s.all()), s.date, texts)
+        lake.save_large_report(found, setup.own("audit", f"cat_{split}"))
 
 
 def merge_reports(spark: SparkSession, setup: Setup) -> tuple[DataFrame, DataFrame]:
@@ -317,15 +343,15 @@ def merge_reports(spark: SparkSession, setup: Setup) -> tuple[DataFrame, DataFra
     features = reports.feature_selection_report(found["infogain"], found["chisqrd"], found["cramer"], found["mtinfo"])
     ks_columns = ", ".join(f"{c} {'bigint' if c in ('n', 'positives', 'negatives') else 'double'}" for c in evaluation.KS_COLUMNS[1:])
     performance = reports.performance_report(
-        lake.read_report(spark, setup.path("metrics"), METRICS_SCHEMA),
-        lake.read_report(spark, setup.path("feat_import"), REPORT_SCHEMAS["infogain"]),
-        lake.read_report(spark, setup.path("ks"), f"{s.ind_split} string, decile int, {ks_columns}"),
-        lake.read_report(spark, setup.path("ks_val"), f"{s.date} date, decile int, {ks_columns}"),
+        lake.read_report(spark, setup.own("metrics"), METRICS_SCHEMA),
+        lake.read_report(spark, setup.own("feat_import"), REPORT_SCHEMAS["infogain"]),
+        lake.read_report(spark, setup.own("ks"), f"{s.ind_split} string, decile int, {ks_columns}"),
+        lake.read_report(spark, setup.own("ks_val"), f"{s.date} date, decile int, {ks_columns}"),
         s.ind_split,
         s.date,
     )
     lake.save_report(features, setup.path("report_features"))
-    lake.save_report(performance, setup.path("report_performance"))
+    lake.save_report(performance, setup.own("report_performance"))
     return features, performance
 
 
@@ -339,13 +365,12 @@ def main(argv: list[str] | None = None) -> None:
     setup = Setup.from_config(json.loads(Path(args.config).read_text(encoding="utf-8")))
     spark = SparkSession.builder.appName(f"tidemark_{args.job}").getOrCreate()
     job, convert = JOBS[args.job]
-    if convert is None:
-        job(spark, setup)
-    else:
-        if args.argument is None:
-            parser.error(f"{args.job} needs its argument")
-        job(spark, setup, convert(args.argument))
-    clear_staged(spark)
+    if convert is not None and args.argument is None:
+        parser.error(f"{args.job} needs its argument")
+    try:
+        job(spark, setup, *([convert(args.argument)] if convert else []))
+    finally:
+        clear_staged(spark)
 
 
 JOBS = {
@@ -353,6 +378,7 @@ JOBS = {
     "clean": (clean_source, int),
     "merge": (merge_sources, None),
     "select": (select_features, str),
+    "associate": (select_associations, None),
     "train": (train, None),
     "score": (score, None),
     "assess": (assess, None),

@@ -42,6 +42,14 @@ def merge_cleaned(spine: DataFrame, tables: Sequence[DataFrame], spine_columns:
     return merge_features(spine, own, keys)
 
 
+def refuse_repeats(rows: DataFrame, keys: Sequence[str]) -> None:
+    """Raises if a key occurs twice: a left join would repeat the rows of its frame.
+    A key with a null never joins, so it may."""
+    known = rows.select(*keys).dropna()
+    if not known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        raise ValueError(f"a source repeats values of {list(keys)}")
+
+
 def merge_windowed(
     frame: DataFrame,
     sources: Sequence[Source],
@@ -51,15 +59,15 @@ def merge_windowed(
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Raw sources cut to a date window, keys renamed, columns cut to ``keep``
-    before the joins, left-joined onto ``frame``."""
+    before the joins, left-joined onto ``frame``. Repeated source keys are an error."""
     ident, period = keys
     tables = []
     for source in sources:
         rows = scan_window(source.table, source.date, start, end)
         own = [c for c in rows.columns if c not in (source.ident, source.date) and (keep is None or c in keep)]
-        tables.append(
-            rows.select(F.col(source.ident).alias(ident), F.col(source.date).cast("date").alias(period), *own)
-        )
+        renamed = rows.select(F.col(source.ident).alias(ident), F.col(source.date).cast("date").alias(period), *own)
+        refuse_repeats(renamed, keys)
+        tables.append(renamed)
     return merge_features(frame, tables, keys)
 
 

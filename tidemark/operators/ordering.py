@@ -24,6 +24,8 @@ _AT = "_at"
 _RANGE = "_range"
 # monotonically_increasing_id keeps the partition number above 33 bits.
 _ROW_BITS = 33
+# Sketches that one aggregate holds at a time; each is below 1 MB.
+_SKETCHES = 512
 
 
 def ranked(
@@ -157,8 +159,11 @@ def column_quantiles(
 
     The sketches are taken side by side, grouped by ``keys`` only. Grouped by
     (keys, column) there would be more groups per task than an aggregate on
-    sketches keeps in its hash map, and it would sort all rows instead.
+    sketches keeps in its hash map, and it would sort all rows instead. Many
+    groups take fewer columns at a time, so that a task's sketches stay bounded.
     """
+    if keys:
+        step = max(1, min(step, _SKETCHES // max(1, df.select(*keys).distinct().count())))
     asked = _asked(probabilities, error, accuracy)
     numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     parts = []

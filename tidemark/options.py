@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from datetime import date
 from pathlib import Path
 
+# The highest prior that sampling can be asked for.
+TOP_PRIOR = 0.99
+
 
 @dataclass(frozen=True)
 class SpineColumns:
@@ -38,6 +41,7 @@ class Options:
     # cleaning
     step_size: int = 200
     null_threshold: float = 0.95
+    low_variance: bool = False
     varc_threshold: float | None = 5.0
     bin_input: tuple[str, ...] = ()
     rsd: float = 0.015
@@ -51,6 +55,9 @@ class Options:
     percentile: float = 0.8
     threshold: float = 0.05
     perc: float = 0.3
+    bin_buckets: int = 5
+    bin_error: float = 0.0
+    num_top_features: int = 100
     # scores and evaluation
     score_col: str = "score"
     buckets_name: str = "deciles"
@@ -73,6 +80,9 @@ class Options:
             raise ValueError(f"unknown criterion {self.criterion!r}")
         for month in self.prior_map or {}:
             date.fromisoformat(month)
+        wanted = [*(self.prior_map or {}).values(), *([] if self.min_prior is None else [self.min_prior])]
+        if any(not 0 <= prior <= TOP_PRIOR for prior in wanted):
+            raise ValueError(f"wanted priors must lie in [0, {TOP_PRIOR}]")
 
     @classmethod
     def from_config(cls, config: dict) -> Options:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.scoring import score_buckets, score_logit, score_proba, with_run_stamp
 from tidemark.options import Options
@@ -22,7 +23,10 @@ class ProductionPlan:
     model: PipelineModel
 
     def features(self, df: DataFrame) -> DataFrame:
-        return self.encode.dummies(self.clean.transform(df))
+        """The model's columns; those whose label the plan does not know are 0."""
+        made = self.encode.dummies(self.clean.transform(df))
+        absent = [c for c in self.model.stages[0].getInputCols() if c not in made.columns]
+        return made.withColumns({c: F.lit(0) for c in absent}) if absent else made
 
     def save(self, spark: SparkSession, path: str) -> None:
         save_text(spark, self.clean.to_json(), f"{path}/clean")

@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sampling import PRIOR_SEED, SPLIT_SEED, kept
-from tidemark.options import Options, SpineColumns
+from tidemark.options import TOP_PRIOR, Options, SpineColumns
 from tidemark.sources.staging import pinned
 
-TOP_PRIOR = 0.99
-
 
 @dataclass(frozen=True)
 class SplitPlan:
@@ -87,9 +85,10 @@ def _fractions(counts: DataFrame, options: Options) -> DataFrame:
     if options.min_prior is not None:
         wanted = F.greatest(wanted, F.lit(float(options.min_prior)))
     mixed = (n1 > 0) & (n0 > 0)
+    refused = F.raise_error(F.lit(f"factor_mult asks for a prior above {TOP_PRIOR}"))
     return (
         counts.withColumn("_p", F.try_divide(n1, n0 + n1))
-        .withColumn("_q", F.least(wanted, F.lit(TOP_PRIOR)))
+        .withColumn("_q", F.when(mixed & (wanted > TOP_PRIOR) & (wanted > p), refused).otherwise(wanted))
         .select(
             "month",
             F.when(mixed & (q < p), n0 * q / ((1 - q) * n1)).otherwise(1.0).alias("_keep_pos"),

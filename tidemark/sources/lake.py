@@ -88,7 +88,11 @@ def append_or_create(df: DataFrame, name: str, partition_by: Sequence[str] = (),
         writer = df.write.format("parquet")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
         return
-    rows = df.select(*spark.table(name).columns)
+    known = spark.table(name).columns
+    extra = [c for c in df.columns if c not in known]
+    if extra:
+        raise ValueError(f"columns that {name} lacks: {extra}")
+    rows = df.select(*known)
     if not replace:
         rows.write.insertInto(name)
         return
@@ -117,6 +121,11 @@ def save_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
+def save_large_report(df: DataFrame, path: str) -> None:
+    """A report with a row per period, variable and value: as many CSV files as its size asks for."""
+    df.hint("rebalance").write.mode("overwrite").csv(path, header=True)
+
+
 def read_report(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 

@@ -16,7 +16,7 @@ from tidemark.sources import lake
 from tidemark.sources.staging import fresh_path, stage
 from workloads import spine as spine_queries
 from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, rounded, spine_cm, split_dataset
-from workloads.selection import cramers_v
+from workloads.selection import TIDY_LABEL, cramers_v, importance_facts, importance_query
 from workloads.spine import ORACLE as SPINE_ORACLE
 from workloads.selection import ORACLE as SELECTION_ORACLE
 from workloads.sql import query
@@ -112,10 +112,27 @@ def _model(rows):
 
 
 def train_gbt(spark, sf_dir):
+    """The train rows, whether the model separates them better than their prior does,
+    and whether it predicts alike after a trip to disk."""
     _, rows, _, _ = _fitted(spark, sf_dir)
-    fitted = _model(rows)
-    predicted = stage(model.predict(fitted, rows.where("ind_split = 'train'"), model.spine_of(rows, SPINE)))
-    return evaluation.class_metrics(predicted, "target", groups=["ind_split"])
+    fitted, path = _model(rows), fresh_path(spark, "model")
+    lake.save_fitted(fitted, path)
+    known = fitted.transform(rows.where("ind_split = 'train'")).select(
+        "ind_split", "target", *model_columns(fitted), vector_to_array("probability")[1].alias("p")
+    )
+    both = lake.load_fitted(PipelineModel, path).transform(known.withColumnRenamed("p", "first"))
+    judged = stage(both.select("ind_split", "target", "first", vector_to_array("probability")[1].alias("p")))
+    areas = evaluation.area_metrics(judged, "target", "p", ["ind_split"])
+    counts = judged.groupBy("ind_split").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("first") == F.col("p")).alias("loaded_alike")
+    )
+    return counts.join(areas, "ind_split").select(
+        "ind_split", "n", (F.col("areaUnderROC") > 0.5).alias("above_prior"), "loaded_alike"
+    )
+
+
+def model_columns(fitted):
+    return fitted.stages[0].getInputCols()
 
 
 def predict(spark, sf_dir):
@@ -132,8 +149,9 @@ def predict(spark, sf_dir):
 
 
 def feature_importance_gbt(spark, sf_dir):
+    """A row per model column; the importances are shares of one."""
     _, rows, _, _ = _fitted(spark, sf_dir)
-    return rounded(model.gbt_importance(_model(rows), rows))
+    return importance_facts(model.gbt_importance(_model(rows), rows))
 
 
 def refit_encoders(spark, sf_dir):
@@ -209,6 +227,11 @@ ORACLE = {
            segment from split_dataset""",
         "split_dataset",
     ),
+    "train_gbt": query(
+        "select ind_split, count(*) as n, true as above_prior, true as loaded_alike from split_dataset where ind_split = 'train' group by 1",
+        "split_dataset",
+    ),
+    "feature_importance_gbt": importance_query(TIDY_LABEL),
     "predict": query("select ind_split, count(*) as n, true as valid from split_dataset group by 1", "split_dataset"),
     "score_production": query(
         """select cast(tile as integer) as deciles, '20240201_000000' as exec_time, count(*) as n, true as valid

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import CRAMER_BANDS, MUTUAL_BANDS
 from tidemark.operators import evaluation, reports, selection
 from tidemark.operators.spine import resample
 from tidemark.plans.clean import fill_nulls
+from tidemark.plans.encode import fit_encode
 from tidemark.sources.staging import stage
 from workloads import scoring
 from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, rounded, split_dataset, with_deciles
@@ -76,8 +78,21 @@ def criterion_perc(spark, sf_dir):
 
 
 def feature_importance_rf(spark, sf_dir):
+    """A row per feature, dummies of all text columns included; the importances are shares of one."""
     rows = stage(fill_nulls(train_rows(spark, sf_dir), SPINE.all()))
-    return selection.forest_importance(rows, NUMERIC, "target")
+    encoded = stage(fit_encode(rows, TEXT).dummies(rows))
+    features = [c for c in encoded.columns if c not in SPINE.all()]
+    return importance_facts(selection.forest_importance(encoded, features, "target"))
+
+
+def importance_facts(report):
+    """What holds for every fit: the features, each importance a share, and their sum."""
+    total = F.sum("importance").over(Window.partitionBy(F.lit(0)))
+    return report.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+    )
 
 
 def report_feature_selection(spark, sf_dir):
@@ -129,6 +144,19 @@ QUERIES = {
 }
 
 
+TIDY_LABEL = "regexp_replace(replace(upper(trim({c})), ' ', '_'), '[^A-Za-z0-9_]', '', 'g')"
+
+
+def importance_query(label: str) -> str:
+    """The model columns: numbers by name, texts by their labels in the train rows."""
+    labels = [
+        f"select distinct '{c}_' || coalesce({label.format(c=c)}, 'SIN_INFO') from split_dataset where ind_split = 'train'"
+        for c in TEXT
+    ]
+    names = " union all ".join([f"select unnest({NUMERIC}) as feature", *labels])
+    return query(f"select feature, true as is_share, true as sums_to_one from ({names})", "split_dataset")
+
+
 def _cuts(c: str) -> str:
     """Distinct quintiles; at the maximum, the greatest smaller value instead."""
     below = f"(select max({c}) from tr where {c} < (select max({c}) from tr))"
@@ -186,6 +214,7 @@ _KS_VALUES = [c for c in evaluation.KS_COLUMNS if c != "decile"]
 
 
 ORACLE = {
+    "feature_importance_rf": importance_query("{c}"),
     "quantile_cuts": query(
         " union all ".join(
             f"""select '{c}' as feature, cast(generate_subscripts(cuts, 1) - 1 as integer) as i,

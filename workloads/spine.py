@@ -157,7 +157,7 @@ def _sampled(source: str, prior: str) -> dict[str, str]:
     return {
         "counts": f"""select month, count(*) filter (where target = 1) as n1, count(*) filter (where target = 0) as n0
                       from {source} where ind_split = 'train' group by 1""",
-        "wanted": f"select *, least({prior}, cast(0.99 as double)) as q from (select *, n1 / (n0 + n1) as p from counts)",
+        "wanted": f"select *, {prior} as q from (select *, n1 / (n0 + n1) as p from counts)",
         "fractions": """select month,
                           case when n1 > 0 and n0 > 0 and q < p then n0 * q / ((1 - q) * n1) else 1.0 end as keep_pos,
                           case when n1 > 0 and n0 > 0 and q > p then n1 * (1 - q) / (q * n0) else 1.0 end as keep_neg

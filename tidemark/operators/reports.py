@@ -47,7 +47,7 @@ def performance_report(
     period: str,
 ) -> DataFrame:
     """(section, row, column, value): metrics, importances, KS of train and
-    test, and KS of each validation month."""
+    test, and KS of each validation month. The section names are fixed values."""
     parts = [_long(metrics, F.lit("METRICS"), "metric_name")]
     if importance is not None:
         parts.append(_long(importance, F.lit("FEAT_IMPORT_MODEL"), "feature"))

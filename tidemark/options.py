@@ -13,7 +13,7 @@ TOP_PRIOR = 0.99
 
 @dataclass(frozen=True)
 class SpineColumns:
-    """Column names of the (customer, period) spine."""
+    """Column names of the (customer, period) spine; the defaults are fixed values."""
 
     target: str = "target"
     id: str = "id"

@@ -92,8 +92,9 @@ class Setup:
             return lake.save_versioned(
                 df, self.schema, base, self.stamp, bucket_by=(self.buckets, options.spine.keys)
             )
-        if options.n_part:
-            df = spines.redistribute(df, options.n_part, *options.new_part_cols)
+        # A partitioned write is rebalanced, which would undo a fixed count.
+        if options.n_part and not options.new_part_cols:
+            df = spines.redistribute(df, options.n_part)
         return lake.save_versioned(df, self.schema, base, self.stamp, options.new_part_cols)
 
     def read(self, spark: SparkSession, output: str) -> DataFrame:

@@ -112,8 +112,13 @@ def resample_rows(spark, sf_dir):
 
 
 def repartition(spark, sf_dir):
-    """Rows before a wide write: first by fixed count, then rebalanced."""
-    return ops.redistribute(ops.redistribute(spine_cm(spark, sf_dir), 16, "ident"), None, "month")
+    """Rows before a wide write, by a fixed count."""
+    return ops.redistribute(spine_cm(spark, sf_dir), 16, "ident")
+
+
+def rebalance(spark, sf_dir):
+    """Rows before a wide write, sized and split by adaptive execution."""
+    return ops.redistribute(spine_cm(spark, sf_dir), None, "month")
 
 
 def union_splits(spark, sf_dir):
@@ -149,6 +154,7 @@ QUERIES = {
     "union_splits": union_splits,
     "resample_rows": resample_rows,
     "repartition": repartition,
+    "rebalance": rebalance,
 }
 
 
@@ -224,6 +230,7 @@ ORACLE = {
     "ind_split": query("select * from sampled", "spine", **_WITH_ID, **_sampled("split_id", _FLOOR)),
     "union_splits": query("select * from spine_split", "spine_split"),
     "repartition": query("select * from spine_cm", "spine_cm"),
+    "rebalance": query("select * from spine_cm", "spine_cm"),
     "resample_rows": query(
         f"select * from spine_cm where {key_hash(2014)} < cast(0.5 as double) * 4294967296", "spine_cm"
     ),

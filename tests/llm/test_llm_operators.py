@@ -241,6 +241,22 @@ def test_mixing(spark):
     assert mixing.mix(sized.limit(0), "doc_id", "size", "source", ["text"]).count() == 0
 
 
+def test_mixing_keeps_small_sources_of_large_tables(spark):
+    sizes = {"hot": 3_000_000, "large": 300_000, "small": 10, "tiny": 1}
+    rows = [(i, s, n) for s, n in sizes.items() for i in range(30)] + [(31, None, 7)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("text", F.lit(""))
+    got, target = collections.Counter(), {}
+    for r in mixing.mix(sized, "doc_id", "size", "source", ["text"]).collect():
+        got[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert (r["shard"] is None) == (r["taken"] == 0)
+    assert all(got[s] == pytest.approx(t, rel=0.01) for s, t in target.items())
+    assert (got["small"], got["tiny"], got[None]) == (600, 60, 14)
+    # Many small sources leave the large one its share.
+    many = mixing.plan([("hot", 10**9), *((f"s{i:05}", 20_000) for i in range(50_000))])
+    assert all(t.taken == sum(t.quotas) == pytest.approx(t.target, rel=0.01) for t in many)
+
+
 def test_vectors(spark):
     r = random.Random(6)
     base = [[r.gauss(0, 1) for _ in range(16)] for _ in range(12)]

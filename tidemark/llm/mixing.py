@@ -5,9 +5,13 @@ share ``share`` times all sizes; a target stops at ``most`` times its source's
 size and the excess is shared again by weight. The total is cut into blocks of
 equal size. Blocks go one by one to the source with the highest quotient
 target / (2 * blocks so far + 1); cut evenly, the sequence gives every output
-shard an integer quota per source. Within a source, rows are ordered by a
-seeded hash and cut into blocks along that order; a source takes its blocks
-from the start and begins again when it has taken every row once.
+shard an integer quota per source. Blocks grow with the table, so a source with
+a target below ``fine`` of them takes no part in this: it takes its target to
+the word, spread evenly over the shards. The others are few enough for their
+blocks to stay within some hundredths of their targets. Within a source, rows
+are ordered by a seeded hash and cut into blocks along that order; a source
+takes its blocks from the start and begins again when it has taken every row
+once.
 
 Only per-source rows reach the driver: at most ``max_sources`` of them, else an
 error. Running totals come from range partitions, so a source that holds a
@@ -33,6 +37,7 @@ class MixSpec:
     share: float = 1.5
     most: int = 2
     blocks: int = 1 << 14
+    fine: int = 64
     shards: int = 8
     seed: int = 7
     max_sources: int = 100_000
@@ -43,7 +48,7 @@ class Target:
     source: str | None
     size: int
     target: float
-    blocks: list[int]
+    quotas: list[int]
     taken: int
 
 
@@ -79,18 +84,21 @@ def apportion(wanted: list[float], blocks: int) -> list[int]:
     return given
 
 
-def plan(sizes: list[tuple[str | None, int]], spec: MixSpec = MixSpec()) -> tuple[list[Target], int]:
-    """Targets with their blocks per shard, and the size of a block."""
+def plan(sizes: list[tuple[str | None, int]], spec: MixSpec = MixSpec()) -> list[Target]:
+    """Targets with what the source gives to each shard."""
     found = targets(sizes, spec)
-    total = sum(t for _, _, t in found)
-    block = max(1, -int(-total // spec.blocks))
-    given = apportion([t for _, _, t in found], round(total / block))
+    block = max(1, -int(-sum(t for _, _, t in found) // spec.blocks))
+    # Blocks of one word need no finer measure.
+    small = {i for i, (_, _, t) in enumerate(found) if block > 1 and t < spec.fine * block}
+    shared = [0.0 if i in small else t for i, (_, _, t) in enumerate(found)]
+    given = apportion(shared, round(sum(shared) / block))
     quotas = [[0] * spec.shards for _ in found]
     for at, i in enumerate(given):
-        quotas[i][at * spec.shards // len(given)] += 1
-    return [
-        Target(s, n, t, quotas[i], min(sum(quotas[i]) * block, spec.most * n)) for i, (s, n, t) in enumerate(found)
-    ], block
+        quotas[i][at * spec.shards // len(given)] += block
+    for i in small:
+        cuts = [round(found[i][2]) * k // spec.shards for k in range(spec.shards + 1)]
+        quotas[i] = [b - a for a, b in zip(cuts, cuts[1:])]
+    return [Target(s, n, t, quotas[i], min(sum(quotas[i]), spec.most * n)) for i, (s, n, t) in enumerate(found)]
 
 
 def mix(rows: DataFrame, key: str, size: str, source: str, tie: list[str], spec: MixSpec = MixSpec()) -> DataFrame:
@@ -107,13 +115,13 @@ def mix(rows: DataFrame, key: str, size: str, source: str, tie: list[str], spec:
     sizes = rows.groupBy(source).agg(F.sum(size).alias("n")).limit(spec.max_sources + 1).collect()
     if len(sizes) > spec.max_sources:
         raise ValueError(f"more than {spec.max_sources} sources")
-    found, block = plan([(r[0], r[1]) for r in sizes], spec)
+    found = plan([(r[0], r[1]) for r in sizes], spec)
     starts = []
     for t in found:
         before = 0
-        for shard, n in enumerate(t.blocks):
+        for shard, n in enumerate(t.quotas):
             if n:
-                starts.append((t.source, shard, before * block, (before + n) * block))
+                starts.append((t.source, shard, before, before + n))
             before += n
     quota = spark.createDataFrame(
         [(t.source, t.size, t.target, t.taken) for t in found],

@@ -328,6 +328,32 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, texts).limit(0), "doc_id", "text").count() == 0
 
 
+def test_licenses_of_few_words_and_full_texts(spark):
+    r = random.Random(8)
+    templates = {f"t{i}": prose(900 + i, 1 + i % 8, 30) for i in range(32)}
+    texts = []
+    for i in range(60):
+        body = prose(i, r.choice([0, 1, 2, 7, 60, 3000])).split()
+        for t in [templates[f"t{(3 * i + k) % 32}"] for k in range(2)]:
+            at = r.randrange(len(body) + 1)
+            body[at:at] = t.split()
+        texts.append((i, " ".join(body)))
+    rows = licenses.scan(frame(spark, texts), "doc_id", "text", templates).collect()
+    brute = {(i, n) for i, text in texts for n, t in templates.items() if f" {t} " in f" {text} "}
+    assert {(r[0], r[1]) for r in rows} == brute and all(r[2] == 1 for r in rows)
+    assert len({n for _, n in brute}) == 32
+
+    known = licenses.usual()
+    texts = [(1, prose(1, 900) + "\nAll rights reserved.\n" + prose(2, 900)), (2, "rights reserved. all"), (3, "All rights Reserved")]
+    texts += [(i, prose(i, 300) + "\n" + known[n] + "\n" + prose(i, 9)) for i, n in enumerate(known, 10)]
+    texts += [(99, known["MIT text"].replace("The above", "This"))]
+    rows = licenses.scan(frame(spark, texts), "doc_id", "text").collect()
+    got = {(r[0], r[1]): (r[2], r[3]) for r in rows}
+    assert got[1, "all-rights-reserved"] == (1, 900) and (2, "all-rights-reserved") not in got
+    assert (3, "all-rights-reserved") in got and 0.9 < got[99, "MIT text"][0] < 1
+    assert all(got[i, n] == (1, 300) for i, n in enumerate(known, 10))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 100), (5, 5), (None, 3)] + [(1000, 1000 + i) for i in range(50)]
     found = components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()

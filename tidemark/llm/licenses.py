@@ -8,7 +8,8 @@ probability of their similarity, which ``containment`` and the window width
 bound from below; there are as many bands as it takes for all to differ with
 probability ``miss`` at most. Windows that share a band with a template are
 verified: the share of the template's ``shingle``-word shingles that the window
-holds, by exact count, must be at least ``containment``.
+holds, by exact count, must be at least ``containment``. A template of fewer
+words is one shingle of all its words, and texts are cut at that width for it.
 
 Templates are a parameter, at most ``MOST_TEMPLATES``, and travel with the
 tasks; documents need no shuffle. A document's windows are hashed in pieces.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,16 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "BSD": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     "proprietary": "All rights reserved. Unauthorized copying of this file, via any medium is strictly prohibited.",
+    "all-rights-reserved": "All rights reserved.",
 }
 
 
+def usual() -> dict[str, str]:
+    """The short notices, and the headers and full texts kept in ``notices/``."""
+    files = (f for f in resources.files("tidemark.llm").joinpath("notices").iterdir() if f.name.endswith(".txt"))
+    return NOTICES | {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(files, key=lambda f: f.name)}
+
+
 @dataclass(frozen=True)
 class ScanSpec:
     shingle: int = 5
@@ -53,9 +62,14 @@ class ScanSpec:
 
 @dataclass(frozen=True)
 class _Class:
-    """Templates of at most ``width`` words; ``known`` band keys and whose they are."""
+    """Templates of at most ``width`` words, cut into shingles of ``shingle``, of which
+    a window of ``span`` must hold ``need``; ``known`` band keys and whose they are."""
 
+    shingle: int
     width: int
+    step: int
+    span: int
+    need: int
     bands: int
     known: np.ndarray
     leading: np.ndarray
@@ -71,8 +85,9 @@ def _words(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _step(width: int) -> int:
-    return max(1, width // 3)
+def _span(shingle: int, width: int, step: int) -> int:
+    """Shingles of a window, in whole steps."""
+    return -(-max(1, width + step - shingle) // step) * step
 
 
 def _banded(members: np.ndarray, bands: int, seed: int) -> np.ndarray:
@@ -83,17 +98,22 @@ def _banded(members: np.ndarray, bands: int, seed: int) -> np.ndarray:
 
 def _prepared(templates: list[str], spec: ScanSpec) -> tuple[list[np.ndarray], list[_Class]]:
     words = _words(templates)
-    sets = [np.unique(shingles(w, spec.shingle)) for w in words]
-    widths: dict[int, list[int]] = {}
+    sets = [np.unique(shingles(w, min(spec.shingle, len(w)))) for w in words]
+    needs = [math.ceil(spec.containment * len(s) - 1e-9) for s in sets]
+    alike: dict[tuple[int, int, int], list[int]] = {}
     for i, w in enumerate(words):
         if len(w):
             width = math.ceil(1.25 ** math.ceil(math.log(len(w), 1.25) - 1e-9))
-            widths.setdefault(max(spec.shingle, width), []).append(i)
+            step = max(1, width // 4)
+            if needs[i] == len(sets[i]):
+                # No shingle may be missing: an occurrence is the template, and windows of its length find it.
+                width, step = len(w), 1
+            alike.setdefault((min(spec.shingle, len(w)), width, step), []).append(i)
     classes = []
-    for width, own in sorted(widths.items()):
-        window = max(1, width + _step(width) - spec.shingle)
-        least = min((spec.containment * len(sets[i])) / (window + (1 - spec.containment) * len(sets[i])) for i in own)
-        bands = max(1, math.ceil(math.log(spec.miss) / math.log(1 - min(least, 0.999))))
+    for (shingle, width, step), own in sorted(alike.items()):
+        span = _span(shingle, width, step)
+        least = min(needs[i] / (max(span, needs[i]) + len(sets[i]) - needs[i]) for i in own)
+        bands = max(1, math.ceil(math.log(spec.miss) / math.log(1 - least))) if least < 1 else 1
         found: dict[int, list[int]] = {}
         for i in own:
             for band, key in enumerate(_banded(sets[i], bands, spec.seed).min(axis=0)):
@@ -101,25 +121,30 @@ def _prepared(templates: list[str], spec: ScanSpec) -> tuple[list[np.ndarray], l
         known = np.array(sorted(found), np.uint64)
         leading = np.zeros(1 << 16, bool)
         leading[known >> np.uint64(48)] = True
-        classes.append(_Class(width, bands, known, leading, [found[int(k)] for k in known]))
+        need = min(needs[i] for i in own)
+        classes.append(_Class(shingle, width, step, span, need, bands, known, leading, [found[int(k)] for k in known]))
     return sets, classes
 
 
 def _candidates(members: np.ndarray, kind: _Class, spec: ScanSpec) -> Iterator[tuple[int, int]]:
     """(first shingle, template) of windows that share a band with a template."""
-    step, span = _step(kind.width), max(1, kind.width + _step(kind.width) - spec.shingle)
-    for at in range(0, len(members), 1024 * step):
-        piece = members[at : at + 1024 * step + span]
-        ordered = np.vstack([_banded(piece, kind.bands, spec.seed), np.full((1, kind.bands), np.iinfo(np.uint64).max, np.uint64)])
-        begins = np.arange(0, min(len(piece), 1024 * step), step)
-        cuts = np.stack([begins, np.minimum(begins + span, len(piece))], axis=1).ravel()
-        keys = np.minimum.reduceat(ordered, cuts, axis=0)[::2] ^ np.arange(kind.bands, dtype=np.uint64)
+    step, steps = kind.step, kind.span // kind.step
+    own = max(1, min(1024, 8192 // step))
+    for at in range(0, len(members), own * step):
+        piece = members[at : at + (own + steps - 1) * step]
+        ordered = _banded(piece, kind.bands, spec.seed)
+        least = np.minimum.reduceat(ordered, np.arange(0, len(piece), step), axis=0) if step > 1 else ordered
+        keys = least[:own].copy()
+        for k in range(1, min(steps, len(least))):
+            later = least[k : k + own]
+            np.minimum(keys[: len(later)], later, out=keys[: len(later)])
+        keys ^= np.arange(kind.bands, dtype=np.uint64)
         # Few keys share their leading bits with a known one; only those are searched.
         windows, bands = np.nonzero(kind.leading[keys >> np.uint64(48)])
         found = keys[windows, bands]
         near = np.minimum(np.searchsorted(kind.known, found), len(kind.known) - 1)
         equal = np.flatnonzero(kind.known[near] == found)
-        hits = {(int(begins[windows[k]]) + at, i) for k in equal for i in kind.owners[near[k]]}
+        hits = {(int(windows[k]) * step + at, i) for k in equal for i in kind.owners[near[k]]}
         yield from sorted(hits)
 
 
@@ -129,23 +154,25 @@ def scan(docs: DataFrame, key: str, text: str, templates: dict[str, str] | None
 
     ``containment`` is the best share among its windows, ``first_word`` the
     number of the first word of the earliest such window's matching shingles.
-    Texts are scanned whole; null and blank texts hold nothing; a template or
-    text below ``shingle`` words counts as one shingle; repeated rows give
-    repeated results; a null key stays null.
+    Without ``templates``, the ``usual`` ones. Texts are scanned whole; null and
+    blank texts hold nothing; a template without words is never found; repeated
+    rows give repeated results; a null key stays null.
     """
-    named = NOTICES if templates is None else templates
+    named = usual() if templates is None else templates
     if len(named) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
     names, bodies = list(named), list(named.values())
     sets, classes = _prepared(bodies, spec)
 
     def found_in(words: np.ndarray) -> dict[int, tuple[float, int]]:
-        members = shingles(words, spec.shingle)
+        cut = {n: shingles(words, n) for n in {kind.shingle for kind in classes} if n <= len(words)}
         best: dict[int, tuple[float, int]] = {}
-        for kind in classes if len(members) else []:
-            span = max(1, kind.width + _step(kind.width) - spec.shingle)
+        for kind in classes:
+            members = cut.get(kind.shingle, ())
+            if len(members) < kind.need:
+                continue
             for at, i in _candidates(members, kind, spec):
-                window = members[at : at + span]
+                window = members[at : at + kind.span]
                 held = np.isin(window, sets[i])
                 share = len(np.unique(window[held])) / len(sets[i])
                 if share >= spec.containment:

@@ -107,6 +107,13 @@ def test_near_groups_of_odd_keys(spark):
     assert minhash.near_groups(docs.limit(0), "doc_id", "text").count() == 0
 
 
+def test_near_groups_of_a_key_with_two_texts(spark):
+    a, b = prose(1, 200), prose(2, 200)
+    docs = frame(spark, [(3, a), (3, b), (5, b + " other"), (7, a + " other"), (9, prose(3, 80))])
+    rows = minhash.near_groups(docs, "doc_id", "text").collect()
+    assert sorted((r[0], r[2], r[3]) for r in rows) == [(3, 3, True), (3, 3, True), (5, 3, False), (7, 3, False), (9, 9, True)]
+
+
 def expected_repeats(texts, length=100):
     seen, out = {}, {}
     for i, t in sorted(texts):

@@ -1,7 +1,8 @@
 """Near-duplicate documents by an inverted join on signature coordinates.
 
-Documents with equal shingle sets collapse to one representative first. Every
-representative is posted under its (coordinate, value) pairs. A pair above the
+Documents with equal shingle sets collapse to one representative first, which
+has a number of its own: a key with several texts may be the least of several
+sets. Every representative is posted under its (coordinate, value) pairs. A pair above the
 similarity agrees in at least ``matches`` coordinates but for ``miss`` in
 probability, so it shares a list among the ``coordinates - matches + 1`` rarest
 pairs of either side: only these prefixes are posted, pairs that nobody shares
@@ -126,9 +127,9 @@ def _classes(reps: DataFrame, spec: NearSpec) -> DataFrame:
 
 def _cells(docs: DataFrame, key: str, text: str, members: DataFrame, spec: NearSpec) -> DataFrame:
     """(class, low, high, rep, block, signature, members) for each cell a representative is compared in."""
-    known = members.select(F.col("rep").alias("known"), "class", "blocks", "set_key")
-    texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
-    texts = texts.join(known, F.col("rep") == F.col("known")).select("rep", "class", "blocks", "set_key", "text")
+    known = members.select("rep", F.col("least").alias("known"), "class", "blocks", "set_key")
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    texts = texts.join(known, F.col("key") == F.col("known")).select("rep", "class", "blocks", "set_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = MinHash(spec.coordinates, spec.seed)
@@ -159,7 +160,7 @@ def _cells(docs: DataFrame, key: str, text: str, members: DataFrame, spec: NearS
 
 
 def _links(cells: DataFrame, spec: NearSpec) -> DataFrame:
-    """(a, b): confirmed links, a spanning forest of each cell."""
+    """(a, b): confirmed links of representatives, a spanning forest of each cell."""
     need, percent, width = spec.matches, spec.percent, spec.coordinates
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -212,21 +213,26 @@ def near_groups(docs: DataFrame, key: str, text: str, spec: NearSpec = NearSpec(
     """
     signed = stage(signatures(docs, key, text, spec), "signatures")
     keyed = signed.where(F.col("key").isNotNull() & F.col("set_key").isNotNull())
-    grouped = keyed.groupBy("set_key").agg(F.min("key").alias("rep"), F.first("signature").alias("signature"))
-    reps = stage(grouped, "representatives")
+    grouped = keyed.groupBy("set_key").agg(F.min("key").alias("least"), F.first("signature").alias("signature"))
+    reps = stage(grouped.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     members = stage(_classes(reps.select("rep", "signature"), spec), "classes")
-    members = members.join(reps.select(F.col("rep").alias("of"), "set_key"), F.col("rep") == F.col("of"))
+    members = members.join(reps.select(F.col("rep").alias("of"), "least", "set_key"), F.col("rep") == F.col("of"))
     links = _links(_cells(docs, key, text, members, spec), spec)
     joined = signed.select("key", "n_shingles", "set_key").join(
-        reps.select(F.col("set_key").alias("known"), "rep"), F.col("set_key") == F.col("known"), "left"
+        reps.select(F.col("set_key").alias("known"), "rep", "least"), F.col("set_key") == F.col("known"), "left"
     )
-    joined = joined.select("key", "n_shingles", F.when(F.col("key").isNotNull(), F.col("rep")).alias("rep"))
+    own_rep, own_least = (F.when(F.col("key").isNotNull(), F.col(c)).alias(c) for c in ("rep", "least"))
+    joined = joined.select("key", "n_shingles", own_rep, own_least)
     # A key with several texts links their sets.
     several = joined.groupBy(F.col("key").alias("with")).agg(F.min("rep").alias("m"), F.max("rep").alias("n")).where("m < n")
-    across = joined.join(several, F.col("key") == F.col("with"), "left_semi").select("rep", "key")
+    across = joined.join(several, F.col("key") == F.col("with")).where("rep > m").select("rep", "m")
     found = components(links.select("a", "b").union(across), "a", "b").toDF("node", "component")
-    placed = joined.join(found, F.col("rep") == F.col("node"), "left")
-    own = F.coalesce("component", "rep", "key")
+    whole = found.union(found.select("component", "component").distinct())
+    keys = whole.join(reps.select("rep", "least"), F.col("node") == F.col("rep"))
+    keys = keys.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("linked"))
+    named = whole.join(keys, F.col("component") == F.col("of")).select("node", "linked")
+    placed = joined.join(named, F.col("rep") == F.col("node"), "left")
+    own = F.coalesce("linked", "least", "key")
     return placed.select(
         F.col("key").alias(key), "n_shingles", own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, forest, licenses, minhash, mixing, quality, ring, substrings, warc
+from tidemark.llm import bpe, chat, forest, licenses, lines, minhash, mixing, quality, ring, substrings, warc
 from tidemark.llm.words import word_count
 from tidemark.sources.staging import fresh_path
 
@@ -146,6 +146,29 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs, "doc_id", "text").select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+ORACLE_LINES = r"""
+with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+each as (
+  select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as pos,
+    translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from split),
+common as (
+  select key, max(doc_id) as keeper from each where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+judged as (select e.*, c.key is not null and e.doc_id <> c.keeper as gone from each e left join common c using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -162,6 +185,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
+    "op11_lines": op11_lines,
 }
 
-ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE, "op9_vectors": ORACLE_VECTORS}
+ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE, "op9_vectors": ORACLE_VECTORS, "op11_lines": ORACLE_LINES}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, forest, licenses, lines, minhash, mixing, quality, ring, substrings, warc
+from tidemark.llm import bpe, chat, forest, licenses, lines, minhash, mixing, negatives, quality, ring, substrings, warc
 from tidemark.llm.words import word_count
 from tidemark.sources.staging import fresh_path
 
@@ -169,6 +169,33 @@ from judged group by doc_id
 """
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", noisy.alias("label"))
+    return negatives.mine(rows, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0)
+
+
+ORACLE_NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over w::int as rank, vec_id as negative_id, positive_score,
+  score as negative_score
+from positives join scores using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 3
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -186,6 +213,13 @@ QUERIES = {
     "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
     "op11_lines": op11_lines,
+    "op12_negatives": op12_negatives,
 }
 
-ORACLE: dict[str, str] = {"op2_minhash": ORACLE_NEAR, "op8_mixing": mixing.ORACLE, "op9_vectors": ORACLE_VECTORS, "op11_lines": ORACLE_LINES}
+ORACLE: dict[str, str] = {
+    "op2_minhash": ORACLE_NEAR,
+    "op8_mixing": mixing.ORACLE,
+    "op9_vectors": ORACLE_VECTORS,
+    "op11_lines": ORACLE_LINES,
+    "op12_negatives": ORACLE_NEGATIVES,
+}

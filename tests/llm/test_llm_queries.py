@@ -18,7 +18,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 def test_registered():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):

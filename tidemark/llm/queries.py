@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, forest, licenses, lines, minhash, mixing, negatives, quality, ring, substrings, warc
+from tidemark.llm import bpe, chat, forest, licenses, lines, minhash, mixing, negatives, quality, ring, substrings, trie, warc
 from tidemark.llm.words import word_count
-from tidemark.sources.staging import fresh_path
+from tidemark.operators.skew import split_join
+from tidemark.sources.staging import fresh_path, stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,6 +197,70 @@ qualify row_number() over w <= 3
 """
 
 
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = stage(trie.positions(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"), "said")
+    turns, convs = _rebuilt(said)
+    found = trie.build(turns, convs)
+    return found.nodes.join(trie.digests(found), ["n1", "n2"]).drop("n1", "n2")
+
+
+def _rebuilt(said: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation with its first turns replaced by those of conversation c - c % 100."""
+    own = said.groupBy("conv").agg(F.count(F.lit(1)).alias("n_own")).withColumns(
+        {"h": F.crc32(F.col("conv").cast("string").cast("binary")) % 6, "base": F.col("conv") - F.col("conv") % 100}
+    )
+    heads = said.where((F.col("conv") % 100 == 0) & (F.col("pos") <= 5)).withColumnRenamed("conv", "base")
+    convs = own.join(heads.groupBy("base").agg(F.count(F.lit(1)).alias("n_head")), "base", "left")
+    taken = F.least("h", F.coalesce("n_head", F.lit(0)))
+    convs = stage(
+        convs.select("conv", "base", "h", "n_own", taken.alias("taken")).withColumn(
+            "length", F.col("taken") + F.greatest(F.col("n_own") - F.col("h"), F.lit(0))
+        ),
+        "convs",
+    )
+    columns = ["conv", "pos", "t1", "t2", "chars"]
+    shared = convs.join(heads, "base").where(F.col("pos") <= F.col("h")).select(*columns)
+    later = split_join(said, convs.select("conv", "h", "taken", "n_own"), ["conv"], "n_own").where(F.col("pos") > F.col("h"))
+    later = later.withColumn("pos", F.col("pos") - F.col("h") + F.col("taken")).select(*columns)
+    return shared.unionByName(later), convs.select("conv", "length")
+
+
+ORACLE_PREFIXES = """
+with recursive convs as (select distinct conv_id as c from conversations where conv_id is not null),
+hashed as (
+  select c, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ord(x)::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 as h
+  from convs),
+lists as (
+  select conv_id as c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations group by conv_id),
+rebuilt as (
+  select h.c, list_concat(coalesce(b.turns, [])[1:h.h], o.turns[h.h + 1:]) as turns
+  from hashed h join lists o on o.c = h.c left join lists b on b.c = h.c - h.c % 100),
+members as (select c, turns, unnest(range(0, len(turns) + 1)) as depth from rebuilt),
+nodes as (
+  select turns[1:depth] as path, depth, min(c) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(c::varchar, ',' order by c) filter (where len(turns) = depth), '') as ends
+  from members group by all),
+sized as (
+  select *, (n_convs - 1) * (case when depth = 0 then 0 else length(path[depth].text) end) as saved,
+    path[1:depth - 1] as parent from nodes),
+counted as (select parent, count(*) as n_children from sized where depth > 0 group by parent),
+inner_nodes as (
+  select s.*, coalesce(n_children, 0) as n_children, p.conv_id as parent_conv_id
+  from sized s left join counted k on k.parent = s.path left join nodes p on s.depth > 0 and p.path = s.parent
+),
+spread as (select unnest(range(0, depth + 1)) as up, path, saved, n_children from inner_nodes),
+below as (
+  select path[1:up] as path, sum(saved)::bigint as saved_tokens, count(*) filter (where n_children = 0) as n_leaves
+  from spread group by 1)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) as ends_sha256
+from inner_nodes join below using (path)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -214,6 +279,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_lines": op11_lines,
     "op12_negatives": op12_negatives,
+    "op13_prefixes": op13_prefixes,
 }
 
 ORACLE: dict[str, str] = {
@@ -222,4 +288,5 @@ ORACLE: dict[str, str] = {
     "op9_vectors": ORACLE_VECTORS,
     "op11_lines": ORACLE_LINES,
     "op12_negatives": ORACLE_NEGATIVES,
+    "op13_prefixes": ORACLE_PREFIXES,
 }

@@ -19,8 +19,8 @@ def split_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str,
     them if they are costly. Null keys match nothing; a weight that is too low
     costs balance, never rows.
     """
-    hot_from = facts.select(F.sum(weight).alias("_all"))
-    marked = facts.join(F.broadcast(hot_from)).withColumn("_hot", F.col(weight) * most >= F.col("_all")).drop("_all", weight)
+    total = facts.select(F.sum(weight)).scalar()
+    marked = facts.withColumn("_hot", F.col(weight) * most >= total).drop(weight)
     hot = F.broadcast(marked.where("_hot").drop("_hot"))
     common = rows.join(hot, keys)
     rare = rows.join(F.broadcast(marked.where("_hot").select(*keys)), keys, "left_anti")

@@ -117,6 +117,32 @@ def test_jobs_in_order(spark, setup):
     )
     made = replace(plan, encode=EncodePlan(fewer)).features(raw)
     assert set(wanted) <= set(made.columns) and made.where(F.col(f"`{lost}`") != 0).isEmpty()
+    wide_text_columns(spark, setup)
+
+
+def wide_text_columns(spark, setup):
+    """Columns of more labels than ``max_labels`` go from cleaning to production as text."""
+    wide = replace(
+        setup, alias="w", folder=setup.folder + "/wide", stamp="20990101_000000",
+        options=replace(setup.options, max_labels=4, feat_mode="mtinfo", top=60),
+        tables=setup.tables | {k: f"w_{v}" for k, v in setup.tables.items() if k != "spine"})
+    for i in (0, 1):
+        jobs.clean_source(spark, wide, i)
+    data = spark.read.table(jobs.merge_sources(spark, wide))
+    assert {"segment", "nation_name", "top_status_F"} <= set(data.columns) and "segment_HOUSEHOLD" not in data.columns
+    gains = {r["feature"] for r in jobs.select_features(spark, wide, "infogain").collect()}
+    ranked = {r["feature"] for r in jobs.select_associations(spark, wide, ("mtinfo",))["mtinfo"].collect()}
+    assert {"segment", "nation_name", "total_price"} <= gains & ranked
+    jobs.train(spark, wide, maxIter=1)
+    jobs.score(spark, wide)
+    jobs.assess(spark, wide)
+    known = lake.read_report(spark, wide.own("feat_import"), "feature string, importance double")
+    assert known.where("feature like 'segment\\_%'").count() == 5
+    jobs.refit(spark, wide)
+    plan = ProductionPlan.load(spark, wide.own("production"))
+    assert set(plan.labels.sizes) >= {"segment", "nation_name"} and "segment" not in plan.encode.labels
+    scored = spark.read.table(jobs.produce(spark, wide, "2001-09-15"))
+    assert scored.where("score is null").isEmpty() and scored.count() > 0
 
 
 def test_sources_by_name_and_repeated_keys(spark, setup):

@@ -24,7 +24,8 @@ from tidemark.operators import spine as spines
 from tidemark.operators.profile import numeric_columns, string_columns
 from tidemark.options import Options
 from tidemark.plans.clean import CleanPlan, fit_clean, trimmed
-from tidemark.plans.encode import EncodePlan, fit_encode
+from tidemark.plans.encode import EncodePlan, fit_by_width, fit_encode
+from tidemark.plans.labels import LabelTable, merged
 from tidemark.plans.production import ProductionPlan, score_production
 from tidemark.plans.split import fit_split
 from tidemark.sources import lake
@@ -128,16 +129,18 @@ def build_spine(spark: SparkSession, setup: Setup) -> str:
 
 
 def clean_source(spark: SparkSession, setup: Setup, index: int) -> str:
-    """One raw source on the spine: cleaned, encoded, saved with its plans."""
+    """One raw source on the spine: cleaned, encoded, saved with its plans. Text
+    columns of more than ``max_labels`` labels stay text and get a label table."""
     options, s = setup.options, setup.options.spine
     source = setup.raw_source(spark, f"clean_{index}")
     raw = merge.merge_windowed(setup.read(spark, "spine"), [source], (s.ident, s.date), *setup.bounds())
     rows = stage(raw, "raw")
     cleaner = fit_clean(rows, options, low_variance=options.low_variance)
     cleaned = cleaner.transform(rows)
-    encoder = fit_encode(
+    encoder, labels = fit_by_width(
         spines.split_rows(cleaned, s, "train"), string_columns(cleaned, s.all()), options.max_labels
     )
+    labels.save(setup.path("plans", f"labels_{index}"))
     lake.save_text(spark, cleaner.to_json(), setup.path("plans", f"clean_{index}"))
     lake.save_text(spark, encoder.to_json(), setup.path("plans", f"encode_{index}"))
     return setup.save(encoder.dummies(cleaned), f"clean_{index}")
@@ -162,7 +165,9 @@ def select_features(spark: SparkSession, setup: Setup, method: str) -> DataFrame
         return select_associations(spark, setup, (method,))[method]
     s = setup.options.spine
     train = spines.split_rows(setup.read(spark, "dataset"), s, "train")
-    report = selection.forest_importance(train, numeric_columns(train, s.all()), s.target)
+    labels = saved_labels(spark, setup)
+    features = [*numeric_columns(train, s.all()), *labels.sizes]
+    report = selection.forest_importance(train, features, s.target, labels)
     lake.save_report(report, setup.path("feat_sel", method))
     return report
 
@@ -176,7 +181,8 @@ def select_associations(
     """
     options, s = setup.options, setup.options.spine
     train = spines.split_rows(setup.read(spark, "dataset"), s, "train")
-    features, binary = numeric_columns(train, s.all()), binary_features(spark, setup)
+    features = [*numeric_columns(train, s.all()), *saved_labels(spark, setup).sizes]
+    binary = binary_features(spark, setup)
     if "mtinfo" not in methods:
         features = [c for c in features if c not in binary]
     counted = selection.association(train, features, s.target, options.bin_buckets, options.bin_error)
@@ -213,6 +219,12 @@ def saved_plans(spark: SparkSession, setup: Setup) -> list[tuple[CleanPlan, Enco
     ]
 
 
+def saved_labels(spark: SparkSession, setup: Setup) -> LabelTable:
+    """The label tables of all sources as one."""
+    indices = [k.removeprefix("clean_") for k in numbered(setup.tables)]
+    return merged([LabelTable.load(spark, setup.path("plans", f"labels_{i}")) for i in indices])
+
+
 def train(spark: SparkSession, setup: Setup, **size) -> str:
     """Chosen features, boosted trees, predictions of all splits."""
     options, s = setup.options, setup.options.spine
@@ -221,9 +233,10 @@ def train(spark: SparkSession, setup: Setup, **size) -> str:
     features = selection.choose_features(report, options)
     lake.save_features(spark, features, setup.own("feat_sel", "chosen"))
     rows = setup.read(spark, "dataset").select(*s.all(), *features)
-    fitted = model.train_gbt(spines.split_rows(rows, s, "train"), features, s.target, **size)
+    labels = saved_labels(spark, setup)
+    fitted = model.train_gbt(spines.split_rows(rows, s, "train"), features, s.target, labels, **size)
     lake.save_fitted(fitted, setup.own("model"))
-    return setup.save(model.predict(fitted, rows, s.all()), "pred")
+    return setup.save(model.predict(fitted, rows, s.all(), features, labels), "pred")
 
 
 def score(spark: SparkSession, setup: Setup) -> str:
@@ -243,7 +256,9 @@ def assess(spark: SparkSession, setup: Setup) -> None:
     options, s = setup.options, setup.options.spine
     rows = setup.read(spark, "score")
     fitted = lake.load_fitted(PipelineModel, setup.own("model"))
-    lake.save_report(model.gbt_importance(fitted, rows), setup.own("feat_import"))
+    chosen = lake.read_features(spark, setup.own("feat_sel", "chosen"))
+    importances = model.gbt_importance(fitted, rows, chosen, saved_labels(spark, setup))
+    lake.save_report(importances, setup.own("feat_import"))
     report = evaluation.metrics_report(rows, s.target, options.score_col, split=s.ind_split, splits=SPLITS)
     lake.save_report(report, setup.own("metrics"))
     by_split = evaluation.ks_table(rows, s.target, options.score_col, options.buckets_name, [s.ind_split])
@@ -257,10 +272,11 @@ def assess(spark: SparkSession, setup: Setup) -> None:
 
 def refit(spark: SparkSession, setup: Setup) -> None:
     """Labels refitted on the sources behind the chosen features over the whole
-    window, saved as fitted ML objects and, with the model, as production's plan.
+    window, saved with the model as production's plan.
 
     Two-valued columns keep the pair they were trained on, or their 0 and 1 could
-    change sides. Model columns whose label no longer occurs are 0 in production.
+    change sides, and columns with a label table keep the places in the model's
+    vector. Model columns whose label no longer occurs are 0 in production.
     """
     options, s = setup.options, setup.options.spine
     chosen = lake.read_features(spark, setup.own("feat_sel", "chosen"))
@@ -279,11 +295,11 @@ def refit(spark: SparkSession, setup: Setup) -> None:
     )
     cleaner = cleaner.only(needed)
     cleaned = cleaner.transform(raw)
-    encoder = fit_encode(cleaned, string_columns(cleaned, s.all()), options.max_labels)
-    if encoder.labels:
-        lake.save_fitted(encoder.encoder(cleaned), setup.own("encoders"))
+    labels = saved_labels(spark, setup).only(needed)
+    encoder = fit_encode(cleaned, string_columns(cleaned, [*s.all(), *labels.sizes]))
     fitted = lake.load_fitted(PipelineModel, setup.own("model"))
-    ProductionPlan(cleaner, encoder, fitted).save(spark, setup.own("production"))
+    plan = ProductionPlan(cleaner, encoder, fitted, tuple(chosen), labels if labels.sizes else None)
+    plan.save(spark, setup.own("production"))
 
 
 def produce(spark: SparkSession, setup: Setup, today: str) -> str:

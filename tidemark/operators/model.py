@@ -1,4 +1,8 @@
-"""Gradient-boosted trees on chosen features."""
+"""Gradient-boosted trees on chosen features.
+
+Numbers are assembled by a stage of the fitted pipeline. With text features the
+caller hands in their label table, and the vector is made by that, sparse.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +11,9 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 
-from tidemark.operators.selection import SEED, importance_frame
+from tidemark.operators.selection import SEED, importance_frame, label_importance
 from tidemark.options import SpineColumns
+from tidemark.plans.labels import LabelTable
 from tidemark.sources.staging import shared_folder
 
 # The model size.
@@ -19,18 +24,30 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
-def train_gbt(train: DataFrame, features: list[str], target: str, **size) -> PipelineModel:
-    """Assembler and boosted trees. A checkpoint folder is named first: boosting
-    then cuts its lineage every few trees."""
+def train_gbt(
+    train: DataFrame, features: list[str], target: str, labels: LabelTable | None = None, **size
+) -> PipelineModel:
+    """Assembler and boosted trees, or the trees alone if some features are text.
+    A checkpoint folder is named first: boosting then cuts its lineage every few trees."""
     shared_folder(train.sparkSession)
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
     trees = GBTClassifier(labelCol=target, featuresCol="features", seed=SEED, **(MODEL_SIZE | size))
-    rows = assembler.transform(train.select(target, *features))
-    return PipelineModel([assembler, trees.fit(rows)])
+    rows = train.select(target, *features)
+    if has_texts(features, labels):
+        return PipelineModel([trees.fit(labels.features(rows, features))])
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    return PipelineModel([assembler, trees.fit(assembler.transform(rows))])
+
+
+def has_texts(features: list[str], labels: LabelTable | None) -> bool:
+    return labels is not None and any(c in labels.sizes for c in features)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+def predict(
+    model: PipelineModel, df: DataFrame, keep: list[str], features: list[str] = (), labels: LabelTable | None = None
+) -> DataFrame:
     """``keep`` plus probability, rawPrediction and prediction."""
+    if has_texts(features, labels):
+        df = labels.features(df, features)
     scored = model.transform(df)
     return scored.select(*keep, "probability", "rawPrediction", "prediction")
 
@@ -39,7 +56,11 @@ def spine_of(df: DataFrame, spine: SpineColumns) -> list[str]:
     return [c for c in spine.all() if c in df.columns]
 
 
-def gbt_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
-    assembler, trees = model.stages[0], model.stages[-1]
+def gbt_importance(
+    model: PipelineModel, df: DataFrame, features: list[str] = (), labels: LabelTable | None = None
+) -> DataFrame:
+    trees = model.stages[-1]
     assert isinstance(trees, GBTClassificationModel)
-    return importance_frame(df, trees.featureImportances, assembler.getInputCols())
+    if has_texts(features, labels):
+        return label_importance(trees.featureImportances, features, labels, "feature")
+    return importance_frame(df, trees.featureImportances, model.stages[0].getInputCols())

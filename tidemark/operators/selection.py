@@ -11,6 +11,7 @@ from tidemark.functions.scores import CRAMER_BANDS, MUTUAL_BANDS, band
 from tidemark.operators.ordering import column_quantiles
 from tidemark.operators.profile import batches, long_form, numeric_columns
 from tidemark.options import Options
+from tidemark.plans.labels import LabelTable
 
 # Fixed values.
 SEED = 2012
@@ -123,13 +124,28 @@ def mutual_information(stats: DataFrame) -> DataFrame:
     )
 
 
-def forest_importance(train: DataFrame, features: list[str], target: str, **forest) -> DataFrame:
-    """Information gain by random-forest importance."""
-    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(train.select(target, *features))
-    model = RandomForestClassifier(featuresCol="features", labelCol=target, seed=SEED, **forest).fit(assembled)
+def forest_importance(
+    train: DataFrame, features: list[str], target: str, labels: LabelTable | None = None, **forest
+) -> DataFrame:
+    """Information gain by random-forest importance. A text feature of ``labels``
+    is worth the sum over its labels."""
+    rows, texts = train.select(target, *features), labels is not None and any(c in labels.sizes for c in features)
+    made = labels.features(rows, features) if texts else VectorAssembler(inputCols=features, outputCol="features").transform(rows)
+    model = RandomForestClassifier(featuresCol="features", labelCol=target, seed=SEED, **forest).fit(made)
+    if texts:
+        return label_importance(model.featureImportances, features, labels, "source")
     return importance_frame(train, model.featureImportances, features)
 
 
+def label_importance(importances, features: list[str], labels: LabelTable, by: str) -> DataFrame:
+    """(feature, importance) per place of a sparse vector, or summed ``by`` its
+    source; only places that a tree splits on come to the driver and back."""
+    some = [(int(i), float(x)) for i, x in zip(importances.indices, importances.values)]
+    found = labels.spark.createDataFrame(some, "position int, importance double")
+    named = labels.names(features).join(found, "position", "left").groupBy(F.col(by).alias("feature"))
+    return named.agg(F.coalesce(F.sum("importance"), F.lit(0.0)).alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
 def importance_frame(df: DataFrame, importances, features: list[str]) -> DataFrame:
     """(feature, importance), greatest first; one row per model feature."""
     rows = sorted(zip(features, (float(x) for x in importances.toArray())), key=lambda r: (-r[1], r[0]))

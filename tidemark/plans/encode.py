@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.profile import value_counts
+from tidemark.plans.labels import LabelTable, none, rank_labels
 from tidemark.sources.staging import stage
 
+# Columns that a frame can get, one for each label.
+MOST_DUMMIES = 20_000
+
 
 @dataclass(frozen=True)
 class EncodePlan:
@@ -73,16 +77,41 @@ class EncodePlan:
 
 
 def fit_encode(train: DataFrame, columns: list[str], max_labels: int | None = None) -> EncodePlan:
-    """Every label of ``columns`` is kept. With ``max_labels``, a column with more
-    labels is an error, for tables that cannot have as many columns."""
+    """Every label of ``columns`` is kept, as a column each. More than
+    ``max_labels`` in one column, or ``MOST_DUMMIES`` in all, is an error: label
+    tables hold such columns."""
     if not columns:
         return EncodePlan({})
     counts = stage(value_counts(train, columns).where(F.col("value").isNotNull()), "labels")
-    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("labels"))
-    wide = [] if max_labels is None else [r["column"] for r in sizes.where(F.col("labels") > max_labels).collect()]
+    sizes = _sizes(counts, columns)
+    wide = [] if max_labels is None else [c for c, n in sizes.items() if n > max_labels]
     if wide:
-        raise ValueError(f"more than {max_labels} labels in {wide}; drop or group them before encoding")
-    found: dict[str, list] = {c: [] for c in columns}
-    for row in sorted(counts.collect(), key=lambda r: (-r["n"], r["value"])):
+        raise ValueError(f"more than {max_labels} labels in {wide}; drop, group or index them instead of encoding")
+    return _collected(counts, sizes)
+
+
+def fit_by_width(train: DataFrame, columns: list[str], widest: int) -> tuple[EncodePlan, LabelTable]:
+    """A plan for the columns of at most ``widest`` labels and a label table for the others."""
+    if not columns:
+        return EncodePlan({}), none(train.sparkSession)
+    counts = stage(value_counts(train, columns), "labels")
+    sizes = _sizes(counts.where(F.col("value").isNotNull()), columns)
+    wide = [c for c, n in sizes.items() if n > widest]
+    narrow = {c: n for c, n in sizes.items() if c not in wide}
+    plan = _collected(counts.where(F.col("value").isNotNull()), narrow)
+    return plan, rank_labels(counts, wide) if wide else none(train.sparkSession)
+
+
+def _sizes(counts: DataFrame, columns: list[str]) -> dict[str, int]:
+    found = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {c: found.get(c, 0) for c in columns}
+
+
+def _collected(counts: DataFrame, sizes: dict[str, int]) -> EncodePlan:
+    """The labels of ``sizes`` by name, at most ``MOST_DUMMIES``: each becomes a column."""
+    if sum(sizes.values()) > MOST_DUMMIES:
+        raise ValueError(f"{sum(sizes.values())} labels in {list(sizes)} are too many columns")
+    found: dict[str, list] = {c: [] for c in sizes}
+    for row in sorted(counts.where(F.col("column").isin(list(sizes))).collect(), key=lambda r: (-r["n"], r["value"])):
         found[row["column"]].append(row["value"])
     return EncodePlan({c: tuple(v) for c, v in found.items()})

@@ -9,6 +9,7 @@ from tidemark.operators import merge, profile
 from tidemark.operators.model import assemble
 from tidemark.plans import clean
 from tidemark.plans.encode import fit_encode
+from tidemark.plans.labels import fit_labels
 from tidemark.sources.staging import stage
 from workloads.fixtures import (
     DIRTY,
@@ -142,32 +143,40 @@ def join_inner_outcome(spark, sf_dir):
     return merge.join_outcomes(score_history(spark, sf_dir), spine_window(spark, sf_dir), KEYS)
 
 
-def _train_labels(spark, sf_dir):
+def _filled_texts(spark, sf_dir):
     rows = clean.fill_nulls(split_dataset(spark, sf_dir).select(*KEYS, "ind_split", *TEXT), SPINE.all())
-    rows = stage(rows)
-    return rows, fit_encode(rows.where("ind_split = 'train'"), ["top_status", "returnflag", "segment", "region_name"])
+    return stage(rows)
 
 
 def string_index(spark, sf_dir):
-    rows, plan = _train_labels(spark, sf_dir)
-    indexed = plan.indexer().transform(rows)
-    return indexed.select(*KEYS, *[F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in plan.labels])
+    rows = _filled_texts(spark, sf_dir)
+    indexed = fit_labels(rows.where("ind_split = 'train'"), TEXT).index(rows)
+    return indexed.select(*KEYS, *[f"{c}_idx" for c in TEXT])
 
 
 def one_hot(spark, sf_dir):
-    rows, plan = _train_labels(spark, sf_dir)
-    encoded = plan.encoder(rows).transform(rows)
+    rows = _filled_texts(spark, sf_dir)
+    encoded = fit_labels(rows.where("ind_split = 'train'"), TEXT).one_hot(rows)
     return encoded.select(
-        *KEYS,
-        *[(F.array_position(vector_to_array(f"{c}_ohe"), 1.0) - 1).cast("int").alias(f"{c}_hot") for c in plan.labels],
+        *KEYS, *[(F.array_position(vector_to_array(f"{c}_ohe"), 1.0) - 1).cast("int").alias(f"{c}_hot") for c in TEXT]
     )
 
 
+def label_features(spark, sf_dir):
+    """Numbers and all labels in one sparse vector, read back by its names."""
+    columns = [*NUMERIC, *TEXT]
+    rows = clean.fill_nulls(split_dataset(spark, sf_dir).select(*KEYS, "ind_split", *columns), SPINE.all())
+    rows = stage(rows)
+    table = fit_labels(rows.where("ind_split = 'train'"), TEXT)
+    made = table.features(rows, columns).select(*KEYS, F.posexplode(vector_to_array("features")).alias("position", "value"))
+    named = made.where("value != 0").join(table.names(columns), "position")
+    return named.select(*KEYS, "feature", "source", F.round("value", 6).alias("value"))
+
+
 def dummies(spark, sf_dir):
-    rows, plan = _train_labels(spark, sf_dir)
-    return plan.only(["returnflag", "segment"]).dummies(rows).select(
-        *KEYS, *[c for c, source in plan.dummy_sources().items() if source in ("returnflag", "segment")]
-    )
+    rows = _filled_texts(spark, sf_dir)
+    plan = fit_encode(rows.where("ind_split = 'train'"), ["returnflag", "segment"])
+    return plan.dummies(rows).select(*KEYS, *plan.dummy_sources())
 
 
 def assemble_vector(spark, sf_dir):
@@ -199,6 +208,7 @@ QUERIES = {
     "string_index": string_index,
     "one_hot": one_hot,
     "dummies": dummies,
+    "label_features": label_features,
     "assemble_vector": assemble_vector,
 }
 
@@ -218,7 +228,7 @@ _COUNTS = {
                   coalesce(max(n) filter (where value is not null), 0) / sum(n) as mode_share
                   from per_value group by 1""",
 }
-_LABELLED = ["top_status", "returnflag", "segment", "region_name"]
+_LABELLED = TEXT
 _FILLED = ", ".join(f"coalesce({c}, 'SIN_INFO') as {c}" for c in _LABELLED)
 _RANKS = {
     "filled": f"select ident, month, ind_split, {_FILLED} from split_dataset",
@@ -331,6 +341,20 @@ ORACLE = {
         "split_dataset",
         **_RANKS,
     ),
+    "label_features": query(
+        " union all ".join(
+            f"select ident, month, '{c}' as feature, '{c}' as source, round(cast(coalesce({c}, 0) as double), 6) as value "
+            f"from split_dataset where coalesce({c}, 0) <> 0"
+            for c in NUMERIC
+        )
+        + " union all "
+        + " union all ".join(
+            f"select ident, month, '{c}_' || {c} as feature, '{c}' as source, cast(1 as double) as value from filled join rank_{c} using ({c})"
+            for c in TEXT
+        ),
+        "split_dataset",
+        **_RANKS,
+    ),
     "assemble_vector": query(
         " union all ".join(
             f"select ident, month, {i}::integer as position, cast(coalesce({c}, 0) as double) as value from dataset"

@@ -26,6 +26,8 @@ _RANGE = "_range"
 _ROW_BITS = 33
 # Sketches that one aggregate holds at a time; each is below 1 MB.
 _SKETCHES = 512
+# A group key for rows without groups.
+_WHOLE = "_whole"
 
 
 def ranked(
@@ -125,21 +127,17 @@ def quantiles(
     probabilities: dict[str, float],
     interpolate: bool = False,
     error: float = 0.0,
-    accuracy: int = 10_000,
+    accuracy: int = 512,
 ) -> DataFrame:
     """One row per group with ``{name: quantile}`` of ``value``, nulls ignored.
 
-    ``error`` > 0 answers from one mergeable sketch per group. ``error`` = 0 is
-    exact. Groups proven small by the first pass are sorted as a whole. For the
-    others the sketch brackets every quantile, and all values outside the
-    brackets collapse onto bracket edges, so only a thin slice of distinct
-    values is ordered. ``interpolate`` picks the continuous form.
+    ``error`` > 0 answers from one mergeable sketch per group, ``error`` = 0
+    exactly, by counting (see ``column_quantiles``). ``interpolate`` picks the
+    continuous form.
     """
-    number = F.col(value).cast("double")
-    sketch = _sketch(number, _asked(probabilities, error, accuracy), error, accuracy)
-    summary = rows.groupBy(*groups).agg(*sketch)
-    values = rows.select(*groups, number.alias("_v"))
-    return _from_sketch(summary, values, groups, probabilities, interpolate, error, accuracy)
+    columns = rows.select(*groups, F.col(value).alias("_v"))
+    found = column_quantiles(columns, groups, ["_v"], "_name", probabilities, interpolate, error, accuracy)
+    return found.drop("_name")
 
 
 def column_quantiles(
@@ -150,117 +148,189 @@ def column_quantiles(
     probabilities: dict[str, float],
     interpolate: bool = False,
     error: float = 0.0,
-    accuracy: int = 10_000,
+    accuracy: int = 512,
     extra: Callable[[Column], list[Column]] | None = None,
     step: int = 50,
 ) -> DataFrame:
     """``quantiles`` of many numeric columns: one row per (keys, ``name`` of the
     column), with ``extra`` aggregates of the column.
 
-    The sketches are taken side by side, grouped by ``keys`` only. Grouped by
-    (keys, column) there would be more groups per task than an aggregate on
-    sketches keeps in its hash map, and it would sort all rows instead. Many
-    groups take fewer columns at a time, so that a task's sketches stay bounded.
+    Exact quantiles come from counting alone. A first aggregate gives each group's
+    number of values, least and greatest one, and so the ranks that are asked for.
+    Each further pass cuts the bracket around every open rank into ``accuracy``
+    equal parts and counts the values in each part, with the least and greatest
+    value there. The part that holds the rank is the next bracket; the rank is
+    settled where a part holds one distinct value, or at a part's edge. Counts are
+    exact in every pass, so no rank needs a proof afterwards, and a pass divides the
+    distinct values in a bracket by about ``accuracy``: few passes do for any size.
+    Parts are equal in value and in logarithm by turns, so far outliers cost a
+    pass, not many. Values are counted where they lie; only counts are shuffled.
+
+    ``error`` > 0 reads the quantiles off sketches, a few columns at a time.
     """
-    if keys:
-        step = max(1, min(step, _SKETCHES // max(1, df.select(*keys).distinct().count())))
-    asked = _asked(probabilities, error, accuracy)
     numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    if error > 0:
+        return _sketched(numbers, keys, columns, name, probabilities, error, extra, step)
+    if not keys:
+        return column_quantiles(
+            df.withColumn(_WHOLE, F.lit(0)), [_WHOLE], columns, name, probabilities, interpolate, 0.0, accuracy, extra, step
+        ).drop(_WHOLE)
+    summary = pinned(_measured(numbers, keys, columns, name, extra, step))
+    others = [c for c in summary.columns if c not in (*keys, name, *_BOUNDS)]
+    ranks = _ranks(probabilities, interpolate)
+    asked = F.array(*[F.struct(F.lit(t).alias("t"), r.cast("long").alias("r")) for t, r in enumerate(ranks)])
+    known = summary.where(F.col("_n") > 0).select(*keys, F.col(name).alias("_name"), *_BOUNDS[1:], F.explode(asked).alias("_a"))
+    state = _settled(known.select(*keys, "_name", "_a.t", "_a.r", *_BOUNDS[1:]))
+    done = [state]
+    turn = 0
+    while open_names := [r["_name"] for r in state.where(~F.col("_done")).select("_name").distinct().collect()]:
+        state = stage(_narrowed(numbers, keys, open_names, state.where(~F.col("_done")), accuracy, turn, step), "brackets")
+        done.append(state)
+        turn += 1
+    settled = reduce(DataFrame.unionByName, done).where("_done")
+    answers = settled.groupBy(*keys, "_name").agg(
+        *[F.max(F.when(F.col("t") == t, F.col("_low"))).alias(f"_q{t}") for t in range(len(ranks))]
+    )
+    keyed = answers.select(*[F.col(c).alias(f"_key_{c}") for c in keys], F.col("_name").alias("_key_name"), *[f"_q{t}" for t in range(len(ranks))])
+    match = _same(keys) & (F.col(name) == F.col("_key_name"))
+    return summary.join(keyed, match, "left").select(*keys, name, *others, *_picked(probabilities, interpolate))
+
+
+_BOUNDS = ("_n", "_low", "_high", "_from", "_to")
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+
+
+def _measured(numbers: DataFrame, keys: list[str], columns: list[str], name: str, extra, step: int) -> DataFrame:
+    """Per (keys, column): number of values, least and greatest, the same of the
+    finite ones, and the extra aggregates. Buffers of fixed size, so one scan per batch."""
     parts = []
     for batch in batches(columns, step):
-        measured = numbers.groupBy(*keys).agg(
-            *[
-                F.struct(*_sketch(F.col(c), asked, error, accuracy), *(extra(F.col(c)) if extra else [])).alias(c)
-                for c in batch
-            ]
-        )
-        parts.append(measured.unpivot(keys, batch, name, "_found").select(*keys, name, "_found.*"))
-    values = long_form(numbers, keys, columns, name, "_v")
-    summary = reduce(DataFrame.unionByName, parts)
-    return _from_sketch(summary, values, [*keys, name], probabilities, interpolate, error, accuracy)
+        measures = []
+        for c in batch:
+            value = F.col(c)
+            finite = F.when(F.abs(value) < float("inf"), value)
+            found = [F.count(value), F.min(value), F.max(value), F.min(finite), F.max(finite)]
+            own = [x.alias(n) for x, n in zip(found, _BOUNDS)]
+            measures.append(F.struct(*own, *(extra(value) if extra else [])).alias(c))
+        wide = numbers.groupBy(*keys).agg(*measures)
+        parts.append(wide.unpivot(keys, batch, name, "_found").select(*keys, name, "_found.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranks(probabilities: dict[str, float], interpolate: bool) -> list[Column]:
+    """The 1-based ranks asked for, of ``_n`` values; two per quantile if interpolated."""
+    n = F.col("_n")
+    if not interpolate:
+        return [F.greatest(F.ceil(F.lit(p) * n), F.lit(1)) for p in probabilities.values()]
+    spots = [F.lit(p) * (n - 1) for p in probabilities.values()]
+    return [r for spot in spots for r in (F.floor(spot) + 1, F.ceil(spot) + 1)]
 
 
-def _asked(probabilities: dict[str, float], error: float, accuracy: int) -> list[float]:
-    """What the sketch is asked for: the quantiles, or brackets around them and the maximum."""
-    wanted = sorted(probabilities.values())
-    if error > 0:
-        return wanted
-    margin = 2.0 / accuracy
-    return [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))] + [1.0]
+def _picked(probabilities: dict[str, float], interpolate: bool) -> list[Column]:
+    if not interpolate:
+        return [F.col(f"_q{t}").alias(n) for t, n in enumerate(probabilities)]
+    picks = []
+    for t, (n, p) in enumerate(probabilities.items()):
+        low, high, spot = F.col(f"_q{2 * t}"), F.col(f"_q{2 * t + 1}"), F.lit(p) * (F.col("_n") - 1)
+        picks.append(F.when(low == high, low).otherwise(low + (high - low) * (spot - F.floor(spot))).alias(n))
+    return picks
 
 
-def _sketch(number: Column, asked: list[float], error: float, accuracy: int) -> list[Column]:
-    size = max(1, round(1 / error)) if error > 0 else accuracy
-    return [F.percentile_approx(number, asked, size).alias("_edges"), F.count(number).alias("_n")]
+def _settled(brackets: DataFrame) -> DataFrame:
+    """A bracket of one value is an answer."""
+    return brackets.withColumn("_done", F.col("_low") == F.col("_high"))
 
 
-def _from_sketch(
-    summary: DataFrame,
-    values: DataFrame,
-    groups: list[str],
-    probabilities: dict[str, float],
-    interpolate: bool,
-    error: float,
-    accuracy: int,
+def _narrowed(
+    numbers: DataFrame, keys: list[str], columns: list[str], brackets: DataFrame, parts: int, turn: int, step: int
 ) -> DataFrame:
+    """The next brackets (keys, _name, t, r, _low, _high, _from, _to, _done) of open ones."""
+    # Ranks that share a bracket are counted once; the bracket goes by its first rank.
+    shared = brackets.groupBy(*keys, "_name", *_BOUNDS[1:]).agg(F.min("t").alias("_id"), F.collect_list(F.struct("t", "r")).alias("_asked"))
+    counts = reduce(DataFrame.unionByName, [_counted(numbers, keys, batch, shared, parts, turn) for batch in batches(columns, step)])
+    inner = Window.partitionBy(*keys, "_name", "_id").orderBy("_part")
+    counts = counts.withColumn("_upto", F.sum("_in").over(inner))
+    asked = shared.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_name").alias("_key_name"), F.col("_id").alias("_key_id"), F.explode("_asked").alias("_a")
+    )
+    match = _same(keys) & (F.col("_name") == F.col("_key_name")) & (F.col("_id") == F.col("_key_id"))
+    holds = (F.col("_a.r") <= F.col("_upto")) & (F.col("_a.r") > F.col("_upto") - F.col("_in"))
+    found = counts.join(asked, match).where(holds)
+    r = F.col("_a.r") - F.col("_upto") + F.col("_in")
+    # The first and the last rank of a part are its least and greatest value.
+    low = F.when((r == F.col("_in")) & (r > 1), F.col("_high")).otherwise(F.col("_low"))
+    high = F.when(r == 1, F.col("_low")).otherwise(F.col("_high"))
+    return _settled(
+        found.select(*keys, "_name", "_a.t", r.alias("r"), low.alias("_low"), high.alias("_high"), low.alias("_from"), high.alias("_to"))
+    )
+
+
+def _counted(numbers: DataFrame, keys: list[str], columns: list[str], shared: DataFrame, parts: int, turn: int) -> DataFrame:
+    """(keys, _name, _id, _part, _in, _low, _high): the values in each part of each bracket.
+
+    The brackets come one row per group, a column for each column, so that they
+    join the rows before these are unpivoted, on the keys alone.
+    """
+    own = F.collect_list(F.struct("_id", *_BOUNDS[1:]))
+    wide = shared.where(F.col("_name").isin(columns)).groupBy(*keys, "_name").agg(own.alias("_b"))
+    wide = wide.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        *[F.first(F.when(F.col("_name") == c, F.col("_b")), ignorenulls=True).alias(f"_b{i}") for i, c in enumerate(columns)]
+    )
+    rows = numbers.select(*keys, *columns).join(pinned(wide), _same(keys))
+    pairs = rows.select(*keys, *[F.struct(F.col(c).alias("v"), F.col(f"_b{i}").alias("b")).alias(c) for i, c in enumerate(columns)])
+    long = pairs.unpivot(keys, columns, "_name", "_pair")
+    v = F.col("_pair.v")
+    inside = F.filter("_pair.b", lambda b: (v >= b["_low"]) & (v <= b["_high"]))
+    placed = long.select(*keys, "_name", v.alias("v"), F.explode(inside).alias("b"))
+    return placed.groupBy(*keys, "_name", F.col("b._id").alias("_id"), _part(parts, turn).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_in"), F.min("v").alias("_low"), F.max("v").alias("_high")
+    )
+
+
+def _part(parts: int, turn: int) -> Column:
+    """The part of bracket ``b`` that ``v`` is in, rising with ``v``; the greatest
+    finite value has a part of its own, and so have the infinities and NaN."""
+
+    def scale(x: Column) -> Column:
+        # The logarithm of the least double is -744.4; moved up, both signs rise from 0.
+        magnitude = F.when(x == 0, F.lit(0.0)).otherwise(F.ln(F.abs(x)) + 800)
+        return x / 2 if turn % 2 == 0 else F.signum(x) * magnitude
+
+    v, low, high = scale(F.col("v")), scale(F.col("b._from")), scale(F.col("b._to"))
+    inner = F.least(F.floor(F.try_divide(v - low, high - low) * parts), F.lit(parts - 1))
+    return (
+        F.when(F.isnan("v"), F.lit(parts + 2))
+        .when(F.col("v") == float("inf"), F.lit(parts + 1))
+        .when(F.col("v") == float("-inf"), F.lit(-1))
+        .when(F.col("v") >= F.col("b._to"), F.lit(parts))
+        .otherwise(F.coalesce(inner, F.lit(0)))
+        .cast("int")
+    )
+
+
+def _sketched(
+    numbers: DataFrame, keys: list[str], columns: list[str], name: str, probabilities: dict[str, float], error: float, extra, step: int
+) -> DataFrame:
+    """Quantiles off one sketch per (keys, column). The sketches are taken side by
+    side, grouped by ``keys`` only: grouped by (keys, column) there would be more
+    groups per task than an aggregate on sketches keeps in its hash map, and it
+    would sort all rows instead. Many groups take fewer columns at a time, so that
+    a task's sketches stay bounded."""
+    if keys:
+        step = max(1, min(step, _SKETCHES // max(1, numbers.select(*keys).distinct().count())))
     names = sorted(probabilities, key=probabilities.get)
-    wanted = [probabilities[n] for n in names]
-    others = [c for c in summary.columns if c not in (*groups, "_edges", "_n")]
-    if error > 0:
-        return summary.select(*groups, *others, *[F.get("_edges", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    summary = pinned(summary)
-    bounds = summary.select(*[F.col(g).alias(f"_key_{g}") for g in groups], "_edges", "_n")
-    match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_key_{g}")) for g in groups], F.lit(True))
-    values = values.where(F.col("_v").isNotNull())
-    # The margin covers two ranks only beyond this size; smaller groups stay whole.
-    small = F.col("_n") < 4 * accuracy
+    wanted, size = [probabilities[n] for n in names], max(1, round(1 / error))
     parts = []
-    if not bounds.where(small).isEmpty():
-        few = values.join(bounds.where(small), match).groupBy(*groups)
-        if interpolate:
-            answer = F.percentile("_v", wanted)
-        else:
-            answer = F.expr(f"percentile_disc(array({', '.join(map(repr, wanted))})) within group (order by _v)")
-        found = few.agg(answer.alias("_q"))
-        parts.append(found.select(*groups, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]))
-    if not bounds.where(~small).isEmpty():
-        distinct = (
-            values.join(bounds.where(~small), match)
-            .groupBy(*groups, _collapse(len(wanted)).alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        parts.append(_picked(distinct, groups, names, wanted, interpolate))
-    if not parts:
-        return summary.select(*groups, *others, *[F.lit(None).cast("double").alias(n) for n in names])
-    answers = reduce(DataFrame.unionByName, parts)
-    keyed = answers.select(*[F.col(g).alias(f"_key_{g}") for g in groups], *names)
-    return summary.join(keyed, match, "left").select(*groups, *others, *names)
-
-
-def _collapse(brackets: int) -> Column:
-    """The value itself within a bracket, else the next bracket edge above it."""
-    edge = [F.get("_edges", F.lit(i)) for i in range(2 * brackets + 1)]
-    collapsed = F
-    for i in range(0, 2 * brackets, 2):
-        collapsed = collapsed.when(F.col("_v") <= edge[i], edge[i]).when(F.col("_v") <= edge[i + 1], F.col("_v"))
-    return collapsed.otherwise(edge[-1])
-
-
-def _picked(distinct: DataFrame, groups: list[str], names: list[str], wanted: list[float], interpolate: bool) -> DataFrame:
-    """Quantiles from (group, value, rows) by running counts."""
-    placed = running_totals(distinct, [F.col("_v").asc()], {"_upto": "_rows"}, groups, {"_total": "_rows"})
-    total = F.col("_total")
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((position > F.col("_upto") - F.col("_rows")) & (position <= F.col("_upto")), F.col("_v")))
-
-    if not interpolate:
-        picks = [at(F.greatest(F.ceil(F.lit(p) * total), F.lit(1))).alias(n) for n, p in zip(names, wanted)]
-        return placed.groupBy(*groups).agg(*picks)
-    picks, between = [], []
-    for name, p in zip(names, wanted):
-        spot = F.lit(p) * (total - 1)
-        picks += [at(F.floor(spot) + 1).alias(f"_lo_{name}"), at(F.ceil(spot) + 1).alias(f"_hi_{name}")]
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        between.append((low + (high - low) * (spot - F.floor(spot))).alias(name))
-    return placed.groupBy(*groups).agg(*picks, F.max("_total").alias("_total")).select(*groups, *between)
+    for batch in batches(columns, step):
+        measures = []
+        for c in batch:
+            sketch = F.percentile_approx(F.col(c), wanted, size).alias("_edges")
+            measures.append(F.struct(sketch, *(extra(F.col(c)) if extra else [])).alias(c))
+        wide = numbers.groupBy(*keys).agg(*measures)
+        parts.append(wide.unpivot(keys, batch, name, "_found").select(*keys, name, "_found.*"))
+    summary = reduce(DataFrame.unionByName, parts)
+    others = [c for c in summary.columns if c not in (*keys, name, "_edges")]
+    return summary.select(*keys, name, *others, *[F.get("_edges", F.lit(i)).alias(n) for i, n in enumerate(names)])

@@ -6,6 +6,7 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -154,8 +155,8 @@ def test_sources_by_name_and_repeated_keys(spark, setup):
     source = setup.raw_source(spark, "clean_0")
     twice = replace(source, table=source.table.union(source.table))
     people = source.table.select(F.col("raw_ident").alias("cliident"), F.col("raw_month").alias("data_date_part"))
-    with pytest.raises(ValueError, match="repeats"):
-        merge.merge_windowed(people, [twice], ("cliident", "data_date_part"), *setup.bounds())
+    with pytest.raises(SparkRuntimeException, match="repeats"):
+        merge.merge_windowed(people, [twice], ("cliident", "data_date_part"), *setup.bounds()).count()
 
 
 def test_columns_unknown_to_the_table_are_refused(spark, sf_dir):

@@ -9,9 +9,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluation, model, selection
-from tidemark.plans.clean import CleanPlan, fit_clean
+from tidemark.plans.clean import CleanPlan, fill_nulls, fit_clean
 from tidemark.plans.encode import fit_encode
 from tidemark.plans.production import ProductionPlan, score_production
+from tidemark.plans.trees import TreePlan
 from tidemark.sources import lake
 from tidemark.sources.staging import fresh_path, stage
 from workloads import spine as spine_queries
@@ -23,6 +24,7 @@ from workloads.sql import query
 
 EARLY, LATE = "20240101_000000", "20240201_000000"
 FEATURES = [*NUMERIC, *TEXT]
+SPINE_COLUMNS = [*KEYS, "target", "ind_split"]
 
 
 def new_schema(spark) -> str:
@@ -148,6 +150,19 @@ def predict(spark, sf_dir):
     )
 
 
+def boosted_stumps(spark, sf_dir):
+    """Two rounds of trees of one split, scored by expressions: probabilities of all rows."""
+    texts = ["segment", "returnflag"]
+    filled = fill_nulls(split_dataset(spark, sf_dir).select(*SPINE_COLUMNS, "c_nationkey", *texts), SPINE.all())
+    rows = stage(filled)
+    encoder = fit_encode(rows.where("ind_split = 'train'"), texts)
+    rows = encoder.dummies(rows)
+    features = ["c_nationkey", *encoder.dummy_sources()]
+    fitted = model.train_gbt(rows.where("ind_split = 'train'"), features, "target", maxDepth=1, maxIter=2)
+    scored = TreePlan.of(fitted).score(rows, [*KEYS, "ind_split"])
+    return scored.withColumn("score", F.round("score", 9))
+
+
 def feature_importance_gbt(spark, sf_dir):
     """A row per model column; the importances are shares of one."""
     _, rows, _, _ = _fitted(spark, sf_dir)
@@ -207,12 +222,60 @@ QUERIES = {
     "plan_roundtrip": plan_roundtrip,
     "train_gbt": train_gbt,
     "predict": predict,
+    "boosted_stumps": boosted_stumps,
     "feature_importance_gbt": feature_importance_gbt,
     "refit_encoders": refit_encoders,
     "score_production": production,
 }
 
+_STUMP_FEATURES = {"c_nationkey": "coalesce(c_nationkey, 0)"} | {
+    f"{c}_{v}": f"cast(coalesce({c}, 'SIN_INFO') = '{v}' as integer)"
+    for c, labels in (
+        ("segment", ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")),
+        ("returnflag", ("A", "N", "R", "SIN_INFO")),
+    )
+    for v in labels
+}
+
+
+def _stump(label: str) -> str:
+    """The split of least squares of ``label`` on train rows, with both means."""
+    return f"""
+        select feature, (value + next) / 2 as threshold, s / n as low, (all_s - s) / (all_n - n) as high from (
+          select feature, value, lead(value) over w as next, sum(n) over w as n, sum(s) over w as s,
+            sum(n) over (partition by feature) as all_n, sum(s) over (partition by feature) as all_s
+          from (select feature, value, count(*) as n, sum({label}) as s from stump_long group by 1, 2)
+          window w as (partition by feature order by value))
+        where next is not null order by s * s / n + (all_s - s) * (all_s - s) / (all_n - n) desc limit 1"""
+
+
+def _stump_rounds() -> dict[str, str]:
+    """Squares on the classes, then on 4 y / (1 + exp(2 y F)); the second tree counts a tenth."""
+    columns = ", ".join(f"cast({sql} as double) as {name}" for name, sql in _STUMP_FEATURES.items())
+    names = ", ".join(_STUMP_FEATURES)
+
+    def leaf(source: str, row: str = "") -> str:
+        value = " ".join(f"when '{c}' then {row}{c}" for c in _STUMP_FEATURES)
+        return f"(select case when (case feature {value} end) <= threshold then low else high end from {source})"
+
+    return {
+        "stump_rows": f"select ident, month, ind_split, cast(2 * target - 1 as double) as y, {columns} from split_dataset",
+        "stump_long": f"unpivot (select ident, month, y, {names} from stump_rows where ind_split = 'train') on {names} into name feature value value",
+        "first_tree": _stump("y"),
+        "first_round": f"select *, {leaf('first_tree')} as f from stump_rows",
+        "second_long": f"unpivot (select ident, month, 4 * y / (1 + exp(2 * y * f)) as r, {names} from first_round where ind_split = 'train') on {names} into name feature value value",
+        "second_tree": _stump("r").replace("stump_long", "second_long"),
+        "second_round": f"select *, f + 0.1 * {leaf('second_tree')} as margin from first_round",
+    }
+
+
 ORACLE = {
+    "boosted_stumps": query(
+        """select ident, month, ind_split, round(1 / (1 + exp(-2 * margin)), 9) as score,
+           cast(margin > 0 as integer)::double as prediction from second_round""",
+        "split_dataset",
+        **_stump_rounds(),
+    ),
     "save_partitioned": query("select * from spine_cm", "spine_cm"),
     "save_bucketed": query("select *, target as outcome from spine_cm", "spine_cm"),
     "latest_version": query("select * from spine_cm", "spine_cm"),

@@ -10,6 +10,7 @@ versioned table, a CSV report or a saved plan, as the next job expects it.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -19,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_window, stamp_text
-from tidemark.operators import audit, evaluation, merge, model, reports, scoring, selection
+from tidemark.operators import audit, evaluation, merge, model, reports, scoring, selection, state
 from tidemark.operators import spine as spines
 from tidemark.operators.profile import numeric_columns, string_columns
 from tidemark.options import Options
-from tidemark.plans.clean import CleanPlan, fit_clean, trimmed
+from tidemark.plans.clean import CleanPlan, fit_clean, tidy, trimmed
 from tidemark.plans.encode import EncodePlan, fit_by_width, fit_encode
 from tidemark.plans.labels import LabelTable, merged
 from tidemark.plans.production import ProductionPlan, score_production
@@ -135,6 +136,7 @@ def clean_source(spark: SparkSession, setup: Setup, index: int) -> str:
     source = setup.raw_source(spark, f"clean_{index}")
     raw = merge.merge_windowed(setup.read(spark, "spine"), [source], (s.ident, s.date), *setup.bounds())
     rows = stage(raw, "raw")
+    profile_source(spark, setup, index, rows)
     cleaner = fit_clean(rows, options, low_variance=options.low_variance)
     cleaned = cleaner.transform(rows)
     encoder, labels = fit_by_width(
@@ -146,6 +148,23 @@ def clean_source(spark: SparkSession, setup: Setup, index: int) -> str:
     return setup.save(encoder.dummies(cleaned), f"clean_{index}")
 
 
+def profile_source(spark: SparkSession, setup: Setup, index: int, rows: DataFrame) -> DataFrame:
+    """The profile of a source over all its periods, as a report. The state per
+    period is kept as a table: periods profiled by an earlier run are not read."""
+    options, s = setup.options, setup.options.spine
+    columns = [c for c in rows.columns if c not in s.all()]
+    # States of other columns or of another error cannot be merged with these.
+    kind = hashlib.sha256(json.dumps([sorted(columns), options.rsd]).encode()).hexdigest()[:8]
+    kept = state.keep_state(
+        spark, f"{setup.schema}.profile_{setup.tables[f'clean_{index}']}_{kind}", tidy(rows, s.all()), s.date, columns, options.rsd
+    )
+    periods = rows.select(F.col(s.date).alias("_period")).distinct()
+    known = kept.join(F.broadcast(periods), F.col("period").eqNullSafe(F.col("_period")), "left_semi")
+    report = state.merge_state(known)
+    lake.save_report(report, setup.path("profile", f"clean_{index}"))
+    return report
+
+
 def merge_sources(spark: SparkSession, setup: Setup) -> str:
     """All cleaned sources on the spine; in PROD mode the parts are dropped
     once the merged table has rows."""

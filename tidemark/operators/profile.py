@@ -49,15 +49,21 @@ def null_profile(df: DataFrame, columns: list[str], step: int = 200) -> DataFram
     return per_column(df, columns, "null_share", lambda c: F.avg(F.col(c).isNull().cast("double")), step)
 
 
+def sketch_size(rsd: float) -> int:
+    """The logarithm of the registers that a sketch of this relative error needs."""
+    size = max(4, math.ceil(math.log2((1.04 / rsd) ** 2)))
+    if size > 21:
+        raise ValueError(f"rsd {rsd} is finer than a sketch can be")
+    return size
+
+
 def distinct_profile(df: DataFrame, columns: list[str], rsd: float = 0.015, step: int = 200) -> DataFrame:
     """Approximate distinct counts by mergeable sketches; no shuffle of values.
 
     One binary sketch per column: ``approx_count_distinct`` at this error would
     add hundreds of buffer columns each, which a wide table cannot plan.
     """
-    size = max(4, math.ceil(math.log2((1.04 / rsd) ** 2)))
-    if size > 21:
-        raise ValueError(f"rsd {rsd} is finer than a sketch can be")
+    size = sketch_size(rsd)
 
     def measure(c: str) -> Column:
         return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(_hashed(c), size)), F.lit(0))

@@ -151,7 +151,8 @@ def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance:
     if low_variance and options.varc_threshold is not None:
         flat = profile.low_variance(first, options.varc_threshold, options.population)
         dropped |= {c: "variance" for c in flat if c not in dropped}
-    pairs = {c: v for c, v in profile.binary_values(first, second).items() if c not in dropped}
+    dates = {f.name for f in base.schema if isinstance(f.dataType, _DATES)}
+    pairs = {c: v for c, v in profile.binary_values(first, second).items() if c not in dropped and c not in dates}
     return CleanPlan(
         spine=tuple(options.spine.all()),
         columns=tuple(c for c in columns if c not in dropped),
@@ -162,5 +163,9 @@ def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance:
     )
 
 
+# Dates and times may be dropped for nulls or one value, and are never filled or encoded.
+_DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _profiled(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.NumericType, T.StringType))
+    return isinstance(kind, (T.NumericType, T.StringType, *_DATES))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import merge, profile
+from tidemark.operators import merge, profile, state
 from tidemark.operators.model import assemble
 from tidemark.plans import clean
 from tidemark.plans.encode import fit_encode
@@ -24,6 +24,7 @@ from workloads.fixtures import (
     dirty,
     feat_lineitem,
     feat_orders,
+    new_schema,
     rounded,
     score_history,
     spine_window,
@@ -54,15 +55,33 @@ def distinct_profile(spark, sf_dir):
     return profile.mode_profile(dataset(spark, sf_dir), PROFILED).select("column", "n_distinct")
 
 
+def _kept_state(spark, sf_dir, rows):
+    """The state of all months, kept in two runs: the second adds the later half."""
+    name, columns = f"{new_schema(spark)}.profile", [*PROFILED]
+    months = [r["month"] for r in rows.select("month").distinct().orderBy("month").collect()]
+    early = rows.where(F.col("month") < months[len(months) // 2])
+    state.keep_state(spark, name, early, "month", columns, OPTIONS.rsd)
+    return state.keep_state(spark, name, rows, "month", columns, OPTIONS.rsd)
+
+
 def distinct_approx(spark, sf_dir):
-    """Exact counts, and whether the sketch came within three standard errors."""
+    """Exact counts, and whether the merged sketches came within three standard errors."""
     rows = stage(dataset(spark, sf_dir))
-    sketched = profile.distinct_profile(rows, PROFILED, OPTIONS.rsd).withColumnRenamed("n_distinct", "sketched")
+    sketched = state.merge_state(_kept_state(spark, sf_dir, rows)).select("column", F.col("n_distinct").alias("sketched"))
     exact = profile.mode_profile(rows, PROFILED).select("column", "n_distinct")
     near = F.abs(F.col("sketched") - F.col("n_distinct")) <= 3 * OPTIONS.rsd * F.col("n_distinct")
     return sketched.join(exact, "column").select("column", "n_distinct", near.alias("near"))
 
 
+def profile_merged(spark, sf_dir):
+    """Null shares, moments and ranges of the last twelve months, merged from their states."""
+    rows = stage(dataset(spark, sf_dir))
+    kept = _kept_state(spark, sf_dir, rows)
+    last = kept.select("period").distinct().orderBy(F.desc("period")).limit(12)
+    merged = state.merge_state(kept.join(last, "period", "left_semi"))
+    return rounded(merged.drop("n_distinct", "var_pop", "low_text", "high_text"), 4)
+
+
 def mode_profile(spark, sf_dir):
     return rounded(profile.mode_profile(dataset(spark, sf_dir), PROFILED).select("column", "mode_share"))
 
@@ -191,6 +210,7 @@ QUERIES = {
     "drop_null_columns": drop_null_columns,
     "distinct_profile": distinct_profile,
     "distinct_approx": distinct_approx,
+    "profile_merged": profile_merged,
     "mode_profile": mode_profile,
     "drop_quasi_constant": drop_quasi_constant,
     "drop_low_variance": drop_low_variance,
@@ -221,6 +241,15 @@ def _long(columns: list[str], source: str = "dataset") -> str:
     return " union all ".join(f"select '{c}' as \"column\", cast({c} as varchar) as value from {source}" for c in columns)
 
 
+_NUMBERS = [*NUMERIC, "all_null", "mostly_null", "flag_01", "two_level"]
+
+
+def _numbers(c: str) -> str:
+    value = f"{c}::double" if c in _NUMBERS else "null::double"
+    found = {"mean": f"avg({value})", "var_samp": f"var_samp({value})", "low_number": f"min({value})", "high_number": f"max({value})"}
+    return ", ".join(f"round({sql}, 4) as {name}" for name, sql in found.items())
+
+
 _COUNTS = {
     "long": _long(PROFILED),
     "per_value": 'select "column", value, count(*) as n from long group by 1, 2',
@@ -273,6 +302,15 @@ ORACLE = {
     "drop_null_columns": query("select * exclude (all_null, mostly_null) from dataset", "dataset"),
     "distinct_profile": query('select "column", n_distinct from profile', "dataset", **_COUNTS),
     "distinct_approx": query('select "column", n_distinct, true as near from profile', "dataset", **_COUNTS),
+    "profile_merged": query(
+        " union all ".join(
+            f"""select '{c}' as "column", count(*) as n, round(count(*) filter (where {c} is null) / count(*), 4) as null_share,
+                {_numbers(c)} from recent"""
+            for c in PROFILED
+        ),
+        "dataset",
+        recent="select * from dataset where month in (select distinct month from dataset order by month desc limit 12)",
+    ),
     "mode_profile": query('select "column", round(mode_share, 6) as mode_share from profile', "dataset", **_COUNTS),
     "drop_quasi_constant": query("select * exclude (constant_txt, quasi_const) from dataset", "dataset"),
     "drop_low_variance": query("select * exclude (n_orders, avg_discount, flag_01, two_level) from dataset", "dataset"),

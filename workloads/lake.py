@@ -16,7 +16,7 @@ from tidemark.plans.trees import TreePlan
 from tidemark.sources import lake
 from tidemark.sources.staging import fresh_path, stage
 from workloads import spine as spine_queries
-from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, rounded, spine_cm, split_dataset
+from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, new_schema, rounded, spine_cm, split_dataset
 from workloads.selection import TIDY_LABEL, cramers_v, importance_facts, importance_query
 from workloads.spine import ORACLE as SPINE_ORACLE
 from workloads.selection import ORACLE as SELECTION_ORACLE
@@ -27,14 +27,6 @@ FEATURES = [*NUMERIC, *TEXT]
 SPINE_COLUMNS = [*KEYS, "target", "ind_split"]
 
 
-def new_schema(spark) -> str:
-    """A schema of its own in the shared folder."""
-    path = fresh_path(spark, "schema")
-    name = "tidemark_" + path[-12:]
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
-    return name
-
-
 def save_partitioned(spark, sf_dir):
     name = lake.save_versioned(spine_cm(spark, sf_dir), new_schema(spark), "spine", EARLY, partition_by=["month"])
     return spark.read.table(name)

@@ -91,6 +91,9 @@ def test_jobs_in_order(spark, setup):
     jobs.refit(spark, setup)
     name = jobs.produce(spark, setup, "2001-09-15")
     assert {str(r[0]) for r in spark.read.table(name).select("data_date_part").distinct().collect()} == {"2001-06-01"}
+    first = spark.read.table(name).count()
+    jobs.produce(spark, setup, "2001-09-15")
+    assert spark.read.table(name).count() == first
     jobs.produce(spark, setup, "2001-10-15")
     history = spark.read.table(name)
     assert history.select("data_date_part").distinct().count() == 2

@@ -322,9 +322,13 @@ def refit(spark: SparkSession, setup: Setup) -> None:
 
 
 def produce(spark: SparkSession, setup: Setup, today: str) -> str:
-    """Scores the month three back and appends it to the score history."""
+    """Scores the month three back and appends it to the score history, once for
+    a day and alias: a second try of the same job adds nothing."""
     options, s = setup.options, setup.options.spine
     start, end = month_window(today, "%Y-%m-%d", first_offset=-3)
+    name, run = f"{setup.schema}.{setup.tables['prod']}", f"{setup.alias or 'run'}-{today}"
+    if run in lake.committed_runs(spark, name):
+        return name
     plan = ProductionPlan.load(spark, setup.own("production"))
     people = lake.scan_window(spark.read.table(setup.sources["spine_prod"]), setup.source_date, start, end)
     if s.date not in people.columns:
@@ -333,15 +337,14 @@ def produce(spark: SparkSession, setup: Setup, today: str) -> str:
         people.select(s.ident, s.date), setup.raw_sources(spark), (s.ident, s.date), start, end, keep=plan.clean.columns
     )
     scored = score_production(rows, plan, options, setup.stamp)
-    name = f"{setup.schema}.{setup.tables['prod']}"
-    lake.append_or_create(scored, name, options.new_part_cols)
+    lake.append_run(scored, name, run, options.new_part_cols)
     return name
 
 
 def evaluate(spark: SparkSession, setup: Setup, outcomes: str) -> None:
     """Last production scores against known outcomes."""
     options, s = setup.options, setup.options.spine
-    history = spark.read.table(f"{setup.schema}.{setup.tables['prod']}")
+    history = lake.committed_rows(spark, f"{setup.schema}.{setup.tables['prod']}")
     known = merge.join_outcomes(
         lake.latest_slice(history, s.date),
         spark.read.table(outcomes).select(s.ident, F.col(s.date).cast("date").alias(s.date), s.target),

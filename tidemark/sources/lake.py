@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = r"_\d{8}_\d{6}"
+# The partition of one try of a run.
+RUN_PART = "run_part"
 
 
 def scan_window(table: DataFrame, column: str, start: date, end: date) -> DataFrame:
@@ -106,6 +109,55 @@ def append_or_create(df: DataFrame, name: str, partition_by: Sequence[str] = (),
         spark.conf.set(setting, before)
 
 
+def append_run(df: DataFrame, name: str, run: str, partition_by: Sequence[str] = ()) -> bool:
+    """Appends the rows of ``run`` once, however often the job is tried.
+
+    Every attempt writes to a partition of its own, and its rows count only when
+    table ``{name}_runs`` names that partition, by one small append at the end. A
+    job that died before leaves rows that nothing reads; one that is run again
+    after its end writes nothing and gives False. Of two attempts that end at the
+    same time the first one named counts.
+    """
+    spark = df.sparkSession
+    if run in committed_runs(spark, name):
+        return False
+    part = f"{run}-{uuid.uuid4().hex[:12]}"
+    append_or_create(df.withColumn(RUN_PART, F.lit(part)), name, [*partition_by, RUN_PART])
+    _name_run(spark, name, run, part)
+    return True
+
+
+def _name_run(spark: SparkSession, name: str, run: str, part: str) -> None:
+    named = spark.range(1, numPartitions=1).select(F.lit(run).alias("run"), F.lit(part).alias("part"), F.current_timestamp().alias("named"))
+    append_or_create(named, f"{name}_runs")
+
+
+def committed_runs(spark: SparkSession, name: str) -> dict[str, str]:
+    """Run to partition, one row per run."""
+    if not spark.catalog.tableExists(f"{name}_runs"):
+        return {}
+    first = spark.table(f"{name}_runs").groupBy("run").agg(F.min(F.struct("named", "part")).alias("first"))
+    return {r["run"]: r["part"] for r in first.select("run", "first.part").collect()}
+
+
+def committed_rows(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of finished runs; other partitions are not read."""
+    parts = list(committed_runs(spark, name).values())
+    return spark.table(name).where(F.col(RUN_PART).isin(parts)).drop(RUN_PART)
+
+
+def sweep_runs(spark: SparkSession, name: str) -> int:
+    """Drops the partitions of attempts that no run names, and gives their number.
+    Not to be called while a job writes to the table."""
+    named = list(committed_runs(spark, name).values())
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    left = spark.table(name).where(~F.col(RUN_PART).isin(named)).select(*[F.col(c).cast("string") for c in by]).distinct().collect()
+    for row in left:
+        values = ", ".join(f"{c} = null" if row[c] is None else f"{c} = '{row[c]}'" for c in by)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
+    return len(left)
+
+
 def drop_if_written(spark: SparkSession, written: str, tables: Sequence[str]) -> bool:
     """Drops intermediate tables once the output has rows."""
     if spark.read.table(written).isEmpty():

@@ -58,6 +58,18 @@ def append_or_create(spark, sf_dir):
     return spark.read.table(name)
 
 
+def append_run(spark, sf_dir):
+    """Two runs, one of them tried again after its end and one after a try that died."""
+    name, rows = f"{new_schema(spark)}.scores", spine_cm(spark, sf_dir)
+    early, late = rows.where("month < '1999-01-01'"), rows.where("month >= '1999-01-01'")
+    lake.append_run(early, name, "1998", ["month"])
+    lake.append_or_create(late.withColumn(lake.RUN_PART, F.lit("1999-died")), name)
+    lake.append_run(late, name, "1999", ["month"])
+    if lake.append_run(late, name, "1999", ["month"]):
+        raise AssertionError("a finished run was written again")
+    return lake.committed_rows(spark, name)
+
+
 def guarded_drop(spark, sf_dir):
     schema, rows = new_schema(spark), spine_cm(spark, sf_dir)
     parts = [lake.save_versioned(rows, schema, f"part_{i}", EARLY) for i in (0, 1)]
@@ -208,6 +220,7 @@ QUERIES = {
     "save_bucketed": save_bucketed,
     "latest_version": latest_version,
     "append_or_create": append_or_create,
+    "append_run": append_run,
     "guarded_drop": guarded_drop,
     "report_roundtrip": report_roundtrip,
     "feature_list_roundtrip": feature_list_roundtrip,
@@ -272,6 +285,7 @@ ORACLE = {
     "save_bucketed": query("select *, target as outcome from spine_cm", "spine_cm"),
     "latest_version": query("select * from spine_cm", "spine_cm"),
     "append_or_create": query("select * from spine_cm", "spine_cm"),
+    "append_run": query("select * from spine_cm", "spine_cm"),
     "guarded_drop": query(
         "select count(*) as n, true as kept, true as dropped, cast(2 as bigint) as tables_left from spine_cm", "spine_cm"
     ),

@@ -180,3 +180,25 @@ def test_families(rows):
     assert set(profile.string_columns(rows, KEYS)) == {*TEXT, "messy", "constant_txt", "quasi_const", "flag_yn"}
     assert "c_acctbal" in profile.numeric_columns(rows, KEYS) and "ident" not in profile.numeric_columns(rows, KEYS)
     assert SpineColumns().keys == ["cliident", "data_date_part"] and Options().train_size == 0.7 and SPINE.ident == "ident"
+
+
+def test_heavy_values_are_found_without_shuffling_values(spark, monkeypatch):
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("v"), F.col("id")).alias("all_different"),
+        F.when(F.col("id") % 10 < 4, "often").when(F.col("id") % 10 < 7, None).otherwise(F.col("id").cast("string")).alias("four_tenths"),
+        F.when(F.col("id") % 2 == 0, 1.5).otherwise(2.5).alias("halves"),
+        F.lit(None).cast("string").alias("nothing"),
+        F.when(F.col("id") < 18_000, 3).otherwise(F.col("id")).alias("just_not"),
+    )
+    found = profile.heavy_values(rows, rows.columns, 0.3).collect()
+    assert {(r["column"], r["value"], r["n"]) for r in found} == {
+        ("four_tenths", "often", 24_000), ("halves", "1.5", 30_000), ("halves", "2.5", 30_000)
+    }
+    assert {r["share"] for r in found} == {0.4, 0.5}
+    assert profile.heavy_values(rows.limit(0), rows.columns, 0.3).isEmpty()
+    # Slots that many values share are looked into further.
+    monkeypatch.setattr(profile, "_SLOT_BITS", 1)
+    again = profile.heavy_values(rows, rows.columns, 0.3).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+    plan = fit_clean(rows.withColumns({"ident": F.lit(1), "month": F.lit(1)}), Options(spine=SpineColumns(ident="ident", date="month"), null_threshold=0.39))
+    assert plan.dropped == {"nothing": "nulls", "four_tenths": "constant", "halves": "constant"}

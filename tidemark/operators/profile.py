@@ -101,6 +101,47 @@ def mode_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def heavy_values(df: DataFrame, columns: list[str], share: float, step: int = 200) -> DataFrame:
+    """(column, value, n, share) of every non-null value that more than ``share`` of
+    all rows hold, values as text.
+
+    Values are first counted by ten bits of their hash, then, in slots that are
+    full enough to hold such a value, by ten more, and only then by themselves. No
+    pass shuffles more than a thousand counts per column, task and full slot, and
+    columns without a full slot are not read again.
+    """
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counted = texts.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    full: dict[str, list[int] | None] = dict.fromkeys(columns)
+    for bits in (_SLOT_BITS, 2 * _SLOT_BITS):
+        slots = _in_slots(texts, full, bits - _SLOT_BITS, step).groupBy("column", _slot("value", bits).alias("slot"))
+        found: dict[str, list[int]] = {}
+        for row in slots.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share * counted).collect():
+            found.setdefault(row["column"], []).append(row["slot"])
+        full = found
+    if not full:
+        return df.sparkSession.createDataFrame([], "column string, value string, n long, share double")
+    values = _in_slots(texts, full, 2 * _SLOT_BITS, step).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return values.where(F.col("n") > share * counted).withColumn("share", F.col("n") / counted)
+
+
+_SLOT_BITS = 10
+
+
+def _slot(column: str, bits: int) -> Column:
+    return F.xxhash64(F.col(column)).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _in_slots(texts: DataFrame, slots: dict[str, list[int] | None], bits: int, step: int) -> DataFrame:
+    """(column, value) of the non-null values in the listed slots, all if there is no list."""
+    kept = [
+        F.col(c) if some is None else F.when(_slot(c, bits).isin(some), F.col(c)).alias(c) for c, some in slots.items()
+    ]
+    names = list(slots)
+    long = long_form(texts.select(*kept), [], names, "column", "value", step) if names else texts.sparkSession.createDataFrame([], "column string, value string")
+    return long.where(F.col("value").isNotNull())
+
+
 def first_look(df: DataFrame, columns: list[str], step: int, variance: bool = False) -> dict[str, dict]:
     """Per column: null share, smallest and greatest value, the hash of the
     only value that could hold a majority, and on request variances of numbers."""

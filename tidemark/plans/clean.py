@@ -143,8 +143,8 @@ def fit_clean(df: DataFrame, options: Options, drop: bool = True, low_variance:
     second = profile.second_look(base, rest, first, options.step_size)
     if drop:
         if options.null_threshold < profile.DOMINANT_FROM:
-            shares = {r["column"]: r["mode_share"] for r in profile.mode_profile(base, rest).collect()}
-            constant = [c for c, share in shares.items() if share > options.null_threshold]
+            heavy = profile.heavy_values(base, rest, options.null_threshold, options.step_size) if rest else None
+            constant = sorted({r["column"] for r in heavy.collect()}) if heavy is not None else []
         else:
             constant = profile.quasi_constant(second, options.null_threshold)
         dropped |= {c: "constant" for c in constant}

@@ -86,6 +86,10 @@ def mode_profile(spark, sf_dir):
     return rounded(profile.mode_profile(dataset(spark, sf_dir), PROFILED).select("column", "mode_share"))
 
 
+def heavy_values(spark, sf_dir):
+    return rounded(profile.heavy_values(stage(dataset(spark, sf_dir)), PROFILED, 0.3))
+
+
 def drop_quasi_constant(spark, sf_dir):
     rows = stage(dataset(spark, sf_dir))
     first = profile.first_look(rows, PROFILED, OPTIONS.step_size)
@@ -212,6 +216,7 @@ QUERIES = {
     "distinct_approx": distinct_approx,
     "profile_merged": profile_merged,
     "mode_profile": mode_profile,
+    "heavy_values": heavy_values,
     "drop_quasi_constant": drop_quasi_constant,
     "drop_low_variance": drop_low_variance,
     "variance_profile": variance_profile,
@@ -312,6 +317,13 @@ ORACLE = {
         recent="select * from dataset where month in (select distinct month from dataset order by month desc limit 12)",
     ),
     "mode_profile": query('select "column", round(mode_share, 6) as mode_share from profile', "dataset", **_COUNTS),
+    "heavy_values": query(
+        """select "column", value, n, round(n / all_n, 6) as share from (
+             select *, sum(n) over (partition by "column") as all_n from per_value)
+           where value is not null and n > 0.3 * all_n""",
+        "dataset",
+        **_COUNTS,
+    ),
     "drop_quasi_constant": query("select * exclude (constant_txt, quasi_const) from dataset", "dataset"),
     "drop_low_variance": query("select * exclude (n_orders, avg_discount, flag_01, two_level) from dataset", "dataset"),
     "variance_profile": query(

@@ -164,12 +164,13 @@ def with_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_history(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
-    """Scores of two runs; with ``late`` a third, of an older month. A run has
-    the months that were over when it ran."""
+    """Scores of two runs, of all months and of the last one; with ``late`` a third,
+    of the month before."""
     rows = scored_cm(spark, sf_dir).select("ident", "month", "p", "prediction")
-    runs = [("20010801_000000", F.col("month") <= "2001-07-01"), ("20010901_000000", F.col("month") == "2001-07-01")]
+    last = months(spark, sf_dir).select(F.max("month")).scalar()
+    runs = [("20010801_000000", F.lit(True)), ("20010901_000000", F.col("month") == last)]
     if late:
-        runs.append(("20011001_000000", F.col("month") == "2001-06-01"))
+        runs.append(("20011001_000000", F.col("month") == F.add_months(last, -1)))
     frames = [rows.where(condition).withColumn("exec_time", F.lit(stamp)) for stamp, condition in runs]
     history = frames[0]
     for frame in frames[1:]:

@@ -53,11 +53,13 @@ _VIEWS = {
         select *, cast(ntile(10) over (partition by ind_split order by p desc, month, ident) as integer) as deciles
         from scored""",
     "history": """
-        select ident, month, p, prediction, '20010801_000000' as exec_time from scored where month <= date '2001-07-01'
-        union all select ident, month, p, prediction, '20010901_000000' from scored where month = date '2001-07-01'""",
+        select ident, month, p, prediction, '20010801_000000' as exec_time from scored
+        union all select ident, month, p, prediction, '20010901_000000' from scored
+        where month = (select max(month) from scored)""",
     "late_history": """
         select * from history
-        union all select ident, month, p, prediction, '20011001_000000' from scored where month = date '2001-06-01'""",
+        union all select ident, month, p, prediction, '20011001_000000' from scored
+        where month = (select max(month) - interval 1 month from scored)""",
 }
 
 _NEEDS = {

@@ -36,6 +36,15 @@ PROFILED = [*NUMERIC, *TEXT, *DIRTY]
 FLAGS = ["flag_yn", "flag_01", "two_level"]
 
 
+def column_families(spark, sf_dir):
+    """Every column of the dataset with its family and its number of values."""
+    rows = dataset(spark, sf_dir)
+    numbers, texts = profile.numeric_columns(rows), profile.string_columns(rows)
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "column", "n")
+    family = F.when(F.col("column").isin(numbers), "number").when(F.col("column").isin(texts), "text").otherwise("other")
+    return counts.withColumn("family", family)
+
+
 def clean_strings(spark, sf_dir):
     rows = dirty(spark, sf_dir).select("ident", "segment", "messy", "flag_yn", "nation_name")
     return clean.clean_strings(rows, exclude=["ident"])
@@ -209,6 +218,7 @@ def assemble_vector(spark, sf_dir):
 
 
 QUERIES = {
+    "column_families": column_families,
     "clean_strings": clean_strings,
     "null_profile": null_profile,
     "drop_null_columns": drop_null_columns,
@@ -293,7 +303,16 @@ _CLEAN = """select ident, month, target, coalesce(n_orders, 0) as n_orders, coal
     cast(coalesce(case two_level when 7 then 1 when 3 then 0 end, 0) as integer) as two_level
     from dataset""".format(**{c: _safe(c) for c in (*TEXT, "messy")})
 
+_FAMILIES = {c: "number" for c in ("ident", "target", *_NUMBERS)} | {"month": "other"}
+
 ORACLE = {
+    "column_families": query(
+        " union all ".join(
+            f"select '{c}' as \"column\", count({c}) as n, '{_FAMILIES.get(c, 'text')}' as family from dataset"
+            for c in (*KEYS, "target", *PROFILED)
+        ),
+        "dataset",
+    ),
     "clean_strings": query(
         "select ident, " + ", ".join(f"{_safe(c)} as {c}" for c in ("segment", "messy", "flag_yn", "nation_name"))
         + " from dirty",

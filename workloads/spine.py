@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_date, month_end, month_label, month_start
+from tidemark.functions.dates import as_date, month_end, month_label, month_start, run_stamp
 from tidemark.operators import spine as ops
 from tidemark.plans.split import fit_split
 from tidemark.sources.lake import latest_slice, scan_window
@@ -134,7 +134,13 @@ def latest_late(spark, sf_dir):
     return latest_slice(score_history(spark, sf_dir, late=True), "month", per_date=True)
 
 
+def run_stamps(spark, sf_dir):
+    """Events per run stamp, the suffix of table versions."""
+    return table(spark, sf_dir, "events").groupBy(run_stamp(F.col("ts")).alias("stamp")).agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "run_stamps": run_stamps,
     "scan_date_window": scan_date_window,
     "scan_split": scan_split,
     "latest_slice": latest,
@@ -183,6 +189,7 @@ _WITH_ID = {
 }
 
 ORACLE = {
+    "run_stamps": "select strftime(ts, '%Y%m%d_%H%M%S') as stamp, count(*) as n from events group by 1",
     "scan_date_window": """
         select o_orderkey, o_custkey, cast(o_orderdate as date) as day from orders
         where o_orderdate >= date '1995-01-01' and o_orderdate < date '2001-08-01'""",

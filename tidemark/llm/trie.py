@@ -51,7 +51,7 @@ _FOUND = (
 
 @dataclass(frozen=True)
 class TrieSpec:
-    shard: int = 4096
+    shard: int = 512
     band: int = 64
 
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import heapq
 import math
 import random
 import re
 
+import check_oracle
+import duckdb
 import public_tokenizers
 import pytest
 import xxhash
 from tokenizers import Tokenizer as Library
 
 from pyspark.sql import functions as F
-from tidemark.llm import bpe, chat, components, forest, licenses, minhash, mixing, quality, ring, substrings, warc
+from tidemark.llm import bpe, chat, components, forest, licenses, minhash, mixing, quality, queries, ring, substrings, warc
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, source string, kept string, component_id string, rep string"
@@ -243,25 +246,75 @@ def test_mixing(spark):
     for r in rows:
         assert abs(got[r["source"]] - r["target"]) <= 2
     assert sum({r["source"]: r["target"] for r in rows}.values()) == pytest.approx(1.5 * sum(r["size"] for r in rows))
-    assert mixing.targets([("a", 10), ("b", 90)], mixing.MixSpec()) == [("a", 10, 20.0), ("b", 90, 130.0)]
-    assert mixing.apportion([5.0, 3.0, 1.0], 9).count(0) == 5
     assert mixing.mix(sized.limit(0), "doc_id", "size", "source", ["text"]).count() == 0
-
-
-def test_mixing_keeps_small_sources_of_large_tables(spark):
+    assert all(r["taken"] == 0 and r["target"] == 0 for r in mixing.mix(sized.withColumn("size", F.lit(0)), "doc_id", "size", "source", []).collect())
+
+
+def quotients(wanted, blocks, shards):
+    """Blocks given one by one to the highest quotient: the receiver's count after each shard."""
+    heap = [(-w, i, 0) for i, w in enumerate(wanted) if w > 0]
+    heapq.heapify(heap)
+    have, ends = [0] * len(wanted), []
+    for at in range(1, blocks + 1):
+        _, i, n = heap[0]
+        heapq.heapreplace(heap, (-wanted[i] / (2 * n + 3), i, n + 1))
+        have[i] += 1
+        ends += [list(have)] * sum(at == blocks * k // shards for k in range(1, shards + 1))
+    return [[0] * len(wanted)] * (shards - len(ends)) + ends
+
+
+@pytest.mark.parametrize("block", [1, 7, 500])
+@pytest.mark.parametrize("sizes", [[3, 1, 1, 40, 900, 40, 40, 0, 7], [50] * 30 + [4000], [1] * 60, [5], [2, 2, 2]])
+def test_quotas_are_those_of_the_quotients(spark, sizes, block):
+    spec = mixing.MixSpec(block=block, shards=3)
+    table = spark.createDataFrame([(f"s{i:02}", n) for i, n in enumerate(sizes)], "source string, n long")
+    goals = {r["place"]: r for r in mixing.targets(table, spec).collect()}
+    assert [goals[i + 1]["n"] for i in range(len(sizes))] == sizes
+    wanted = [goals[i + 1]["target"] for i in range(len(sizes))]
+    assert sum(wanted) == pytest.approx(1.5 * sum(sizes)) and all(w <= 2 * n for w, n in zip(wanted, sizes))
+    level = max(w / (3, 1, 2)[i % 3] for i, w in enumerate(wanted))
+    assert all(w == pytest.approx(min(2 * n, level * (3, 1, 2)[i % 3])) for i, (w, n) in enumerate(zip(wanted, sizes)))
+    ends = {r["place"]: r["ends"] for r in mixing.apportion(mixing.targets(table, spec), spec).collect()}
+    expected = quotients(wanted, int(1.5 * sum(sizes) / block + 0.5), 3)
+    assert [[ends.get(i + 1, [0] * 3)[s] for i in range(len(sizes))] for s in range(3)] == [[n * block for n in e] for e in expected]
+
+
+def test_mixing_takes_small_sources_of_large_tables_by_the_same_law(spark):
     sizes = {"hot": 3_000_000, "large": 300_000, "small": 10, "tiny": 1}
-    rows = [(i, s, n) for s, n in sizes.items() for i in range(30)] + [(31, None, 7)]
-    sized = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("text", F.lit(""))
-    got, target = collections.Counter(), {}
-    for r in mixing.mix(sized, "doc_id", "size", "source", ["text"]).collect():
+    rows = [(i, s, n) for s, n in sizes.items() for i in range(30)] + [(31, None, 7), (32, "none", 0)]
+    names = ["target", "source", "size"]
+    clash = ["source_size", "taken", "Shard", "parts", "order", "until", "ends", "name", "n", "rows", "c0", "a.b"]
+    sized = spark.createDataFrame([(*r, *clash) for r in rows], ["id", *names[1:], *clash]).repartition(3)
+    found = mixing.mix(sized, "id", "size", "source", ["name"])
+    assert found.columns == ["id", "source", "size", *clash[4:], *mixing.RESULT]
+    got, target, held = collections.Counter(), {}, collections.Counter()
+    for r in found.collect():
         got[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
-        assert (r["shard"] is None) == (r["taken"] == 0)
-    assert all(got[s] == pytest.approx(t, rel=0.01) for s, t in target.items())
-    assert (got["small"], got["tiny"], got[None]) == (600, 60, 14)
-    # Many small sources leave the large one its share.
-    many = mixing.plan([("hot", 10**9), *((f"s{i:05}", 20_000) for i in range(50_000))])
-    assert all(t.taken == sum(t.quotas) == pytest.approx(t.target, rel=0.01) for t in many)
+        assert (r["shard"] is None) == (r["taken"] == 0) and r["taken"] == sum(p["words"] for p in r["parts"])
+        assert r["a.b"] == "a.b" and r["taken"] <= 2 * r["size"]
+        for p in r["parts"]:
+            held[r["source"], p["shard"]] += p["words"]
+    assert all(abs(got[s] - t) <= 1 for s, t in target.items())
+    # Shards get equal parts of the mix, and of each source what the quotients give.
+    filled = [sum(n for (_, s), n in held.items() if s == k) for k in range(8)]
+    assert max(filled) - min(filled) <= 8
+    assert max(held["hot", s] for s in range(8)) - min(held["hot", s] for s in range(8)) <= 8
+    with pytest.raises(ValueError):
+        mixing.MixSpec(weights=(1, 0))
+
+
+def test_mixing_sql_of_many_sizes(spark, tmp_path):
+    """The query and its SQL on sources from one word to half of all."""
+    r = random.Random(8)
+    sources = ["hot"] * 200 + [f"s{i % 23:02}" for i in range(60)] + ["one", None]
+    texts = [None if i % 40 == 3 else prose(i, 1 if s == "one" else r.randrange(1, 300 if s == "hot" else 20)) for i, s in enumerate(sources)]
+    rows = list(zip(range(len(texts)), texts, sources))
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    expected = duck.sql(mixing.ORACLE).to_arrow_table()
+    assert check_oracle.compare(queries.op8_mixing(spark, str(tmp_path)).toArrow(), expected) == ""
 
 
 def test_vectors(spark):

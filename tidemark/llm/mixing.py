@@ -3,32 +3,42 @@
 Sources in code-point order (null last) take the given weights in turn and
 share ``share`` times all sizes; a target stops at ``most`` times its source's
 size and the excess is shared again by weight. The total is cut into blocks of
-equal size. Blocks go one by one to the source with the highest quotient
-target / (2 * blocks so far + 1); cut evenly, the sequence gives every output
-shard an integer quota per source. Blocks grow with the table, so a source with
-a target below ``fine`` of them takes no part in this: it takes its target to
-the word, spread evenly over the shards. The others are few enough for their
-blocks to stay within some hundredths of their targets. Within a source, rows
-are ordered by a seeded hash and cut into blocks along that order; a source
-takes its blocks from the start and begins again when it has taken every row
-once.
-
-Only per-source rows reach the driver: at most ``max_sources`` of them, else an
-error. Running totals come from range partitions, so a source that holds a
-third of all rows is split. Rows without size take nothing; an empty table
-gives an empty result; equal rows are interchangeable.
+``block`` words. Blocks go one by one to the source with the highest quotient
+target / (2 * blocks so far + 1), ties to the earlier source; cut evenly, the
+sequence gives every output shard an integer quota of each source. Within a
+source, rows are ordered by a seeded hash; the shards take their quotas one
+after the other along that order, which begins again when every row is taken
+once. A row may thus have parts in several shards.
+
+The sequence itself is never laid out, so its length costs nothing and one-word
+blocks bring every source within a word or so of its target, whatever its size.
+Of the first h blocks a source surely has what the divisor for h - (s / 2 + 1)
+blocks gives it, s being the number of sources, and at most what the divisor for
+h + (s / 2 + 1) gives; only the quotients between the two, at most 2 * s + 2 in
+all, are ranked. A source opens a part of these as large as its part of all
+targets.
+
+Sources are a table of any length; nothing of it reaches the driver. Ranks and
+running totals come from range partitions, and sources that hold many rows meet
+them by a broadcast, so a source that holds a third of all rows is split. Rows
+without size take nothing; an empty table gives an empty result; equal rows are
+interchangeable. Result columns replace input columns of the same names; all
+other columns pass through, whatever they are called.
 """
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import running_totals
-from tidemark.sources.staging import stage
+from tidemark.operators.ordering import ranked, running_totals
+from tidemark.operators.skew import split_join
+from tidemark.sources.staging import pinned, stage
+
+RESULT = ("source_size", "target", "taken", "shard", "parts")
 
 
 @dataclass(frozen=True)
@@ -36,118 +46,113 @@ class MixSpec:
     weights: tuple[float, ...] = (3, 1, 2)
     share: float = 1.5
     most: int = 2
-    blocks: int = 1 << 14
-    fine: int = 64
+    block: int = 1
     shards: int = 8
     seed: int = 7
-    max_sources: int = 100_000
-
 
-@dataclass(frozen=True)
-class Target:
-    source: str | None
-    size: int
-    target: float
-    quotas: list[int]
-    taken: int
-
-
-def targets(sizes: list[tuple[str | None, int]], spec: MixSpec) -> list[tuple[str | None, int, float]]:
-    """(source, size, target) in source order; ``sizes`` as found."""
-    ordered = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    weights = [spec.weights[i % len(spec.weights)] for i in range(len(ordered))]
-    wanted = spec.share * sum(n for _, n in ordered)
-    limits = [spec.most * n for _, n in ordered]
-    full: set[int] = set()
-    while True:
-        rest = [i for i in range(len(ordered)) if i not in full]
-        if not rest:
-            level = 0.0
-            break
-        level = (wanted - sum(limits[i] for i in full)) / sum(weights[i] for i in rest)
-        above = {i for i in rest if weights[i] * level > limits[i]}
-        if not above:
-            break
-        full |= above
-    return [(s, n, float(limits[i]) if i in full else weights[i] * level) for i, (s, n) in enumerate(ordered)]
-
-
-def apportion(wanted: list[float], blocks: int) -> list[int]:
-    """The receiver of each of ``blocks`` blocks, in order of the quotients."""
-    heap = [(-w, i, 0) for i, w in enumerate(wanted) if w > 0]
-    heapq.heapify(heap)
-    given = []
-    while heap and len(given) < blocks:
-        _, i, n = heap[0]
-        given.append(i)
-        heapq.heapreplace(heap, (-wanted[i] / (2 * n + 3), i, n + 1))
-    return given
-
-
-def plan(sizes: list[tuple[str | None, int]], spec: MixSpec = MixSpec()) -> list[Target]:
-    """Targets with what the source gives to each shard."""
-    found = targets(sizes, spec)
-    block = max(1, -int(-sum(t for _, _, t in found) // spec.blocks))
-    # Blocks of one word need no finer measure.
-    small = {i for i, (_, _, t) in enumerate(found) if block > 1 and t < spec.fine * block}
-    shared = [0.0 if i in small else t for i, (_, _, t) in enumerate(found)]
-    given = apportion(shared, round(sum(shared) / block))
-    quotas = [[0] * spec.shards for _ in found]
-    for at, i in enumerate(given):
-        quotas[i][at * spec.shards // len(given)] += block
-    for i in small:
-        cuts = [round(found[i][2]) * k // spec.shards for k in range(spec.shards + 1)]
-        quotas[i] = [b - a for a, b in zip(cuts, cuts[1:])]
-    return [Target(s, n, t, quotas[i], min(sum(quotas[i]), spec.most * n)) for i, (s, n, t) in enumerate(found)]
+    def __post_init__(self):
+        if min(self.weights) <= 0 or min(self.share, self.most, self.block, self.shards) <= 0:
+            raise ValueError("weights, share, most, block and shards must be above 0")
+
+
+def targets(sizes: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
+    """``sizes``, with source and n, one row per source; adds ``place`` in source
+    order, ``target`` and ``wanted``, the sum of all targets."""
+    numbered = ranked(sizes, [F.col("source").asc_nulls_last()], rank="place")
+    given = F.array(*[F.lit(float(w)) for w in spec.weights])
+    numbered = numbered.withColumns(
+        {"w": F.get(given, ((F.col("place") - 1) % len(spec.weights)).cast("int")), "most": F.col("n") * spec.most}
+    ).withColumn("ratio", F.col("most") / F.col("w"))
+    # Sources reach their limits in the order of limit / weight.
+    summed = running_totals(
+        numbered,
+        [F.col("ratio").asc(), F.col("place").asc()],
+        {"most_upto": "most", "w_upto": "w"},
+        overall={"n_all": "n", "w_all": "w"},
+    )
+    # Limits bind everything if the share is above them.
+    wanted = F.lit(float(min(spec.share, spec.most))) * F.col("n_all")
+    level = (wanted - (F.col("most_upto") - F.col("most"))) / (F.col("w_all") - (F.col("w_upto") - F.col("w")))
+    summed = pinned(summed.withColumns({"wanted": wanted, "level": level}))
+    first = summed.where(F.col("w") * F.col("level") <= F.col("most"))
+    level = first.agg(F.min_by("level", F.struct("ratio", "place"))).scalar()
+    target = F.coalesce(F.least(F.col("w") * level, F.col("most").cast("double")), F.col("most").cast("double"))
+    return summed.select(*sizes.columns, "place", target.alias("target"), "wanted")
+
+
+def apportion(goals: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
+    """(place, ends): how many of the words that a source gives lie before the end
+    of each shard. ``goals`` as ``targets`` gives them; no row for a target of 0."""
+    goals = goals.where("target > 0")
+    blocks = F.floor(F.col("wanted") / spec.block + 0.5)
+    spread = goals.select((F.count(F.lit(1)) / 2 + 1)).scalar()
+    cut = goals.select("place", "target", "wanted", blocks.alias("m"), F.explode(F.sequence(F.lit(1), F.lit(spec.shards))).alias("s"))
+    cut = cut.withColumns({"house": F.floor(F.col("m") * F.col("s") / spec.shards), "spread": spread})
+
+    def seats(house: Column) -> Column:
+        return F.floor(F.col("target") * house / F.col("wanted") + 0.5)
+
+    cut = cut.withColumns(
+        {"sure": seats(F.greatest(F.col("house") - F.col("spread"), F.lit(0.0))), "top": seats(F.col("house") + F.col("spread"))}
+    )
+    cut = pinned(cut.select("place", "target", "s", "house", "sure", "top"))
+    left = cut.groupBy(F.col("s").alias("of")).agg((F.max("house") - F.sum("sure")).alias("open"))
+    tried = cut.where("top > sure").select("place", "target", "s", F.explode(F.sequence("sure", F.col("top") - 1)).alias("k"))
+    tried = tried.select("place", "s", "k", (F.col("target") / (2 * F.col("k") + 1)).alias("quotient"))
+    order = [F.col("quotient").desc(), F.col("place").asc(), F.col("k").asc()]
+    won = ranked(tried, order, ["s"]).join(left, F.col("s") == F.col("of")).where(F.col("rank") <= F.col("open"))
+    won = won.groupBy("place", "s").agg(F.count(F.lit(1)).alias("more"))
+    whole = cut.join(won, ["place", "s"], "left").select(
+        "place", F.struct("s", ((F.col("sure") + F.coalesce("more", F.lit(0))) * spec.block).alias("end")).alias("cut")
+    )
+    # As many entries as shards.
+    return whole.groupBy("place").agg(F.array_sort(F.collect_list("cut"))["end"].alias("ends"))
 
 
 def mix(rows: DataFrame, key: str, size: str, source: str, tie: list[str], spec: MixSpec = MixSpec()) -> DataFrame:
-    """``rows`` with ``source_size``, ``target``, ``taken`` and ``shard``.
+    """``rows`` with ``source_size``, ``target``, ``taken``, ``shard`` and ``parts``.
 
-    ``taken``: how much of the row's size the mix takes, repeats counted.
-    ``shard``: the output shard of its first block, null if nothing is taken.
+    ``parts`` has (shard, words) for each output shard that takes words of the
+    row, repeats counted; over all rows of a source they sum up to the shard's
+    quota, less what a last block has beyond ``most`` times the source. ``taken`` is their sum, ``shard`` the first, null if nothing is taken.
     ``size`` must be a whole number of at least 0; rows with equal ``key`` are
     ordered by the ``tie`` columns.
     """
-    spark = rows.sparkSession
-    salted = F.md5(F.concat(F.lit(f"{spec.seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    rows = stage(rows.withColumn("_order", salted), "mix")
-    sizes = rows.groupBy(source).agg(F.sum(size).alias("n")).limit(spec.max_sources + 1).collect()
-    if len(sizes) > spec.max_sources:
-        raise ValueError(f"more than {spec.max_sources} sources")
-    found = plan([(r[0], r[1]) for r in sizes], spec)
-    starts = []
-    for t in found:
-        before = 0
-        for shard, n in enumerate(t.quotas):
-            if n:
-                starts.append((t.source, shard, before, before + n))
-            before += n
-    quota = spark.createDataFrame(
-        [(t.source, t.size, t.target, t.taken) for t in found],
-        "_source string, source_size long, target double, _taken long",
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    own = dict(zip(rows.columns, plain.columns))
+    salted = F.md5(F.concat(F.lit(f"{spec.seed}:"), F.coalesce(F.col(own[key]).cast("string"), F.lit(""))))
+    keyed = plain.withColumns(
+        {"order": salted, "size": F.col(own[size]), "source": F.col(own[source]).cast("string")}
     )
-    spans = spark.createDataFrame(starts, "_source string, shard int, _from long, _to long")
-    spans = spans.groupBy("_source").agg(F.array_sort(F.collect_list(F.struct("_from", "_to", "shard"))).alias("_spans"))
-    per_source = quota.alias("q").join(
-        spans.alias("s"), F.col("q._source").eqNullSafe(F.col("s._source")), "left"
-    ).select("q.*", "s._spans")
-    order = [F.col(c).asc() for c in ("_order", key, *tie, size)]
-    placed = running_totals(rows, order, {"_end": size}, [source])
-    # One row per source and at most max_sources of them.
-    joined = placed.join(F.broadcast(per_source), F.col(source).eqNullSafe(F.col("_source")))
-    own, begin = F.col(size), F.col("_end") - F.col(size)
-    rounds = F.when(F.col("source_size") > 0, F.floor(F.col("_taken") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.col("_taken") - rounds * F.col("source_size")
-    part = F.greatest(F.least(rest - begin, own), F.lit(0))
-    taken = (rounds * own + part).cast("long")
-    first = F.filter("_spans", lambda s: (s["_from"] <= begin) & (begin < s["_to"]))
-    return joined.select(
-        *[c for c in rows.columns if c != "_order"],
-        "source_size",
+    keyed = stage(keyed, "mix")
+    sizes = pinned(keyed.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")))
+    goals = pinned(targets(sizes, spec))
+    found = pinned(goals.join(apportion(goals, spec), "place", "left").drop("place", "wanted"))
+    order = [F.col(c).asc() for c in ("order", *[own[c] for c in (key, *tie)], "size")]
+    placed = running_totals(keyed, order, {"until": "size"}, ["source"]).drop("order")
+    # Null is a source like any other.
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name")
+    placed = stage(placed.select("*", name).drop("source"), "placed")
+    joined = split_join(placed, found.select("*", name).drop("source"), ["name"], "rows")
+
+    def words(shard: Column) -> Column:
+        """The row's words in the shard: its places in every round that the shard's span covers."""
+        low = F.when(shard > 0, F.get("ends", shard - 1)).otherwise(F.lit(0))
+        rounds = [F.lit(r) * F.col("n") for r in range(spec.most)]
+        upto = [F.least(F.get("ends", shard), r + F.col("until")) for r in rounds]
+        since = [F.greatest(low, r + F.col("until") - F.col("size")) for r in rounds]
+        return reduce(Column.__add__, [F.greatest(u - s, F.lit(0)) for u, s in zip(upto, since)]).cast("long")
+
+    shards = F.array(*[F.lit(s) for s in range(spec.shards)])
+    parts = F.transform(shards, lambda s: F.struct(s.alias("shard"), F.coalesce(words(s), F.lit(0)).alias("words")))
+    parted = joined.withColumn("parts", F.filter(parts, lambda p: p["words"] > 0))
+    return parted.select(
+        *[F.col(c).alias(name) for name, c in own.items() if name.lower() not in RESULT],
+        F.col("n").alias("source_size"),
         "target",
-        taken.alias("taken"),
-        F.when(taken > 0, F.get(first, F.lit(0))["shard"]).alias("shard"),
+        F.aggregate("parts", F.lit(0).cast("long"), lambda done, p: done + p["words"]).alias("taken"),
+        F.get("parts", F.lit(0))["shard"].alias("shard"),
+        "parts",
     )
 
 
@@ -176,17 +181,20 @@ level as (
   from caps, total),
 goal as (
   select source, n, i, case when lv is null or w * lv > cap then cap::double else w * lv end as target from caps, level),
-blk as (select greatest(1, ceil(sum(target) / 16384))::bigint as b, round(sum(target) / greatest(1, ceil(sum(target) / 16384)))::bigint as m from goal),
-quotients as (
-  select source, n, target, target / (2 * s + 1) as q, i, s
-  from goal, blk, lateral (select unnest(range(0, (target / b + 2)::bigint)) as s)),
+house as (
+  select floor(t + 0.5)::bigint as m, t::double as t, (select count(*) from goal where target > 0) / 2 + 1 as spread from total),
+bounds as (
+  select g.*, m, floor(target * greatest(m - spread, 0) / t + 0.5)::bigint as sure,
+    floor(target * (m + spread) / t + 0.5)::bigint as most
+  from goal g, house where target > 0),
+ranked as (
+  select i, row_number() over (order by target / (2 * s + 1) desc, i, s) as r
+  from bounds, lateral (select unnest(range(sure, most)) as s)),
 won as (
-  select source, count(*) as blocks from (
-    select source, row_number() over (order by q desc, i, s) as r from quotients where target > 0) x, blk
-  where r <= m group by source),
+  select i, count(*) as more from ranked where r <= (select any_value(m) - sum(sure) from bounds) group by i),
 take as (
-  select g.source, g.n, g.target, least(coalesce(blocks, 0) * b, 2 * g.n)::bigint as taken
-  from goal g left join won w on g.source is not distinct from w.source, blk),
+  select g.source, g.n, g.target, least(coalesce(b.sure, 0) + coalesce(more, 0), 2 * g.n)::bigint as taken
+  from goal g left join bounds b using (i) left join won using (i)),
 placed as (
   select d.*, t.n as source_size, t.target, t.taken as goal_taken,
     sum(size) over (partition by d.source order by ord, doc_id nulls first, tie, size rows unbounded preceding) - size as start

@@ -234,6 +234,43 @@ def test_ring_keeps_counts_level(spark):
     assert not left and sum(p[2] - p[1] for p in pieces) == total
 
 
+def test_ring_places_every_row_as_a_walk_along_the_ring(spark):
+    """``place`` against rows that walk one by one, with columns of the operator's own names."""
+    r = random.Random(3)
+    keys = [r.choice([None, 7, 7, 7, *range(400)]) for _ in range(500)]
+    clash = ["_arc", "_place", "_cell", "_from", "_to", "_rank", "_slot", "shard", "Slot", "count", "c0", "a.b"]
+    rows = [(k, i, *clash) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, ["key", "row", *clash]).repartition(4)
+    spec = ring.RingSpec(5, 16)
+    found = ring.place(df, "key", ["row"], spec)
+    assert found.columns == ["key", "row", *[c for c in clash if c.lower() not in ("shard", "slot")], "shard", "slot"]
+    nodes = ring.points(spec)
+    at = {}
+    for i, k in enumerate(keys):
+        place = int(hashlib.md5(("" if k is None else str(k)).encode()).hexdigest()[:8], 16)
+        arc = next((a for a, (p, _) in enumerate(nodes) if place <= p), 0)
+        at[i] = (arc, place, k is not None, k or 0, i)
+    room = [100] * 5
+    expected, slots = {}, collections.Counter()
+    waiting = sorted(at, key=at.get)
+    for step in range(len(nodes)):
+        late = []
+        for i in waiting:
+            shard = nodes[(at[i][0] + step) % len(nodes)][1]
+            if room[shard]:
+                room[shard] -= 1
+                expected[i] = (shard, slots[shard])
+                slots[shard] += 1
+            else:
+                late.append(i)
+        waiting = late
+    got = {x["row"]: (x["shard"], x["slot"]) for x in found.collect()}
+    assert got == expected and not waiting
+    # One more shard: about its own share of the rows moves, and not much more.
+    more = {x["row"]: x["shard"] for x in ring.place(df, "key", ["row"], ring.RingSpec(6, 16)).collect()}
+    assert sum(more[i] != got[i][0] for i in more) < 0.5 * len(keys)
+
+
 def test_mixing(spark):
     sources = {i: [None, "a", "b", "é", "z"][i % 5] for i in range(200)}
     texts = [(i, None if i % 50 == 0 else prose(i, 1 + 13 * i % 90)) for i in range(200)] + [(3, prose(3, 40)), (3, prose(3, 40))]
@@ -263,18 +300,21 @@ def quotients(wanted, blocks, shards):
     return [[0] * len(wanted)] * (shards - len(ends)) + ends
 
 
-@pytest.mark.parametrize("block", [1, 7, 500])
-@pytest.mark.parametrize("sizes", [[3, 1, 1, 40, 900, 40, 40, 0, 7], [50] * 30 + [4000], [1] * 60, [5], [2, 2, 2]])
+MANY = [50] * 30 + [4000]
+
+
+@pytest.mark.parametrize(("sizes", "block"), [([3, 1, 1, 40, 900, 40, 40, 0, 7], 1), (MANY, 7), (MANY, 500), ([1] * 60, 1), ([5], 1)])
 def test_quotas_are_those_of_the_quotients(spark, sizes, block):
     spec = mixing.MixSpec(block=block, shards=3)
     table = spark.createDataFrame([(f"s{i:02}", n) for i, n in enumerate(sizes)], "source string, n long")
-    goals = {r["place"]: r for r in mixing.targets(table, spec).collect()}
+    found = mixing.targets(table, spec)
+    goals = {r["place"]: r for r in found.collect()}
     assert [goals[i + 1]["n"] for i in range(len(sizes))] == sizes
     wanted = [goals[i + 1]["target"] for i in range(len(sizes))]
     assert sum(wanted) == pytest.approx(1.5 * sum(sizes)) and all(w <= 2 * n for w, n in zip(wanted, sizes))
     level = max(w / (3, 1, 2)[i % 3] for i, w in enumerate(wanted))
     assert all(w == pytest.approx(min(2 * n, level * (3, 1, 2)[i % 3])) for i, (w, n) in enumerate(zip(wanted, sizes)))
-    ends = {r["place"]: r["ends"] for r in mixing.apportion(mixing.targets(table, spec), spec).collect()}
+    ends = {r["place"]: r["ends"] for r in mixing.apportion(found, spec).collect()}
     expected = quotients(wanted, int(1.5 * sum(sizes) / block + 0.5), 3)
     assert [[ends.get(i + 1, [0] * 3)[s] for i in range(len(sizes))] for s in range(3)] == [[n * block for n in e] for e in expected]
 

@@ -12,7 +12,8 @@ Rows are counted per arc; the fill is worked out on these S * ``replicas``
 counts, whatever the number of rows. Positions within arcs come from range
 partitions, so a key with a third of the rows is split. Null keys hash like the
 empty string; repeated keys lie side by side and may be cut between shards;
-an empty table gives an empty result.
+an empty table gives an empty result. Input columns ``shard`` and ``slot`` are
+replaced; all others pass through, whatever they are called.
 """
 
 from __future__ import annotations
@@ -90,17 +91,19 @@ def place(rows: DataFrame, key: str, tie: list[str], spec: RingSpec = RingSpec()
     """
     spark = rows.sparkSession
     ring = points(spec)
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    own = dict(zip(rows.columns, plain.columns))
     # S * replicas + 4096 rows, whatever the data.
     cells = F.broadcast(
         spark.createDataFrame(_cells([p for p, _ in ring]), "_cell long, _from long, _to long, _arc int")
     )
     at = F.col("_place")
-    placed = rows.withColumn("_place", key_place(F.col(key)))
+    placed = plain.withColumn("_place", key_place(F.col(own[key])))
     on = (F.shiftright(at, _CELL_BITS) == F.col("_cell")) & (at >= F.col("_from")) & (at < F.col("_to"))
     placed = stage(placed.join(cells, on).drop("_cell", "_from", "_to"), "ring")
     counts = {r["_arc"]: r["count"] for r in placed.groupBy("_arc").count().collect()}
     pieces = fill([counts.get(a, 0) for a in range(len(ring))], [s for _, s in ring], spec.shards)
-    order = [F.col(c).asc() for c in ("_place", key, *tie)]
+    order = [F.col(c).asc() for c in ("_place", *[own[c] for c in (key, *tie)])]
     numbered = ranked(placed, order, ["_arc"], rank="_rank")
     # At most one row per arc and shard.
     table = F.broadcast(
@@ -109,5 +112,7 @@ def place(rows: DataFrame, key: str, tie: list[str], spec: RingSpec = RingSpec()
     rank = F.col("_rank") - 1
     on = (F.col("_arc") == F.col("_piece_arc")) & (rank >= F.col("_from")) & (rank < F.col("_to"))
     return numbered.join(table, on).select(
-        *rows.columns, "shard", (F.col("_slot") + rank - F.col("_from")).alias("slot")
+        *[F.col(c).alias(name) for name, c in own.items() if name.lower() not in ("shard", "slot")],
+        "shard",
+        (F.col("_slot") + rank - F.col("_from")).alias("slot"),
     )

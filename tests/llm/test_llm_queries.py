@@ -5,6 +5,7 @@ from __future__ import annotations
 import check_oracle
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidemark.llm.queries import ORACLE, QUERIES
@@ -29,6 +30,22 @@ def test_pipeline(spark, sf_dir):
     assert out and all(r["round_trip"] and r["n_tokens"] == len(r["token_ids"]) for r in out)
 
 
+CLASH = ["kept", "score", "n_words", "n_bytes", "n_removed", "_doc", "_gone", "_size", "taken", "target", "shard", "tie", "own0", "a.b"]
+
+
+def test_stages_pass_columns_of_any_name(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(120)
+    more = docs.select("*", *[F.lit(c).alias(c) for c in CLASH])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, more, sf_dir)
+        assert out.columns == more.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == c for r in rows for c in CLASH), name
+        assert len(rows) == step(spark, docs, sf_dir).count(), name
+        assert all(r["n_chars"] == len(r["text"]) for r in rows), name
+    assert corpus_pipeline.encoded(spark, more, sf_dir).count() == 120
+
+
 def test_stages_take_odd_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
     odd = spark.createDataFrame([(None, None, None, None, None), (5, "", "en", "s", 0), (5, "", "en", "s", 0)], docs.schema)

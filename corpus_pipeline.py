@@ -2,14 +2,19 @@
 
 A stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
 All but the last return the columns of ``documents``. Other columns of the input
-pass through the first three stages, a null text never fails a stage, and an
-empty table gives an empty result.
+pass through the first four stages whatever they are called, a null text never
+fails a stage, and an empty table gives an empty result.
+
+The last document that a source gives to the mix may be taken in part: its
+leading words with single blanks between them. Rows that repeat doc_id, source
+and text share their part evenly; what the division leaves is dropped, fewer
+words than there are such rows.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, minhash, mixing, quality, substrings
@@ -19,48 +24,63 @@ from tidemark.sources.staging import stage
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names no operator uses, and the new name of each column."""
+    plain = docs.toDF(*[f"own{i}" for i in range(len(docs.columns))])
+    return plain, dict(zip(docs.columns, plain.columns))
+
+
+def _named(plain: DataFrame, own: dict[str, str], text: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` again; with ``text``, that text and its length."""
+    new = {} if text is None else {"text": text, "n_chars": F.length(text).cast("long")}
+    return plain.select(*[new.get(name, F.col(c)).alias(name) for name, c in own.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     spec = quality.QualitySpec()
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    trusted = quality.trusted_rows(labels, "doc_id", F.col("quality") == 1, spec)
-    return quality.judge(docs, "doc_id", "text", trusted, spec).where("kept").select(*docs.columns)
+    plain, own = _plain(docs)
+    key = own["doc_id"]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias(key), "quality")
+    trusted = quality.trusted_rows(labels, key, F.col("quality") == 1, spec)
+    return _named(quality.judge(plain, key, own["text"], trusted, spec).where("kept"), own)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; rows with one doc_id stay or go together."""
-    groups = minhash.near_groups(docs, "doc_id", "text", minhash.NearSpec())
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    plain, own = _plain(docs)
+    key = own["doc_id"]
+    groups = minhash.near_groups(plain.select(key, own["text"]), key, own["text"], minhash.NearSpec())
+    gone = groups.where(~F.col("kept")).select(F.col(key).alias("gone")).distinct()
+    return _named(plain.join(gone, F.col(key) == F.col("gone"), "left_anti"), own)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur earlier; documents of which nothing is left go."""
-    done = substrings.remove_repeats(docs, "doc_id", "text", whole_characters=True)
+    plain, own = _plain(docs)
+    done = substrings.remove_repeats(plain, own["doc_id"], own["text"], whole_characters=True)
     left = done.where((F.col("n_removed") == 0) | (F.octet_length("kept") > 0))
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
-    left = left.withColumn("text", text)
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    text = F.when(F.col("n_removed") == 0, F.col(own["text"])).otherwise(F.col("kept").cast("string"))
+    return _named(left, own, text)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each time a document is taken whole, and one with its
     leading words for a part. Rows that repeat doc_id, source and text share what they get."""
-    tie = F.md5(F.coalesce("text", F.lit("")))
-    rows = docs.withColumn("_tie", tie)
-    entries = rows.select("doc_id", "source", "_tie", word_count(F.col("text")).alias("_size"))
-    entries = entries.groupBy("doc_id", "source", "_tie").agg(F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_rows"))
-    got = mixing.mix(entries, "doc_id", "_size", "source", ["_tie"]).where("taken > 0")
-    got = got.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source")], F.col("_tie").alias("_t"), "_size", "_rows", "taken")
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_tie") == F.col("_t"))
-    joined = rows.join(got, on)
-    times = F.floor(F.col("taken") / F.col("_size")).cast("int")
-    rest = F.floor(F.pmod("taken", "_size") / F.col("_rows")).cast("int")
+    plain, own = _plain(docs)
+    doc, source, text = own["doc_id"], own["source"], F.col(own["text"])
+    rows = plain.withColumn("tie", F.md5(F.coalesce(text, F.lit(""))))
+    entries = rows.select(F.col(doc).alias("doc"), F.col(source).alias("from"), F.col("tie").alias("same"), word_count(text).alias("words"))
+    entries = entries.groupBy("doc", "from", "same").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("copies"))
+    got = mixing.mix(entries, "doc", "words", "from", ["same"]).where("taken > 0")
+    got = got.select("doc", "from", "same", "words", "copies", "taken")
+    on = F.col(doc).eqNullSafe(F.col("doc")) & F.col(source).eqNullSafe(F.col("from")) & (F.col("tie") == F.col("same"))
+    times = F.floor(F.col("taken") / F.col("words")).cast("int")
+    rest = F.floor(F.pmod("taken", "words") / F.col("copies")).cast("int")
     parts = F.concat(F.array_repeat(F.lit(-1), times), F.filter(F.array(rest), lambda n: n > 0))
-    taken = joined.withColumn("_part", F.explode(parts))
-    words = F.array_join(F.slice(word_array(F.col("text")), 1, F.greatest("_part", F.lit(0))), " ")
-    taken = taken.withColumn("text", F.when(F.col("_part") < 0, F.col("text")).otherwise(words))
-    return taken.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    taken = rows.join(got, on).withColumn("part", F.explode(parts))
+    leading = F.array_join(F.slice(word_array(text), 1, F.greatest("part", F.lit(0))), " ")
+    return _named(taken, own, F.when(F.col("part") < 0, text).otherwise(leading))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

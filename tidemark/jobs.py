@@ -344,9 +344,8 @@ def produce(spark: SparkSession, setup: Setup, today: str) -> str:
 def evaluate(spark: SparkSession, setup: Setup, outcomes: str) -> None:
     """Last production scores against known outcomes."""
     options, s = setup.options, setup.options.spine
-    history = lake.committed_rows(spark, f"{setup.schema}.{setup.tables['prod']}")
     known = merge.join_outcomes(
-        lake.latest_slice(history, s.date),
+        lake.last_slice(spark, f"{setup.schema}.{setup.tables['prod']}", s.date),
         spark.read.table(outcomes).select(s.ident, F.col(s.date).cast("date").alias(s.date), s.target),
         s.keys,
     )

@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,52 @@ def latest_slice(table: DataFrame, period: str, stamp: str = "exec_time", per_da
     return table.where((F.col(period) == last[period]) & (F.col(stamp) == last[stamp]))
 
 
+def partitions(spark: SparkSession, name: str) -> DataFrame | None:
+    """The partition values of a catalog table in the types of their columns, a
+    row per partition as the catalog lists them, without a look at any file. Null
+    for a table without partitions."""
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not by:
+        return None
+    fields = spark.table(name).schema
+    listed = spark.sql(f"SHOW PARTITIONS {name}").select(F.split("partition", "/").alias("spec"))
+    columns = []
+    for i, c in enumerate(by):
+        # The catalog escapes bytes as %XX and leaves a plus sign alone.
+        value = F.substring_index(F.get("spec", F.lit(i)), "=", -1)
+        value = F.when(value != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+        columns.append(value.cast(fields[c].dataType).alias(c))
+    return listed.select(*columns)
+
+
+def last_slice(spark: SparkSession, name: str, period: str, stamp: str = "exec_time", per_date: bool = False) -> DataFrame:
+    """``latest_slice`` of a catalog table; of a table that keeps runs, finished ones alone.
+
+    Maxima of partition columns are read off the catalog, so that the scan opens
+    the partitions of the answer only. Where the period alone is one, ``per_date``
+    looks for the last stamp within its last partition. Other layouts, and tables
+    whose last partition is listed but empty, take their maxima from the rows.
+    """
+    runs = RUN_PART in spark.table(name).columns
+    table = committed_rows(spark, name) if runs else spark.table(name)
+    listed = partitions(spark, name)
+    if listed is None or period not in listed.columns or not (per_date or stamp in listed.columns):
+        return latest_slice(table, period, stamp, per_date)
+    if runs:
+        listed = listed.where(F.col(RUN_PART).isin(list(committed_runs(spark, name).values())))
+    if stamp in listed.columns:
+        last = F.struct(period, stamp) if per_date else F.struct(F.max(period).alias(period), F.max(stamp).alias(stamp))
+        ends = listed.agg((F.max(last) if per_date else last).alias("last")).select("last.*")
+    else:
+        ends = listed.agg(F.max(period).alias(period))
+    kinds = dict(ends.dtypes)
+    found = ends.select(*[F.col(c).cast("string") for c in ends.columns]).first().asDict()
+    kept = table.where(reduce(lambda a, b: a & b, [F.col(c) == F.lit(v).cast(kinds[c]) for c, v in found.items()]))
+    if kept.isEmpty():
+        return latest_slice(table, period, stamp, per_date)
+    return kept if stamp in found else latest_slice(kept, period, stamp, per_date=True)
+
+
 def save_versioned(
     df: DataFrame,
     schema: str,

@@ -16,7 +16,7 @@ from tidemark.plans.trees import TreePlan
 from tidemark.sources import lake
 from tidemark.sources.staging import fresh_path, stage
 from workloads import spine as spine_queries
-from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, new_schema, rounded, spine_cm, split_dataset
+from workloads.fixtures import KEYS, NUMERIC, OPTIONS, SPINE, TEXT, new_schema, rounded, score_history, spine_cm, split_dataset
 from workloads.selection import TIDY_LABEL, cramers_v, importance_facts, importance_query
 from workloads.spine import ORACLE as SPINE_ORACLE
 from workloads.selection import ORACLE as SELECTION_ORACLE
@@ -48,6 +48,20 @@ def latest_version(spark, sf_dir):
     return lake.read_latest(spark, schema, "spine")
 
 
+def latest_partition(spark, sf_dir):
+    """The last run of all months, found in the catalog's list of partitions."""
+    name = f"{new_schema(spark)}.history"
+    lake.append_or_create(score_history(spark, sf_dir), name, ["month", "exec_time"])
+    return lake.last_slice(spark, name, "month").select("ident", "month", "p", "prediction", "exec_time")
+
+
+def latest_partition_per_date(spark, sf_dir):
+    """The last run of the last month: its partition from the catalog, its stamp from the rows."""
+    name = f"{new_schema(spark)}.history"
+    lake.append_or_create(score_history(spark, sf_dir, late=True), name, ["month"])
+    return lake.last_slice(spark, name, "month", per_date=True).select("ident", "month", "p", "prediction", "exec_time")
+
+
 def append_or_create(spark, sf_dir):
     """Created, appended, and one part written again without doubling it."""
     name, rows = f"{new_schema(spark)}.scores", spine_cm(spark, sf_dir)
@@ -219,6 +233,8 @@ QUERIES = {
     "save_partitioned": save_partitioned,
     "save_bucketed": save_bucketed,
     "latest_version": latest_version,
+    "latest_partition": latest_partition,
+    "latest_partition_per_date": latest_partition_per_date,
     "append_or_create": append_or_create,
     "append_run": append_run,
     "guarded_drop": guarded_drop,
@@ -284,6 +300,16 @@ ORACLE = {
     "save_partitioned": query("select * from spine_cm", "spine_cm"),
     "save_bucketed": query("select *, target as outcome from spine_cm", "spine_cm"),
     "latest_version": query("select * from spine_cm", "spine_cm"),
+    "latest_partition": query(
+        """select * from history where month = (select max(month) from history)
+           and exec_time = (select max(exec_time) from history)""",
+        "history",
+    ),
+    "latest_partition_per_date": query(
+        """select * from late_history where month = (select max(month) from late_history) and exec_time =
+           (select max(exec_time) from late_history where month = (select max(month) from late_history))""",
+        "late_history",
+    ),
     "append_or_create": query("select * from spine_cm", "spine_cm"),
     "append_run": query("select * from spine_cm", "spine_cm"),
     "guarded_drop": query(

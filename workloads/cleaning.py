@@ -46,8 +46,7 @@ def column_families(spark, sf_dir):
 
 
 def clean_strings(spark, sf_dir):
-    rows = dirty(spark, sf_dir).select("ident", "segment", "messy", "flag_yn", "nation_name")
-    return clean.clean_strings(rows, exclude=["ident"])
+    return clean.clean_strings(dirty(spark, sf_dir), exclude=["ident"])
 
 
 def null_profile(spark, sf_dir):
@@ -131,8 +130,7 @@ def encode_binary(spark, sf_dir):
 
 
 def fill_nulls(spark, sf_dir):
-    columns = [*KEYS, "n_orders", "sum_qty", "avg_discount", "returnflag", "all_null", "flag_01"]
-    return clean.fill_nulls(dataset(spark, sf_dir).select(*columns), KEYS, bin_input=["flag_01"])
+    return clean.fill_nulls(dataset(spark, sf_dir).select(*KEYS, *PROFILED), KEYS, bin_input=["flag_01"])
 
 
 def clean_dataset(spark, sf_dir):
@@ -212,8 +210,7 @@ def dummies(spark, sf_dir):
 
 
 def assemble_vector(spark, sf_dir):
-    features = ["n_orders", "sum_qty", "c_acctbal"]
-    rows = assemble(clean.fill_nulls(dataset(spark, sf_dir).select(*KEYS, *features), KEYS), features)
+    rows = assemble(clean.fill_nulls(dataset(spark, sf_dir).select(*KEYS, *NUMERIC), KEYS), NUMERIC)
     return rows.select(*KEYS, F.posexplode(vector_to_array("features")).alias("position", "value"))
 
 
@@ -256,6 +253,7 @@ def _long(columns: list[str], source: str = "dataset") -> str:
     return " union all ".join(f"select '{c}' as \"column\", cast({c} as varchar) as value from {source}" for c in columns)
 
 
+_DIRTY_TEXT = ["segment", "nation_name", "region_name", "messy", "constant_txt", "quasi_const", "flag_yn"]
 _NUMBERS = [*NUMERIC, "all_null", "mostly_null", "flag_01", "two_level"]
 
 
@@ -273,6 +271,7 @@ _COUNTS = {
                   from per_value group by 1""",
 }
 _LABELLED = TEXT
+_FILLER = "'SIN_INFO'"
 _FILLED = ", ".join(f"coalesce({c}, 'SIN_INFO') as {c}" for c in _LABELLED)
 _RANKS = {
     "filled": f"select ident, month, ind_split, {_FILLED} from split_dataset",
@@ -314,8 +313,7 @@ ORACLE = {
         "dataset",
     ),
     "clean_strings": query(
-        "select ident, " + ", ".join(f"{_safe(c)} as {c}" for c in ("segment", "messy", "flag_yn", "nation_name"))
-        + " from dirty",
+        f"select * replace ({', '.join(f'{_safe(c)} as {c}' for c in _DIRTY_TEXT)}) from dirty",
         "dirty",
     ),
     "null_profile": query(
@@ -370,9 +368,11 @@ ORACLE = {
         "dirty",
     ),
     "fill_nulls": query(
-        """select ident, month, coalesce(n_orders, 0) as n_orders, coalesce(sum_qty, 0) as sum_qty,
-           coalesce(avg_discount, 0) as avg_discount, coalesce(returnflag, 'SIN_INFO') as returnflag,
-           coalesce(all_null, 0) as all_null, coalesce(cast(flag_01 as varchar), 'SIN_INFO') as flag_01 from dataset""",
+        "select ident, month, coalesce(cast(flag_01 as varchar), 'SIN_INFO') as flag_01, "
+        + ", ".join(
+            f"coalesce({c}, {0 if c in _NUMBERS else _FILLER}) as {c}" for c in PROFILED if c != "flag_01"
+        )
+        + " from dataset",
         "dataset",
     ),
     "clean_dataset": query(_CLEAN, "dataset"),
@@ -427,7 +427,7 @@ ORACLE = {
     "assemble_vector": query(
         " union all ".join(
             f"select ident, month, {i}::integer as position, cast(coalesce({c}, 0) as double) as value from dataset"
-            for i, c in enumerate(("n_orders", "sum_qty", "c_acctbal"))
+            for i, c in enumerate(NUMERIC)
         ),
         "dataset",
     ),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from pyspark.sql import functions as F
+from tidemark import jobs
+from tidemark.options import Options
 from tidemark.sources import lake
 
 ROWS = [
@@ -96,3 +98,22 @@ def test_runs_that_did_not_end_are_not_the_last(spark, schema, monkeypatch):
     found = lake.last_slice(spark, name, "month")
     assert found.columns == ["id", "month", "exec_time"]
     assert {(str(r["month"]), r["exec_time"]) for r in found.collect()} == {("2001-07-01", "2")} and found.count() == 3
+
+
+def test_evaluation_of_the_last_run(spark, schema, tmp_path):
+    """Outcomes follow the scores of the last run and contradict those of the one before."""
+    options = Options()
+    s = options.spine
+    setup = jobs.Setup(options, schema, {}, {"prod": "evaluated"}, str(tmp_path))
+    people = spark.range(40).select(F.col("id").alias(s.ident), (F.col("id") / 40).alias("p"))
+    for month, stamp, p in (("2001-06-01", "1", 1 - F.col("p")), ("2001-07-01", "2", F.col("p"))):
+        scored = people.select(
+            s.ident, F.lit(month).cast("date").alias(s.date), p.alias(options.score_col), F.lit(1.0).alias("prediction"),
+            (F.floor(p * 10) + 1).cast("int").alias(options.buckets_name), F.lit(stamp).alias("exec_time"),
+        )
+        lake.append_run(scored, f"{schema}.evaluated", stamp, [s.date, "exec_time"])
+    both = people.select(s.ident, (F.col("p") >= 0.5).cast("int").alias(s.target), F.explode(F.array(F.lit("2001-06-01"), F.lit("2001-07-01"))).alias(s.date))
+    both.write.saveAsTable(f"{schema}.known")
+    jobs.evaluate(spark, setup, f"{schema}.known")
+    metrics = lake.read_report(spark, setup.path("prod", "metrics"), "metric_name string, value double")
+    assert dict(map(tuple, metrics.collect()))["areaUnderROC"] == 1.0

@@ -62,6 +62,38 @@ def test_long_words_merge_alike():
         assert codec._merged(word) == codec._merged_long(word)
 
 
+def test_words_of_the_basic_plane_split_alike():
+    with open(VOCABULARY, "rb") as f:
+        codec = bpe.Codec(f.read())
+    r = random.Random(7)
+    bits = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "'s", "'ll", "'S", "'", "a", "é", "ß", "ª", "²", "Ⅷ", "٣", "日本", "́", "‍", "-", "_", "…"]
+    for _ in range(3000):
+        text = "".join(r.choices(bits, k=r.randint(0, 12)))
+        assert codec.words(text) == codec._basic.findall(text) == codec._words.findall(text)
+    # Whole plane: every character alone, after a space and between letters.
+    plane = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for text in ("".join(plane), "".join(f" {c}" for c in plane), "".join(f"a{c}" for c in plane)):
+        assert codec._basic.findall(text) == codec._words.findall(text)
+    assert codec._beyond.search("a\U0001f389") and codec._beyond.search("\u0558") and not codec._beyond.search("".join(bits))
+
+
+def test_words_kept_in_two_tables(monkeypatch):
+    """A word that comes again is merged once, however many rare words come between."""
+    with open(VOCABULARY, "rb") as f:
+        codec = bpe.Codec(f.read())
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 10)
+    merged = []
+    plain = codec.word_ids
+    monkeypatch.setattr(codec, "word_ids", lambda word: merged.append(word) or plain(word))
+    library = Library.from_file(VOCABULARY)
+    for i in range(200):
+        text = f"often rare{chr(97 + i % 26)}{chr(97 + i // 26)}x"
+        found = list(memoryview(codec.encode(text)).cast("i"))
+        assert found == library.encode(text, add_special_tokens=False).ids
+        assert len(codec._known) <= 10 and len(codec._known.older) <= 10
+    assert merged.count(b"often") == 1
+
+
 def expected_groups(texts, width, percent):
     sets = {}
     for i, t in texts:

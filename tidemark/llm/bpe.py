@@ -6,7 +6,12 @@ adjacent pair: the lowest rank is searched, the boundary inside that pair delete
 and the two neighbouring ranks refreshed, until no pair has a rank. Repeated minimum search is quadratic
 in the word length, so words beyond ``SHORT_WORD`` bytes keep the same pairs in
 a heap; both give the same parts. Encoded words are remembered per Python
-worker, in a table that is emptied when it holds ``WORDS_KEPT`` words.
+worker as the bytes of their ids, which a text's words then join without a step
+per id. At ``WORDS_KEPT`` words the table becomes the older of two, from which a
+word that comes again is taken over; so frequent words outlive the rare ones.
+
+Texts within the basic plane are split by the standard library's expressions over
+listed classes, all others by the ``regex`` package; both give the same words.
 
 The vocabulary file is read on the driver and broadcast; its size is checked
 against ``MOST_BYTES``, it does not grow with the data.
@@ -19,8 +24,7 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -52,6 +56,8 @@ _UNASSIGNED = (
 _NO_RANK = 1 << 60
 _ID_BITS = 24
 _ID_MASK = (1 << _ID_BITS) - 1
+_ID_BYTES = array("i").itemsize
+_ASTRAL = "\U00010000"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -87,6 +93,9 @@ class Codec:
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self._words = regex.compile(_WORDS)
+        self._basic = _basic_words()
+        astral = f"{_ASTRAL}-{chr(0x10FFFF)}"
+        self._beyond = re.compile(f"[{re.split(f'[{astral}]', _UNASSIGNED, maxsplit=1)[0]}{astral}]")
         self._newer = re.compile(f"[{_UNASSIGNED}]")
         strict = _WORDS.replace(r" ?\p{L}+", rf" ?[\p{{L}}--[{_UNASSIGNED}]]+")
         strict = strict.replace(r" ?\p{N}+", rf" ?[\p{{N}}--[{_UNASSIGNED}]]+")
@@ -95,17 +104,23 @@ class Codec:
         self._cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self._known = _Known(self)
 
-    def encode(self, text: str) -> Iterator[int]:
+    def encode(self, text: str) -> bytes:
+        """The ids as 32-bit numbers in the machine's byte order."""
         if self._cut is None or not self._cut.search(text):
             return self._plain(text)
         parts = [p for p in self._cut.split(text) if p]
-        return chain.from_iterable((self.special[p],) if p in self.special else self._plain(p) for p in parts)
+        return b"".join(_packed((self.special[p],)) if p in self.special else self._plain(p) for p in parts)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self._known.__getitem__, self.words(text)))
 
-    def _plain(self, text: str) -> Iterator[int]:
+    def words(self, text: str) -> list[str]:
+        if text.isascii() or not self._beyond.search(text):
+            return self._basic.findall(text)
         pattern = self._words
-        if not text.isascii() and self._newer.search(text):
+        if self._newer.search(text):
             pattern = regex.compile(self._strict, regex.V1)
-        return chain.from_iterable(map(self._known.__getitem__, pattern.findall(text)))
+        return pattern.findall(text)
 
     def word_ids(self, word: bytes) -> tuple[int, ...]:
         return tuple(self._merged(word) if len(word) <= SHORT_WORD else self._merged_long(word))
@@ -165,15 +180,44 @@ class Codec:
         return self.bytes[shift + np.arange(total)].tobytes().decode("utf-8", "replace")
 
 
+def _packed(ids: Iterable[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def _basic_words() -> re.Pattern[str]:
+    """``_WORDS`` for the basic plane, with the classes of the ``regex`` package listed."""
+    plane = "".join(map(chr, range(ord(_ASTRAL))))
+    listed = {c: _ranges(regex.findall(c, plane)) for c in (r"\p{L}", r"\p{N}", r"\s")}
+    letter, number, space = listed.values()
+    return re.compile(
+        rf"""'(?:[stmd]|re|ve|ll)| ?(?:[{letter}]+|[{number}]+|[^{space}{letter}{number}]+)|[{space}]+(?![^{space}])|[{space}]+"""
+    )
+
+
+def _ranges(characters: list[str]) -> str:
+    """Sorted characters as the inside of a class."""
+    found: list[list[int]] = []
+    for code in map(ord, characters):
+        if found and found[-1][1] == code - 1:
+            found[-1][1] = code
+        else:
+            found.append([code, code])
+    return "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in found)
+
+
 class _Known(dict):
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        found = self.codec.word_ids(word.encode("utf-8", "surrogatepass"))
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = _packed(self.codec.word_ids(word.encode("utf-8", "surrogatepass")))
         if len(word) <= SHORT_WORD:
             if len(self) >= WORDS_KEPT:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
@@ -212,10 +256,10 @@ class Tokenizer:
         made = {ids: "array<int>"} | ({decoded: "string"} if decoded else {})
 
         def work(codec: Codec, texts: pa.Array) -> list[pa.Array]:
-            found, ends = array("i"), [0]
+            found, ends = bytearray(), [0]
             for one in texts:
-                found.extend(codec.encode(one.as_py() or ""))
-                ends.append(len(found))
+                found += codec.encode(one.as_py() or "")
+                ends.append(len(found) // _ID_BYTES)
             values = np.frombuffer(found, np.int32)
             out = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
             if decoded:

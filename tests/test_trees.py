@@ -47,6 +47,42 @@ def test_model_expression_and_text_agree(spark):
         assert score == pytest.approx(want[i][0], abs=1e-12) and said == want[i][1]
 
 
+def test_equal_rows_are_read_once(spark, monkeypatch):
+    # Below 10,000 rows all of them, and no sample, give the places where trees may split.
+    data = rows(spark).where("id < 2500").withColumn("copies", F.when(F.col("id") % 5 == 1, 9).otherwise(F.col("id") % 3 + 1))
+    data = data.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    features = ["b", "c_X", "flat", "a wave"]
+    seen = []
+    plain = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda trees, df: seen.append(df) or plain(trees, df))
+    fitted = model.train_gbt(data, features, "target", maxIter=8, maxDepth=4).stages[-1]
+    handed = seen[-1]
+    assert handed.count() == 2500 and handed.agg(F.sum(model.WEIGHT)).first()[0] == data.count()
+    assert handed.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    # Of all rows one by one the same trees come, up to the order of sums.
+    whole = VectorAssembler(inputCols=features, outputCol="features").transform(data)
+    size = model.MODEL_SIZE | {"maxIter": 8, "maxDepth": 4}
+    other = Pipeline(stages=[model.GBTClassifier(labelCol="target", seed=model.SEED, **size)]).fit(whole).stages[-1]
+    both = fitted.transform(whole).select("id", "copy", vector_to_array("probability")[1].alias("p")).join(
+        other.transform(whole).select("id", "copy", vector_to_array("probability")[1].alias("q")), ["id", "copy"]
+    )
+    assert both.count() == data.count() and both.where("abs(p - q) > 1e-9").isEmpty()
+    # A share of the rows, or a number of rows in a leaf, is of rows and not of different rows.
+    for size in ({"subsamplingRate": 0.5}, {"minInstancesPerNode": 20}):
+        model.train_gbt(data, features, "target", maxIter=1, maxDepth=1, **size)
+        assert seen[-1].count() == data.count() and model.WEIGHT not in seen[-1].columns
+
+
+def test_odd_training_rows(spark):
+    """Equal rows alone give the trees no split; a null is refused as before."""
+    alike = spark.range(50).select(F.lit(2.0).alias("x"), (F.col("id") * 0 + 1).cast("int").alias("target"))
+    only = model.train_gbt(alike, ["x"], "target", maxIter=2)
+    assert all(t.depth == 0 for t in only.stages[-1].trees)
+    for odd in ("x", "target"):
+        with pytest.raises(Exception, match="(?i)null"):
+            model.train_gbt(alike.withColumn(odd, F.when(F.rand(1) > 0.2, F.col(odd))), ["x"], "target", maxIter=1)
+
+
 def test_odd_values_go_right(spark):
     plan = TreePlan(("x", "y"), (1.0, 0.5), (("x", 0.5, ("y", -1e-7, 1.0, 2.0), 4.0), -1.5))
     data = spark.createDataFrame([(0, 0.5, -1.0), (1, 0.4, None), (2, None, 0.0), (3, float("nan"), -5.0), (4, 0.0, -1e-7)], "id int, x double, y double")

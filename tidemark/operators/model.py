@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.selection import SEED, importance_frame, label_importance
 from tidemark.options import SpineColumns
@@ -18,6 +19,7 @@ from tidemark.sources.staging import shared_folder
 
 # The model size.
 MODEL_SIZE = {"maxDepth": 5, "maxBins": 32, "maxIter": 50, "stepSize": 0.1}
+WEIGHT = "_equal_rows"
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -28,14 +30,34 @@ def train_gbt(
     train: DataFrame, features: list[str], target: str, labels: LabelTable | None = None, **size
 ) -> PipelineModel:
     """Assembler and boosted trees, or the trees alone if some features are text.
-    A checkpoint folder is named first: boosting then cuts its lineage every few trees."""
+    A checkpoint folder is named first: boosting then cuts its lineage every few trees.
+
+    Boosting reads its rows once per level of every tree, so equal rows are read as
+    one that weighs as much as all of them, unless ``size`` asks for a share or a
+    number of rows. Each core gets one even part: every level waits for the last.
+    """
     shared_folder(train.sparkSession)
     trees = GBTClassifier(labelCol=target, featuresCol="features", seed=SEED, **(MODEL_SIZE | size))
     rows = train.select(target, *features)
+    if trees.getSubsamplingRate() == 1 and trees.getMinInstancesPerNode() == 1:
+        rows = _weighed(rows)
+        trees.setWeightCol(WEIGHT)
     if has_texts(features, labels):
-        return PipelineModel([trees.fit(labels.features(rows, features))])
+        return PipelineModel([trees.fit(_spread(labels.features(rows, features), target))])
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return PipelineModel([assembler, trees.fit(assembler.transform(rows))])
+    return PipelineModel([assembler, trees.fit(_spread(assembler.transform(rows), target))])
+
+
+def _weighed(rows: DataFrame) -> DataFrame:
+    """Each different row once, with the number of its equals. One struct is
+    grouped, as a method with a key per feature grows too long to be compiled."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
+    return rows.groupBy(whole).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)).select("_row.*", WEIGHT)
+
+
+def _spread(vectors: DataFrame, target: str) -> DataFrame:
+    kept = [c for c in (target, "features", WEIGHT) if c in vectors.columns]
+    return vectors.select(*kept).repartition(vectors.sparkSession.sparkContext.defaultParallelism)
 
 
 def has_texts(features: list[str], labels: LabelTable | None) -> bool:

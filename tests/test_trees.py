@@ -6,9 +6,9 @@ import math
 
 import duckdb
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 
 from pyspark.sql import functions as F
@@ -73,6 +73,44 @@ def test_equal_rows_are_read_once(spark, monkeypatch):
         assert seen[-1].count() == data.count() and model.WEIGHT not in seen[-1].columns
 
 
+def test_many_rows_are_binned(spark, monkeypatch, tmp_path):
+    data = rows(spark).withColumns(
+        {"money": F.col("id").cast("decimal(9,2)"), "yes": F.col("id") % 3 == 0, "wide": F.col("id") * 7 - 9000}
+    )
+    features = ["flat", "a wave", "b", "c_X", "money", "yes", "wide"]
+    seen = []
+    plain = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda trees, df: seen.append(df) or plain(trees, df))
+    assert len(model.train_gbt(data, features, "target", maxIter=1).stages) == 2
+    monkeypatch.setattr(model, "BINNED_FROM", 2999)
+    fitted = model.train_gbt(data.select("target", *features), ["a wave", "b"], "target", maxIter=12, maxDepth=4)
+    # 32 bins of one number, 11 values of the other and two classes, of all rows.
+    assert seen[-1].count() <= 32 * 11 * 2 and seen[-1].agg(F.sum(model.WEIGHT)).first()[0] == 3000
+    fitted = model.train_gbt(data, features, "target", maxIter=12, maxDepth=4)
+    (bins,) = [s for s in fitted.stages if isinstance(s, Bucketizer)]
+    assert model.model_columns(fitted) == features and bins.getInputCols() == ["flat", "a wave", "money", "wide"]
+    assert all(len(edges) <= 33 for edges in bins.getSplitsArray())
+    # Every tree splits at a threshold between bins that hold near as many rows.
+    waves = bins.transform(data).groupBy("_bin_1").count()
+    assert waves.agg(F.max("count")).first()[0] < 1.2 * 3000 / 32
+    fitted.save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    plan = TreePlan.of(again)
+    known = fitted.transform(data).select("id", vector_to_array("probability")[1].alias("p"), F.col("prediction").alias("said"))
+    both = plan.score(data, ["id"]).join(known, "id")
+    assert both.count() == 3000 and both.where("abs(p - score) > 1e-12 or said != prediction").isEmpty()
+    assert 0.9 < known.join(data, "id").agg(F.avg((F.col("target") == F.col("said")).cast("double"))).first()[0]
+    ranked = {r["feature"] for r in model.gbt_importance(fitted, data).collect()}
+    assert ranked <= set(features) and {"a wave", "b"} <= ranked
+    # What the trees refuse of few rows they refuse of many.
+    for odd in (None, float("nan"), float("inf"), float("-inf")):
+        for limit in (2999, 3000):
+            monkeypatch.setattr(model, "BINNED_FROM", limit)
+            spoilt = data.withColumn("a wave", F.when(F.col("id") == 7, F.lit(odd)).otherwise(F.col("a wave")))
+            with pytest.raises(Exception, match="(?i)null|nan|infinit"):
+                model.train_gbt(spoilt, ["a wave", "b"], "target", maxIter=1, maxDepth=1)
+
+
 def test_odd_training_rows(spark):
     """Equal rows alone give the trees no split; a null is refused as before."""
     alike = spark.range(50).select(F.lit(2.0).alias("x"), (F.col("id") * 0 + 1).cast("int").alias("target"))

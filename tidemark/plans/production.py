@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.model import model_columns
 from tidemark.operators.scoring import score_buckets, score_logit, score_proba, with_run_stamp
 from tidemark.options import Options
 from tidemark.plans.clean import CleanPlan
@@ -32,7 +33,7 @@ class ProductionPlan:
     def features(self, df: DataFrame) -> DataFrame:
         """The model's columns; those whose label the plan does not know are 0."""
         made = self.encode.dummies(self.clean.transform(df))
-        wanted = self.chosen if self.labels else self.model.stages[0].getInputCols()
+        wanted = self.chosen if self.labels else model_columns(self.model)
         absent = [c for c in wanted if c not in made.columns]
         made = made.withColumns({c: F.lit(0) for c in absent}) if absent else made
         return self.labels.features(made, list(self.chosen)) if self.labels else made

@@ -10,14 +10,17 @@ many rows in this session are scored faster by the fitted model.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.model import model_columns
+
 # A leaf is its value; a split is (feature, threshold, left, right).
 Node = float | tuple
 
@@ -34,9 +37,12 @@ class TreePlan:
         trees = model.stages[-1]
         if not isinstance(trees, GBTClassificationModel):
             raise ValueError("the last stage holds no boosted trees")
-        if isinstance(model.stages[0], VectorAssembler):
-            features = model.stages[0].getInputCols()
-        roots = tuple(_node(tree._java_obj.rootNode(), features) for tree in trees.trees)
+        edges: dict[str, list[float]] = {}
+        if any(isinstance(s, VectorAssembler) for s in model.stages):
+            features = model_columns(model)
+            binned = [s for s in model.stages if isinstance(s, Bucketizer)]
+            edges = {c: e for s in binned for c, e in zip(s.getInputCols(), s.getSplitsArray())}
+        roots = tuple(_node(tree._java_obj.rootNode(), features, edges) for tree in trees.trees)
         return cls(tuple(features), tuple(float(w) for w in trees.treeWeights), roots)
 
     def used(self) -> list[str]:
@@ -83,14 +89,18 @@ class TreePlan:
         return cls(tuple(saved["features"]), tuple(saved["weights"]), tuple(_tupled(t) for t in saved["trees"]))
 
 
-def _node(java, features: list[str]) -> Node:
+def _node(java, features: list[str], edges: dict[str, list[float]]) -> Node:
     if java.subtreeDepth() == 0:
         return float(java.prediction())
     split = java.split()
     if split.getClass().getSimpleName() != "ContinuousSplit":
         raise ValueError(f"{features[split.featureIndex()]} is split by categories, not at a threshold")
-    sides = (_node(child, features) for child in (java.leftChild(), java.rightChild()))
-    return (features[split.featureIndex()], float(split.threshold()), *sides)
+    sides = (_node(child, features, edges) for child in (java.leftChild(), java.rightChild()))
+    name, rule = features[split.featureIndex()], float(split.threshold())
+    if name in edges:
+        # The last value of the last bin on the left.
+        rule = math.nextafter(edges[name][math.floor(rule) + 1], -math.inf)
+    return (name, rule, *sides)
 
 
 def _tupled(node) -> Node:

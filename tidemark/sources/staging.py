@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,27 @@ def clear_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Bytes of a method above which the virtual machine interprets it and never compiles it.
+_LONGEST_METHOD = "8000"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """While it is open, plans of many columns run operator by operator, each in
+    methods that are compiled, and not as one method that is too long for that."""
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, min(before, _LONGEST_METHOD, key=int))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with short_methods(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
